@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .license_scan import op8_licenses
+from .near_duplicates import op2_minhash
 from .pii import op1_pii
 from .quality import op4_quality
 from .secret_scan import op10_secrets
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_minhash": op2_minhash,
     "op4_quality": op4_quality,
     "op8_licenses": op8_licenses,
     "op10_secrets": op10_secrets,
