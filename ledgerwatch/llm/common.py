@@ -47,8 +47,9 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
 
 
 def input_bytes(docs: DataFrame) -> int:
-    """The optimizer's size of the input, for partition counts; at least 1."""
-    return max(1, int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()))
+    """The optimizer's size of the input, for partition counts; 1 where it doesn't know."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if 0 < size < 1 << 60 else 1
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
