@@ -7,12 +7,14 @@ from .near_duplicates import op2_minhash
 from .pii import op1_pii
 from .quality import op4_quality
 from .secret_scan import op10_secrets
+from .token_counts import op6_token_counts
 from .token_files import op9_token_files
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
     "op4_quality": op4_quality,
+    "op6_token_counts": op6_token_counts,
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
