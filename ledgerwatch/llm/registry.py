@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from .contamination import op3_contamination
 from .license_scan import op8_licenses
 from .near_duplicates import op2_minhash
 from .pii import op1_pii
 from .quality import op4_quality
 from .secret_scan import op10_secrets
+from .sentence_pieces import op5_sentence_pieces
 from .token_counts import op6_token_counts
 from .token_files import op9_token_files
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
+    "op3_contamination": op3_contamination,
     "op4_quality": op4_quality,
+    "op5_sentence_pieces": op5_sentence_pieces,
     "op6_token_counts": op6_token_counts,
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
