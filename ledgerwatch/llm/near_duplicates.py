@@ -137,6 +137,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     """(doc_id, n_shingles, component_id, kept) for each row of docs: n-word shingles, linked at `percent` of Jaccard similarity."""
     spark = docs.sparkSession
     slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    # the joined sides grow with the input, so they are never broadcast, however small they are here
     texts, m = id_and_text(docs, id_col, text_col), bands_for(percent)
     signed = written(signatures(texts, n, m))
     whole = signed.filter("n_shingles > 0 and doc_id is not null")
@@ -145,23 +146,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
     bands = reps.select("rep", F.posexplode("bands").alias("slot", "band"))
     shared = bands.groupBy("slot", "band").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    own = bands.join(shared, ["slot", "band"]).groupBy("rep").agg(F.collect_list(F.struct("slot", "band")).alias("own"))  # at most 2 * m each
+    own = bands.join(shared.hint("merge"), ["slot", "band"]).groupBy("rep").agg(F.collect_list(F.struct("slot", "band")).alias("own"))  # at most 2 * m each
     first, second = F.filter("own", lambda x: x["slot"] < m), F.filter("own", lambda x: x["slot"] >= m)
     keys = own.select("rep", F.explode(first).alias("p"), second.alias("second")).select("rep", "p", F.explode("second").alias("q"))
     keys = keys.select(F.xxhash64("p.slot", "p.band", "q.slot", "q.band").alias("key"), "rep")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    near = written(keys.join(hubs, "key"))
+    near = written(keys.join(hubs.hint("merge"), "key"))
 
     homes = near.groupBy("rep").agg(F.min("hub").alias("home"))
-    homes = homes.join(reps.select("rep", "n_shingles"), "rep")
+    homes = homes.join(reps.select("rep", "n_shingles").hint("merge"), "rep")
     chunks = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("chunks"))
     blocks = homes.join(chunks, "home").select("rep", "home", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "chunks")).alias("block"))
     blocks = written(blocks)
     members = blocks.select("rep").union(blocks.select("home")).distinct()
-    sets = written(with_sets(texts.join(members.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "text"), n), "none")
+    sets = written(with_sets(texts.join(members.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").select("doc_id", "text"), n), "none")
 
     alone = blocks.select(F.col("block").alias("g"), "rep").union(blocks.select("block", "home")).distinct()
-    links = written(verified(alone.join(sets, "rep").withColumn("label", F.col("rep")), percent, slices))
+    links = written(verified(alone.join(sets.hint("merge"), "rep").withColumn("label", F.col("rep")), percent, slices))
     labels = components(links)
     labelled = blocks.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "block", F.coalesce("component", "rep").alias("label"))
     labelled = written(labelled)
@@ -170,12 +171,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     places = open_keys.join(split, "key").select("key", "block").distinct()
     pairs = places.join(places.withColumnRenamed("block", "other"), "key").filter("block < other").select("block", "other").distinct()
     pairs = pairs.select(F.xxhash64("block", "other").alias("g"), F.explode(F.array("block", "other")).alias("block"))
-    across = pairs.join(labelled, "block").select("g", "rep", "label").join(sets, "rep")
+    across = pairs.join(labelled, "block").select("g", "rep", "label").join(sets.hint("merge"), "rep")
     links = links.union(written(verified(across, percent, slices)))
     labels = components(links)
 
     by_set = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.drop("bands").join(by_set, ["set_a", "set_b"], "left")
+    out = signed.drop("bands").join(by_set.hint("merge"), ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
