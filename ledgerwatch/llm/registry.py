@@ -7,6 +7,7 @@ from .license_scan import op8_licenses
 from .near_duplicates import op2_minhash
 from .pii import op1_pii
 from .quality import op4_quality
+from .repeated_spans import op7_repeated_spans
 from .secret_scan import op10_secrets
 from .sentence_pieces import op5_sentence_pieces
 from .token_counts import op6_token_counts
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_sentence_pieces": op5_sentence_pieces,
     "op6_token_counts": op6_token_counts,
+    "op7_repeated_spans": op7_repeated_spans,
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
