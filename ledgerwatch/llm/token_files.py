@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +30,7 @@ from .common import documents, id_and_text, input_bytes, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED = 400_000
+MOST_CACHED = 1_000_000
 
 
 @lru_cache(2)
@@ -63,45 +64,59 @@ class Encoder:
         cut = [None if "<|" in t else units(t) for t in texts]
         if len(self.seen) > MOST_CACHED:
             self.seen.clear()
-        fresh = list({u for c in cut if c for u in c if u not in self.seen})
+        fresh = list(set().union(*(c for c in cut if c)) - self.seen.keys())
         for u, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.seen[u] = np.array(e.ids, U4).tobytes()
+            self.seen[u] = array("I", e.ids).tobytes()
         get = self.seen.__getitem__
         return [b"".join(map(get, c)) if c else np.array(self.tok.encode(t, add_special_tokens=False).ids, U4).tobytes() for c, t in zip(cut, texts, strict=True)]
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rounds: int = 16, most_rules: int = 4096, least_count: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(1)
+def shared_encoder(path: str | None = None) -> Encoder:
+    """One for each worker process, so that its memory outlasts a task."""
+    return Encoder(path)
+
+
+SLOTS = np.uint64(44)  # pairs are counted by 20 bits of a hash first
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rounds: int = 6, most_rules: int = 8192, least_count: int = 6, least_gain: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, rule lengths, symbols, symbols of each document); ends are the positions after each document."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint64)
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
-    rules = np.zeros((0, 2), np.int64)
+    rules = np.zeros((0, 2), np.uint64)
+    table = np.full(1 << 20, -1, np.int32)
     for _ in range(most_rounds):
         if len(symbols) < 2:
             break
-        pair = symbols[:-1] << 32 | symbols[1:]
-        pair[last[:-1]] = -1
-        kinds, counts = np.unique(pair, return_counts=True)
-        counts[kinds < 0] = 0
+        pair = symbols[:-1] << np.uint64(32) | symbols[1:]
+        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> SLOTS).astype(np.int64)
+        often = np.bincount(slot, minlength=1)[slot] >= least_count  # no pair that is frequent gets lost
+        often &= ~last[:-1]
+        kinds, counts = np.unique(pair[often], return_counts=True)
         good = counts >= least_count
         if good.sum() > most_rules:
             good &= counts >= np.partition(counts, -most_rules)[-most_rules]
         chosen = kinds[good]
-        if not len(chosen) or counts[good].sum() < len(symbols) // 100:
+        if not len(chosen) or counts[good].sum() < least_gain * len(symbols):
             break
-        which = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        hit = chosen[which] == pair
+        own = ((chosen * np.uint64(0x9E3779B97F4A7C15)) >> SLOTS).astype(np.int64)
+        table[own] = np.arange(len(chosen))  # of two in one slot the other waits for the next round
+        which = table[slot]
+        hit = (which >= 0) & (chosen[which] == pair) & ~last[:-1]
+        table[own] = -1
         # of neighbouring hits every second one is taken, from the left
         at = np.arange(len(hit))
         before = np.maximum.accumulate(np.where(hit, -1, at))
         hit &= (at - before) % 2 == 1
         first = np.flatnonzero(hit)
-        symbols[first] = base + len(rules) + which[first]
+        symbols[first] = which[first].astype(np.uint64) + np.uint64(base + len(rules))
         last[first] = last[first + 1]
         keep = np.ones(len(symbols), bool)
         keep[first + 1] = False
         symbols, last = symbols[keep], last[keep]
-        rules = np.concatenate([rules, np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)])
+        rules = np.concatenate([rules, np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1)])
     lengths = np.ones(len(rules), np.int64)
     for k, (a, b) in enumerate(rules.tolist()):
         lengths[k] = (lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1)
@@ -147,7 +162,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     """Encodes docs and writes them to `path` as shards in ascending doc_id order."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary_path)
+        encoder = shared_encoder(vocabulary_path)
         base = encoder.tok.get_vocab_size() + 1
         end = np.array([end_id], U4).tobytes()
         part, number, held, docs_held, size = TaskContext.get().partitionId(), 0, [], [], 0
