@@ -46,7 +46,7 @@ MARK = np.array([[1, 1, 0, 1, 1, 1], [0, 1, 0, 1, 1, 1], [1, 1, 0, 0, 0, 0], [0]
 #: White space of the pattern's \s.
 BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CHUNK = 1024
-MOST_CHARACTERS, MOST_STATES, MOST_COUNTED = 2_000_000, 1_500_000, 2_000_000
+MOST_CHARACTERS, MOST_STATES, MOST_PAIRS, MOST_COUNTED = 1_000_000, 300_000, 300_000, 800_000
 
 
 @lru_cache(1)
@@ -117,8 +117,11 @@ class Merges:
         self.start()
 
     def start(self) -> None:
-        #: Of each state: its text, the states of its prefixes, its last token, its number of tokens, and where bytes lead.
-        self.text, self.path, self.last, self.tokens, self.to, self.finals = [""], [(0,)], [""], [0], [{}], [{}]
+        #: Of each state: the end of its text, the state before its last byte, its last token and its number of tokens.
+        self.text, self.before, self.last, self.tokens = [""], [0], [""], [0]
+        #: By state << 8 | byte: the next state and the emission, or the emission at the end of the pretoken.
+        self.to: dict[int, tuple[int, int]] = {}
+        self.finals: dict[int, int] = {}
 
     def stands(self, a: str, b: str) -> bool:
         """Whether the merges leave tokens a and b side by side.
@@ -141,20 +144,20 @@ class Merges:
                 limit, right = y[0] + 0.5, y[1]
             else:
                 limit, left = x[0], x[2]
-        if len(self.pairs) > MOST_COUNTED:
+        if len(self.pairs) > MOST_PAIRS:
             self.pairs.clear()
         self.pairs[a, b] = out
         return out
 
     def token(self, state: int, letter: str, pieces: set[str], mark: str) -> tuple[str, int]:
         """The last token of the state's text and a letter, and the number of tokens up to there."""
-        text, path = self.text[state] + letter, self.path[state]
-        for size in range(min(len(text), self.longest), 0, -1):
-            piece = text[-size:]
-            if piece in pieces:
-                before = path[len(text) - size]
-                if not before or self.stands(self.last[before], piece + mark):
-                    return piece + mark, self.tokens[before] + 1
+        text, prefix = self.text[state] + letter, [state]
+        for _ in range(min(len(text), self.longest) - 1):
+            prefix.append(self.before[prefix[-1]])
+        for size in range(len(prefix), 0, -1):
+            piece, start = text[-size:], prefix[size - 1]
+            if piece in pieces and (not start or self.stands(self.last[start], piece + mark)):
+                return piece + mark, self.tokens[start] + 1
         raise ValueError(f"no token ends {text!r}")
 
     def count(self, data: bytes) -> int:
@@ -163,23 +166,20 @@ class Merges:
             self.start()
         state, emitted = 0, 0
         for b in data[:-1]:
-            step = self.to[state].get(b)
-            if step is None:
+            at = state << 8 | b
+            if (step := self.to.get(at)) is None:
                 letter = self.letters[b]
                 last, tokens = self.token(state, letter, self.inner, "")
-                step = len(self.text), tokens - self.tokens[state]
+                step = self.to[at] = len(self.text), tokens - self.tokens[state]
                 self.text.append((self.text[state] + letter)[-self.longest :])
-                self.path.append((*self.path[state], step[0]) if len(self.path[state]) <= self.longest else (*self.path[state][1:], step[0]))
+                self.before.append(state)
                 self.last.append(last)
                 self.tokens.append(tokens)
-                self.to.append({})
-                self.finals.append({})
-                self.to[state][b] = step
             state, more = step
             emitted += more
-        b = data[-1]
-        if (more := self.finals[state].get(b)) is None:
-            more = self.finals[state][b] = self.token(state, self.letters[b], self.final, self.end)[1] - self.tokens[state]
+        at = state << 8 | data[-1]
+        if (more := self.finals.get(at)) is None:
+            more = self.finals[at] = self.token(state, self.letters[data[-1]], self.final, self.end)[1] - self.tokens[state]
         return emitted + more
 
 
