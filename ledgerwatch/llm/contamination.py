@@ -27,8 +27,9 @@ from .common import LOWER, documents, mixed, span_hashes
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-STEPS, SAMPLED, REPEATS = 12, 4, 6
-BLOCK_CHARACTERS = 8_000_000
+STEPS, SAMPLED, REPEATS = 16, 6, 6
+BLOCK_CHARACTERS, BUFFER_WORDS = 8_000_000, 30_000
+SLOT = np.uint64(42)
 
 
 def words(text: str) -> np.ndarray:
@@ -40,9 +41,10 @@ def words(text: str) -> np.ndarray:
 
 
 def samples() -> list[list[int]]:
-    """The sampled steps of each repetition; the first step is always among them."""
+    """The sampled steps of each repetition: one of each equal part of the walk, the first step among them, so that they rarely fall on one word."""
     rng = np.random.default_rng(3)
-    return [[0, *sorted(rng.choice(np.arange(1, STEPS), SAMPLED - 1, replace=False).tolist())] for _ in range(REPEATS)]
+    part = STEPS // SAMPLED
+    return [[0, *(k * part + int(rng.integers(0, part)) + 1 for k in range(1, SAMPLED))] for _ in range(REPEATS)]
 
 
 def keys(symbols: np.ndarray) -> np.ndarray:
@@ -91,37 +93,66 @@ class Index:
         parts = [(keys(w).reshape(-1), np.tile(np.arange(len(w)), REPEATS), np.full(len(w) * REPEATS, k)) for k, (_, w) in enumerate(self.items) if len(w)]
         every, offset, item = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
         order = np.argsort(every, kind="stable")
+        self.sets = [frozenset(w.tolist()) for _, w in self.items]
         self.keys, self.offset, self.item = every[order].astype(np.uint64), offset[order], item[order]
-
-    def find(self, text: str) -> list[tuple[int, int, int]]:
-        """(item_id, distance, word after the stretch) of each item that the text holds, at its best place."""
-        if not len(self.keys) or not text:
-            return []
-        symbols = words(text)
-        if not len(symbols):
-            return []
-        own = keys(symbols)
-        flat = own.reshape(-1)
-        low = np.searchsorted(self.keys, flat)
-        hit = np.flatnonzero(self.keys[np.minimum(low, len(self.keys) - 1)] == flat)
-        if not len(hit):
-            return []
-        low, high = low[hit], np.searchsorted(self.keys, flat[hit], "right")
-        n = high - low
-        slot = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        place = np.repeat(hit % len(symbols), n) - self.offset[slot]
-        out: dict[int, tuple[int, int, int]] = {}
-        for k, at in sorted({(int(k), int(p)) for k, p in zip(self.item[slot], place, strict=True)}):
+        self.known = np.zeros(1 << 22, bool)  # a look before the search
+        self.known[(self.keys >> SLOT).astype(np.int64)] = True
+
+    def find(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """Of each text (item_id, distance, word after the stretch) of each item that it holds, at its best place."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        if not len(self.keys):
+            return out
+        symbols, low, size = [], 0, 0
+        for n, t in enumerate(texts, 1):
+            symbols.append(words(t) if t else np.zeros(0, np.uint64))
+            size += len(symbols[-1])
+            if size > BUFFER_WORDS or n == len(texts):
+                for k, hits in self.places(symbols).items():
+                    out[low + k] = self.checked(symbols[k], hits)
+                symbols, low, size = [], n, 0
+        return out
+
+    def places(self, symbols: list[np.ndarray]) -> dict[int, list[tuple[int, int]]]:
+        """Of each text with a shared key the items and the words where they would begin. The walks of all texts run side by side."""
+        gap = np.zeros(STEPS + 1, np.uint64)
+        begin = np.cumsum([0, *(len(s) + len(gap) for s in symbols)])[:-1]
+        flat = keys(np.concatenate([x for s in symbols for x in (s, gap)]))
+        n = flat.shape[1]
+        flat = flat.reshape(-1)
+        slot = (flat >> SLOT).astype(np.int64)
+        hit = np.flatnonzero(self.known[slot])
+        low = np.searchsorted(self.keys, flat[hit])
+        same = self.keys[np.minimum(low, len(self.keys) - 1)] == flat[hit]
+        hit, low = hit[same], low[same]
+        times = np.searchsorted(self.keys, flat[hit], "right") - low
+        which = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        at = np.repeat(hit % n, times)
+        text = np.searchsorted(begin, at, "right") - 1
+        inside = at - begin[text]
+        real = inside < np.array([len(s) for s in symbols])[text]
+        found = np.unique(np.stack([text, self.item[which], inside - self.offset[which]], 1)[real], axis=0)
+        out: dict[int, list[tuple[int, int]]] = {}
+        for t, k, place in found.tolist():
+            out.setdefault(t, []).append((k, place))
+        return out
+
+    def checked(self, symbols: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """The items whose exact distance at one of the places is small enough."""
+        out: dict[int, tuple[int, int, int, int]] = {}
+        text = symbols.tolist()
+        for k, at in places:
             i, item = self.items[k]
-            first, most = max(0, at - self.most[k] - 1), self.most[k]
+            most = self.most[k]
+            first, end = max(0, at - most - 1), at + len(item) + most + 1
             if i in out and (out[i][1] == 0 or first + len(item) <= out[i][3]):
                 continue
-            part = symbols[first : at + len(item) + most + 1]
-            if np.isin(item, part).sum() < len(item) - most:
+            part = text[first:end]
+            if len(self.sets[k].intersection(part)) < len(self.sets[k]) - most:
                 continue
-            distance, end = best_stretch(item, part)
+            distance, last = best_stretch(item, np.array(part, np.uint64))
             if distance <= most and (i not in out or distance < out[i][1]):
-                out[i] = (i, distance, first + end, first + len(part))
+                out[i] = (i, distance, first + last, first + len(part))
         return [x[:3] for _, x in sorted(out.items())]
 
 
@@ -130,8 +161,8 @@ def searcher(index):
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int64()), ("last", pa.int64())]))
 
     def search(texts: pa.Array) -> pa.Array:
-        found = index.value.find
-        return pa.array([[dict(zip(("item_id", "distance", "last"), x, strict=True)) for x in found(t or "")] for t in texts.to_pylist()], kind)
+        found = index.value.find([t or "" for t in texts.to_pylist()])
+        return pa.array([[dict(zip(("item_id", "distance", "last"), x, strict=True)) for x in own] for own in found], kind)
 
     return search
 

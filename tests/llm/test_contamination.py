@@ -53,7 +53,7 @@ def test_recall_and_precision():
     for edits, recall in ((0.0, 1.0), (0.1, 0.99), (0.2, 0.95)):
         items, docs = planted(int(edits * 100), edits)
         index, want = c.Index(items, 20), brute(items, docs)
-        got = {i: sorted(x[0] for x in index.find(t)) for i, t in docs}
+        got = {i: sorted(x[0] for x in found) for (i, _), found in zip(docs, index.find([t for _, t in docs]), strict=True)}
         assert all(set(got[i]) <= set(want[i]) for i in got)
         assert sum(map(len, got.values())) >= recall * sum(map(len, want.values()))
 
