@@ -33,7 +33,7 @@ from .common import documents, id_and_text, input_bytes, mixed, shared_dir, writ
 
 GRAM, SHALLOW = 16, 16
 PIECE = 1 << 20
-BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 
 
 def loaded(data: np.ndarray, order: str = "<") -> np.ndarray:
@@ -67,38 +67,36 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 class BlindTrie:
-    """Orders strings of one length; inner nodes keep just the depth at which their strings part."""
+    """Orders distinct strings of one length; inner nodes keep just the depth at which their strings part."""
 
     def __init__(self):
         self.root = None
 
-    def add(self, text: bytes, member: int) -> None:
+    def add(self, text: bytes, members: list[int]) -> None:
         if self.root is None:
-            self.root = (text, [member])
+            self.root = (text, members)
             return
         node = self.root
         while isinstance(node[1], dict):
             depth, kids = node
             node = kids.get(text[depth]) or next(iter(kids.values()))
         other = node[0]
-        if other == text:
-            node[1].append(member)
-            return
-        common = next(k for k, (a, b) in enumerate(zip(text, other, strict=True)) if a != b)
+        apart = int.from_bytes(text) ^ int.from_bytes(other)
+        common = len(text) - (apart.bit_length() + 7) // 8
         parent, node = None, self.root
         while isinstance(node[1], dict) and node[0] < common:
             parent, node = node, node[1][text[node[0]]]
         if isinstance(node[1], dict) and node[0] == common:
-            node[1][text[common]] = (text, [member])
+            node[1][text[common]] = (text, members)
             return
-        split = (common, {other[common]: node, text[common]: (text, [member])})
+        split = (common, {other[common]: node, text[common]: (text, members)})
         if parent is None:
             self.root = split
         else:
             parent[1][text[parent[0]]] = split
 
-    def groups(self) -> Iterator[list[int]]:
-        """Members of equal strings, in the order of the strings."""
+    def ordered(self) -> Iterator[list[int]]:
+        """Members of each string, in the order of the strings."""
         stack = [self.root]
         while stack:
             node = stack.pop()
@@ -122,22 +120,22 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[
         group = np.cumsum(np.concatenate([[0], (np.diff(group) != 0) | (word[1:] != word[:-1])])) if len(order) else group
     if shallow == length or not len(order):
         return order, group
-    text, new, kinds = data.tobytes(), np.empty(len(order), np.int64), 0
+    text, inside = data.tobytes(), np.zeros(len(order), np.int64)
     first = np.flatnonzero(np.diff(group, prepend=-1))
-    single = np.diff(np.append(first, len(order))) == 1
+    last = np.append(first[1:], len(order))
     out = order.copy()
-    for a, b, alone in zip(first.tolist(), np.append(first[1:], len(order)).tolist(), single.tolist(), strict=True):
-        if alone:
-            new[a] = kinds
-            kinds += 1
-            continue
-        trie = BlindTrie()
+    for a, b in zip(*(x[last - first > 1].tolist() for x in (first, last)), strict=True):
+        equal: dict[bytes, list[int]] = {}
         for m, s in zip(order[a:b].tolist(), starts[order[a:b]].tolist(), strict=True):
-            trie.add(text[s + shallow : s + length], m)
-        for members in trie.groups():
-            out[a : a + len(members)], new[a : a + len(members)] = members, kinds
-            a, kinds = a + len(members), kinds + 1
-    return out, new
+            equal.setdefault(text[s + shallow : s + length], []).append(m)
+        if len(equal) > 1:
+            trie = BlindTrie()
+            for rest, members in equal.items():
+                trie.add(rest, members)
+            for k, members in enumerate(trie.ordered()):
+                out[a : a + len(members)], inside[a : a + len(members)] = members, k
+                a += len(members)
+    return out, np.cumsum(np.concatenate([[0], (np.diff(group) != 0) | (np.diff(inside) != 0)]))
 
 
 class Block:
@@ -289,7 +287,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         for x, d in zip(at, table["docs"].to_pylist(), strict=True):
             docs_of[x] = np.minimum(docs_of[x], np.frombuffer(d, np.int64))
         found = settled(list(number), docs_of, length)
-        rows = [[np.array([len(found[n][0]) for n in x.tolist()], "<u4").tobytes(), b"".join(found[n][0].astype("<u4").tobytes() for n in x.tolist()), b"".join(found[n][1].astype("<i8").tobytes() for n in x.tolist())] for x in at]
+        size = np.array([len(f[0]) for f in found], "<u4")
+        lengths, least = [f[0].astype("<u4").tobytes() for f in found], [f[1].astype("<i8").tobytes() for f in found]
+        rows = [[size[x].tobytes(), b"".join(lengths[n] for n in x.tolist()), b"".join(least[n] for n in x.tolist())] for x in at]
         return pa.table({"block": table["block"], "bucket": table["bucket"], **{k: pa.array([r[j] for r in rows], pa.binary()) for j, k in enumerate(("n_runs", "lengths", "least"))}})
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,19 +300,22 @@ def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                 verdict = {}
                 for x in row["verdicts"] or []:
                     ends = np.cumsum(np.frombuffer(x["n_runs"], "<u4"), dtype=np.int64)
-                    verdict[x["bucket"]] = (np.concatenate([[0], ends]), np.frombuffer(x["lengths"], "<u4"), np.frombuffer(x["least"], "<i8"))
-                cover = [np.zeros(len(d) + 1, np.int64) for d in block.data]
+                    verdict[x["bucket"]] = ([0, *ends.tolist()], np.frombuffer(x["lengths"], "<u4").tolist(), np.frombuffer(x["least"], "<i8").tolist())
+                gone_from: list[list[int]] = [[] for _ in block.data]
+                gone_to: list[list[int]] = [[] for _ in block.data]
                 for (b, n), k, first in zip(runs, block.doc.tolist(), block.first.tolist(), strict=True):
                     ends, lengths, least = verdict[b]
                     for j in range(ends[n], ends[n + 1]):
-                        size = int(lengths[j])
                         if least[j] < block.doc_ids[k]:
-                            cover[k][first] += 1
-                            cover[k][first + size - 1 + length] -= 1
-                        first += size
+                            gone_from[k].append(first)
+                            gone_to[k].append(first + lengths[j] - 1 + length)
+                        first += lengths[j]
                 rows = []
-                for d, c in zip(block.data, cover, strict=True):
-                    gone = np.cumsum(c[:-1]) > 0
+                for d, a, z in zip(block.data, gone_from, gone_to, strict=True):
+                    cover = np.zeros(len(d) + 1, np.int32)
+                    np.add.at(cover, a, 1)
+                    np.subtract.at(cover, z, 1)
+                    gone = np.cumsum(cover[:-1]) > 0
                     rows.append((len(d), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(d[~gone].tobytes()).hexdigest()))
                 yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids, pa.int64()), *(pa.array([r[k] for r in rows], pa.int64() if k < 3 else pa.string()) for k in range(4))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
