@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
 
+from . import joins, scalars
+from .roles import ORACLES, QUERIES
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+__all__ = ["ORACLES", "QUERIES", "flagship", "joins", "scalars"]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["flagship_activity_discovery"](spark, sf_dir)
