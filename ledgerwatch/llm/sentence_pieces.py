@@ -26,7 +26,7 @@ from .common import documents, id_and_text
 SPACE = "▁"
 U4 = np.dtype("<u4")
 GAP = 0x110000  # ends each unit in the index; no character has it
-MOST_UNITS, MOST_PAIRS, MOST_INDEX = 400_000, 1_500_000, 1_000_000
+MOST_UNITS, MOST_PAIRS, MOST_INDEX = 300_000, 500_000, 250_000
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -198,10 +198,9 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model
     """The same rows with one more column, the ids as array<int>; a null text has none."""
 
     def encode(texts: pa.Array) -> pa.Array:
-        m, words, parts = model(model_path), [], []
-        every = texts.to_pylist()
-        for low in range(0, len(every), 500):
-            parts += m.encode([t or "" for t in every[low : low + 500]])
+        m, parts = model(model_path), []
+        for low in range(0, len(texts), 500):
+            parts += m.encode([t or "" for t in texts[low : low + 500].to_pylist()])
         offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
         words = np.frombuffer(b"".join(parts), U4).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(words))
@@ -214,7 +213,7 @@ def decoded(ids: str | Column, model_path: str | None = None) -> Column:
 
     def decode(rows: pa.Array) -> pa.Array:
         m = model(model_path)
-        return pa.array([m.decode(x or []) for x in rows.to_pylist()], pa.string())
+        return pa.array([m.decode(x or []) for low in range(0, len(rows), 100) for x in rows[low : low + 100].to_pylist()], pa.string())
 
     return F.arrow_udf(decode, "string")(ids)
 
