@@ -20,13 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import documents, id_and_text
 
 SPACE = "▁"
 U4 = np.dtype("<u4")
 GAP = 0x110000  # ends each unit in the index; no character has it
-MOST_UNITS, MOST_PAIRS, MOST_INDEX = 300_000, 500_000, 250_000
+MOST_UNITS, MOST_PAIRS, MOST_INDEX = 300_000, 1_500_000, 400_000
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -49,6 +50,12 @@ def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
         size *= 2
 
 
+def threes(points: np.ndarray) -> np.ndarray:
+    """Three rows of points as one integer each, in the order of the points."""
+    a, b, c = points.astype(np.uint64)
+    return a << np.uint64(42) | b << np.uint64(21) | c
+
+
 class Model:
     """Pieces and ranks of a model file, and what has been learned about their neighbours."""
 
@@ -71,7 +78,12 @@ class Model:
         for row, i in zip(self.table, ids.tolist(), strict=True):
             row[: len(self.name[i])] = [ord(c) for c in self.name[i]]
         self.ids, self.count = ids, len(self.raw)
-        self.pairs: dict[int, bool] = {}
+        wide = np.concatenate([self.table, np.zeros((len(ids), 3 + -self.longest % 3), np.int64)], 1)
+        self.words = np.stack([threes(wide[:, k : k + 3].T.reshape(3, -1)) for k in range(0, self.longest, 3)])
+        kept = np.clip(self.length[None, :] - np.arange(0, self.longest, 3)[:, None], 0, 3).astype(np.uint64)
+        self.masks = (np.uint64((1 << 63) - 1) << (np.uint64(63) - kept * np.uint64(21))) & np.uint64((1 << 63) - 1)
+        #: Known pairs, sorted, and whether they stand; new ones wait in a dict.
+        self.pairs, self.good, self.fresh = np.zeros(0, np.int64), np.zeros(0, bool), {}
         self.units: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -89,36 +101,47 @@ class Model:
 
     def stand(self, pairs: np.ndarray) -> np.ndarray:
         """Which pairs (id << 32 | id) of pieces the merges leave side by side; ids from self.count on are outside the vocabulary."""
-        kinds, inverse = np.unique(pairs, return_inverse=True)
-        if len(self.pairs) > MOST_PAIRS:
-            self.pairs.clear()
-        out = np.ones(len(kinds), bool)
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        known = self.pairs[at] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
+        out = np.zeros(len(pairs), bool)
+        out[known] = self.good[at[known]]
+        kinds, inverse = np.unique(pairs[~known], return_inverse=True)
+        found = np.ones(len(kinds), bool)
         for k, pair in enumerate(kinds.tolist()):
-            if (good := self.pairs.get(pair)) is None:
+            if (good := self.fresh.get(pair)) is None:
                 a, b = self.name.get(pair >> 32), self.name.get(pair & 0xFFFFFFFF)
-                good = self.pairs[pair] = a is None or b is None or self.merged(a + b) == [a, b]
-            out[k] = good
-        return out[inverse]
+                good = self.fresh[pair] = a is None or b is None or self.merged(a + b) == [a, b]
+            found[k] = good
+        out[~known] = found[inverse]
+        return out
+
+    def settle(self) -> None:
+        """Puts the new pairs among the sorted ones."""
+        if len(self.pairs) > MOST_PAIRS:
+            self.pairs, self.good = np.zeros(0, np.int64), np.zeros(0, bool)
+        pairs = np.concatenate([self.pairs, np.fromiter(self.fresh.keys(), np.int64, len(self.fresh))])
+        good = np.concatenate([self.good, np.fromiter(self.fresh.values(), bool, len(self.fresh))])
+        order = np.argsort(pairs)
+        self.pairs, self.good, self.fresh = pairs[order], good[order], {}
 
     def edges(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length, id) of every occurrence of every piece, and of characters that are no piece."""
         order = suffixes(points, self.longest)
-        padded = np.concatenate([points, np.full(self.longest, GAP)])
+        padded = np.concatenate([points, np.full(self.longest + 3, GAP)])
+        three = threes(np.stack([padded[:-2], padded[1:-1], padded[2:]]))
 
         def bound(after: bool) -> np.ndarray:
             low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order))
             while (open_ := low < high).any():
                 middle = (low + high) // 2
                 at = order[np.minimum(middle, len(order) - 1)]
-                less = np.zeros(len(self.ids), bool)
-                equal = open_.copy()
-                for k in range(self.longest):
+                less, equal = np.zeros(len(self.ids), bool), open_.copy()
+                for k in range(len(self.words)):
+                    x = three[at + 3 * k] & self.masks[k]
+                    less |= equal & (x < self.words[k])
+                    equal &= x == self.words[k]
                     if not equal.any():
                         break
-                    within = equal & (k < self.length)
-                    x = padded[at + k]
-                    less |= within & (x < self.table[:, k])
-                    equal &= (k >= self.length) | (x == self.table[:, k])
                 go = open_ & (less | (equal & after))
                 low = np.where(go, middle + 1, low)
                 high = np.where(open_ & ~go, middle, high)
@@ -153,13 +176,30 @@ class Model:
             fine = (s == origin[low:high]) | self.stand(np.maximum(last[s], 0) << 32 | w)
             at = np.flatnonzero(fine)[::-1]
             last[e[at]], back[e[at]] = w[at], s[at]
-        for u, first, end in zip(units, begin.tolist(), ends.tolist(), strict=True):
-            ids: list[int] = []
-            while end > first:
-                i = int(last[end])
-                ids += [i] if i < self.count else [self.bytes_from + b for b in reversed(chr(points[end - 1]).encode("utf-8", "surrogatepass"))]
-                end = int(back[end])
-            self.units[u] = np.array(ids[::-1], U4).tobytes()
+        self.settle()
+        at, own, ids = ends.copy(), [], []
+        which_unit = np.arange(len(units))
+        while len(which_unit):
+            ids.append(last[at])
+            own.append(which_unit)
+            at = back[at]
+            more = at > begin[which_unit]
+            at, which_unit = at[more], which_unit[more]
+        tokens, of = np.concatenate(ids)[::-1], np.concatenate(own)[::-1]  # each unit's tokens are in order from its start now
+        order = np.argsort(of, kind="stable")
+        raw, cut = tokens[order].astype(U4).tobytes(), (4 * np.searchsorted(of[order], np.arange(len(units) + 1))).tolist()
+        bare = np.zeros(len(units), bool)
+        bare[of[tokens >= self.count]] = True
+        for u, a, z, has_bare in zip(units, cut, cut[1:], bare.tolist(), strict=False):
+            self.units[u] = self.with_bytes(u, np.frombuffer(raw[a:z], U4).tolist()) if has_bare else raw[a:z]
+
+    def with_bytes(self, unit: str, ids: list[int]) -> bytes:
+        """The ids of a unit in which characters outside the vocabulary stand for their bytes."""
+        out, at = [], 0
+        for i in ids:
+            out += [i] if i < self.count else [self.bytes_from + b for b in unit[at].encode("utf-8", "surrogatepass")]
+            at += len(self.name[i]) if i < self.count else 1
+        return np.array(out, U4).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -196,16 +236,19 @@ def model(path: str | None = None) -> Model:
 
 def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model_path: str | None = None) -> DataFrame:
     """The same rows with one more column, the ids as array<int>; a null text has none."""
+    at = docs.columns.index(text_col)
 
-    def encode(texts: pa.Array) -> pa.Array:
-        m, parts = model(model_path), []
-        for low in range(0, len(texts), 500):
-            parts += m.encode([t or "" for t in texts[low : low + 500].to_pylist()])
-        offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
-        words = np.frombuffer(b"".join(parts), U4).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(words))
-
-    return docs.withColumn(ids_col, F.arrow_udf(encode, "array<int>")(text_col))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(model_path)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                rows = batch.slice(low, 500)
+                parts = m.encode([t or "" for t in rows.column(at).to_pylist()])
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32))
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), U4).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*rows.columns, ids], [*rows.schema.names, ids_col])
+
+    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
 
 def decoded(ids: str | Column, model_path: str | None = None) -> Column:
