@@ -28,7 +28,7 @@ def text(x):
 
 
 def rows(df):
-    return sorted(tuple(map(text, r)) for r in df[sorted(df.columns)].itertuples(index=False))
+    return sorted(zip(*([text(x) for x in df[c].tolist()] for c in sorted(df.columns)), strict=True))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
