@@ -1,6 +1,6 @@
 """Removal of byte strings that an earlier document has, by sorted suffixes.
 
-Every window of `length` bytes picks an anchor: the 16-byte gram in it with the least hash. Equal windows pick equal anchors,
+Every window of `length` bytes picks an anchor: the 24-byte gram in it with the least hash. Equal windows pick equal anchors,
 so only windows whose anchor occurs in two documents can repeat, and a few percent of the positions stand for all.
 
 1. Texts are packed into blocks, a written table bucketed by block. Each block asks, once for each distinct anchor, whether
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, id_and_text, input_bytes, mixed, shared_dir, written
 
-GRAM, SHALLOW = 16, 16
+GRAM, SHALLOW = 24, 16
 PIECE = 1 << 20
 BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 
@@ -49,7 +49,9 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         if len(part) < length:
             break
         eight = loaded(part)
-        gram = mixed(eight[: len(part) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + eight[8:])
+        gram = eight[: len(part) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+        for k in range(8, GRAM, 8):
+            gram = mixed(gram + eight[k : len(part) - GRAM + 1 + k])
         least = (gram & ~np.uint64(PIECE - 1)) | np.arange(len(gram), dtype=np.uint64)
         wide, size = length - GRAM + 1, 1
         while size * 2 <= wide:
@@ -229,7 +231,7 @@ def unpacked(sizes: bytes, data: bytes) -> list[bytes]:
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs; length is over 16."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs; length is over 24."""
     spark = docs.sparkSession
     buckets = max(16, input_bytes(docs) // BUCKET_BYTES)
 

@@ -42,7 +42,7 @@ def test_every_window_has_its_anchor():
     data = np.frombuffer(("abc" * 30 + "the quick brown fox jumps over it" * 9).encode(), np.uint8)
     _, at, first, last = rs.anchors(data, 50)
     assert first[0] == 0 and last[-1] == len(data) - 50 and (first[1:] == last[:-1] + 1).all()
-    assert (at >= last).all() and (at + 16 <= first + 50).all()
+    assert (at >= last).all() and (at + rs.GRAM <= first + 50).all()
 
 
 def texts(seed, n=120):
