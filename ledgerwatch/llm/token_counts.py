@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, id_and_text, span_hashes
+from .common import byte_letters, documents, id_and_text, span_hashes
 
 LETTER, NUMBER, SPACE, OTHER, SHORT, LONG = range(6)
 #: Between pretokens; in letters; in other characters; one or two characters of a contraction still to come.
@@ -87,13 +87,6 @@ def marks(points: np.ndarray) -> np.ndarray:
     return out.T.reshape(-1)[: len(points)]
 
 
-def byte_letters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
-
-
 class Merges:
     """The transducer over the bytes of a pretoken."""
 

@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, id_and_text, input_bytes, shared_dir
+from .common import byte_letters, documents, id_and_text, input_bytes, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED = 1_000_000
+MOST_CACHED = 600_000
+MARKS = frozenset(".,;:!?")
 
 
 @lru_cache(2)
@@ -55,20 +56,55 @@ def units(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts with the library; units that were seen before come from a bounded memory."""
+    """Encodes texts with the library; units that were seen before come from a bounded memory.
+
+    A unit that is a space and letters, with or without a mark after them, is one or two pretokens, so these go to the
+    library's merge model directly; all others take its whole way.
+    """
 
     def __init__(self, path: str | None = None):
-        self.tok, self.seen = tokenizer(path), {}
+        self.tok, self.seen, self.words, self.after_space = tokenizer(path), {}, {}, {}
+        self.letter = byte_letters()
+
+    def word(self, text: str) -> bytes:
+        """The ids of one pretoken."""
+        if (known := self.words.get(text)) is None:
+            known = self.words[text] = array("I", [t.id for t in self.tok.model.tokenize("".join(map(self.letter.__getitem__, text.encode())))]).tobytes()
+        return known
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes a space and each piece."""
+        rest = []
+        for p in pieces:
+            if p.isalpha():
+                self.after_space[p] = self.word(" " + p)
+            elif p[-1:] in MARKS and p[:-1].isalpha():
+                self.after_space[p] = self.word(" " + p[:-1]) + self.word(p[-1])
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tok.encode_batch_fast([" " + p for p in rest], add_special_tokens=False), strict=True):
+            self.after_space[p] = array("I", e.ids).tobytes()
+
+    def unit(self, text: str) -> bytes:
+        if (known := self.seen.get(text)) is None:
+            known = self.seen[text] = array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        return known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [None if "<|" in t else units(t) for t in texts]
-        if len(self.seen) > MOST_CACHED:
-            self.seen.clear()
-        fresh = list(set().union(*(c for c in cut if c)) - self.seen.keys())
-        for u, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.seen[u] = array("I", e.ids).tobytes()
-        get = self.seen.__getitem__
-        return [b"".join(map(get, c)) if c else np.array(self.tok.encode(t, add_special_tokens=False).ids, U4).tobytes() for c, t in zip(cut, texts, strict=True)]
+        for memory in (self.seen, self.words, self.after_space):
+            if len(memory) > MOST_CACHED:
+                memory.clear()
+        plain = [None if "<|" in t or "  " in t or t[-1:] == " " else t.split(" ") for t in texts]
+        self.learn(list(set().union(*(c[1:] for c in plain if c)) - self.after_space.keys()))
+        get, out = self.after_space.__getitem__, []
+        for t, c in zip(texts, plain, strict=True):
+            if c:
+                out.append(self.unit(c[0]) + b"".join(map(get, c[1:])) if c[0] else b"".join(map(get, c[1:])))
+            elif "<|" in t:
+                out.append(array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes())
+            else:
+                out.append(b"".join(map(self.unit, units(t))))
+        return out
 
 
 @lru_cache(1)
@@ -77,7 +113,7 @@ def shared_encoder(path: str | None = None) -> Encoder:
     return Encoder(path)
 
 
-SLOTS = np.uint64(44)  # pairs are counted by 20 bits of a hash first
+SLOTS = np.uint64(44)  # pairs are counted in slots of 20 bits of a hash
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rounds: int = 6, most_rules: int = 8192, least_count: int = 6, least_gain: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,25 +122,27 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rounds: int = 6,
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.uint64)
-    table = np.full(1 << 20, -1, np.int32)
+    table, holder = np.full(1 << 20, -1, np.int32), np.zeros(1 << 20, np.uint64)
     for _ in range(most_rounds):
         if len(symbols) < 2:
             break
         pair = symbols[:-1] << np.uint64(32) | symbols[1:]
         slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> SLOTS).astype(np.int64)
-        often = np.bincount(slot, minlength=1)[slot] >= least_count  # no pair that is frequent gets lost
-        often &= ~last[:-1]
-        kinds, counts = np.unique(pair[often], return_counts=True)
-        good = counts >= least_count
+        holder[slot] = pair  # one pair of each slot is counted; another waits for the next round
+        same = (holder[slot] == pair) & ~last[:-1]
+        counts = np.bincount(slot[same], minlength=len(holder))
+        own = np.flatnonzero(counts >= least_count)
+        kinds, counts = holder[own], counts[own]
+        good = np.ones(len(own), bool)
         if good.sum() > most_rules:
             good &= counts >= np.partition(counts, -most_rules)[-most_rules]
         chosen = kinds[good]
         if not len(chosen) or counts[good].sum() < least_gain * len(symbols):
             break
-        own = ((chosen * np.uint64(0x9E3779B97F4A7C15)) >> SLOTS).astype(np.int64)
-        table[own] = np.arange(len(chosen))  # of two in one slot the other waits for the next round
+        own = own[good]
+        table[own] = np.arange(len(chosen))
         which = table[slot]
-        hit = (which >= 0) & (chosen[which] == pair) & ~last[:-1]
+        hit = same & (which >= 0)
         table[own] = -1
         # of neighbouring hits every second one is taken, from the left
         at = np.arange(len(hit))

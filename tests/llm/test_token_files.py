@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -31,6 +32,19 @@ def test_units_encode_as_the_whole(text):
     assert np.frombuffer(tf.Encoder()([text])[0], tf.U4).tolist() == tf.tokenizer().encode(text, add_special_tokens=False).ids
 
 
+def test_documents():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist() + [" a", "a b. c, d!", " ", "", "Ünï çøđé. ⅷ x² ªb", "it's 5pm. U.S. e.g., a.b"]
+    encoder = tf.Encoder()
+    for got, e in zip(encoder(texts), tf.tokenizer().encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(got, tf.U4).tolist() == e.ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=6).map(" ".join))
+def test_any_text(text):
+    assert np.frombuffer(tf.Encoder()([text])[0], tf.U4).tolist() == tf.tokenizer().encode(text, add_special_tokens=False).ids
+
+
 def test_files(spark, tmp_path):
     rows = [(i, f"hello  world {i} " * (i % 7)) for i in range(300)] + [(1000, None), (1001, ""), (None, "x"), (5, "again"), (2000, "long " * 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as start").repartition(5)
