@@ -85,7 +85,7 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
 def linked(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that join all of these sets that are connected by similarity; rows of equal labels are taken as joined already.
 
-    Everything outside the largest component is compared with all others.
+    One component is singled out, the largest at the start; every row that isn't in it, or hasn't joined it, is compared with all.
     """
     n = len(ids)
     sizes = np.array([len(x) for x in sets], np.int64)
@@ -93,9 +93,10 @@ def linked(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], percent:
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
     member = np.zeros(codes.max() + 1, bool)
     group = np.unique(labels, return_inverse=True)[1]
+    first = int(np.flatnonzero(group == np.argmax(np.bincount(group)))[0])
     out = []
-    for x in range(n):
-        if x and group[x] == np.argmax(np.bincount(group)):
+    for x in (first, *range(n)):
+        if group[x] == group[first] and (x != first or out):
             continue
         own = codes[at[x] : at[x] + sizes[x]]
         member[own] = True

@@ -67,3 +67,39 @@ def test_long_chains(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[100] == got[101] == 100
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_links_join_what_is_connected(seed):
+    rng = np.random.default_rng(seed)
+    centres = [np.unique(rng.integers(0, 1000, 40)) for _ in range(4)]
+    sets = []
+    for _ in range(40):
+        own = centres[int(rng.integers(0, 4))].copy()
+        own[: int(rng.integers(0, 9))] = rng.integers(1000, 5000, 1)
+        sets.append(np.unique(own).astype(np.uint64))
+    similar = [[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in sets] for a in sets]
+
+    def closed(label):
+        changed = True
+        while changed:
+            changed = False
+            for a in range(40):
+                for b in range(40):
+                    if similar[a][b] and label[a] != label[b]:
+                        label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+                        changed = True
+        return label
+
+    start = list(range(40))
+    for a in range(40):  # some links are known before
+        for b in range(a):
+            if similar[a][b] and rng.random() < 0.1:
+                low, high = sorted((start[a], start[b]))
+                start = [low if x == high else x for x in start]
+    got = list(start)
+    for a, b in nd.linked(np.arange(40), np.array(start), sets, 85):
+        assert similar[a][b]
+        low, high = sorted((got[a], got[b]))
+        got = [low if x == high else x for x in got]
+    assert got == closed(list(start))
