@@ -27,7 +27,7 @@ from .common import documents, id_and_text
 SPACE = "▁"
 U4 = np.dtype("<u4")
 GAP = 0x110000  # ends each unit in the index; no character has it
-MOST_UNITS, MOST_PAIRS, MOST_INDEX = 300_000, 1_500_000, 400_000
+MOST_UNITS, MOST_PAIRS, MOST_INDEX = 700_000, 1_500_000, 250_000
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -86,18 +86,28 @@ class Model:
         self.pairs, self.good, self.fresh = np.zeros(0, np.int64), np.zeros(0, bool), {}
         self.units: dict[str, bytes] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Merges by score, then from the left, as the model is defined; for short texts."""
-        parts = list(text)
+    def apart(self, a: str, b: str) -> bool:
+        """Whether the merges of the joined text, by score and then from the left, end at these two pieces and never cross them."""
+        if a + b in self.score:
+            return False
+        parts, edge, score = [*a, *b], len(a), self.score.get
+        ranks = [score(x + y) for x, y in zip(parts, parts[1:], strict=False)]
         while True:
             best, at = None, 0
-            for k in range(len(parts) - 1):
-                s = self.score.get(parts[k] + parts[k + 1])
+            for k, s in enumerate(ranks):
                 if s is not None and (best is None or s > best):
                     best, at = s, k
             if best is None:
-                return parts
+                return len(parts) == 2
+            if at + 1 == edge:
+                return False
+            edge -= at + 1 < edge
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = score(parts[at - 1] + parts[at])
+            if at < len(ranks):
+                ranks[at] = score(parts[at] + parts[at + 1])
 
     def stand(self, pairs: np.ndarray) -> np.ndarray:
         """Which pairs (id << 32 | id) of pieces the merges leave side by side; ids from self.count on are outside the vocabulary."""
@@ -110,7 +120,7 @@ class Model:
         for k, pair in enumerate(kinds.tolist()):
             if (good := self.fresh.get(pair)) is None:
                 a, b = self.name.get(pair >> 32), self.name.get(pair & 0xFFFFFFFF)
-                good = self.fresh[pair] = a is None or b is None or self.merged(a + b) == [a, b]
+                good = self.fresh[pair] = a is None or b is None or self.apart(a, b)
             found[k] = good
         out[~known] = found[inverse]
         return out
@@ -205,8 +215,12 @@ class Model:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = []
         for t in texts:
+            t = t.replace(SPACE, " ") if SPACE in t else t
+            if t and "  " not in t and t[0] != " " and t[-1] != " ":
+                cut.append([SPACE + p for p in t.split(" ")])
+                continue
             own, ahead = [], SPACE if t else ""
-            for k, p in enumerate(t.replace(SPACE, " ").split(" ") if t else ()):
+            for k, p in enumerate(t.split(" ") if t else ()):
                 ahead += SPACE if k else ""
                 if p:
                     own.append(ahead + p)
@@ -215,7 +229,7 @@ class Model:
         if len(self.units) > MOST_UNITS:
             self.units.clear()
         fresh, size = [], 0
-        for u in sorted({u for c in cut for u in c if u not in self.units}):
+        for u in sorted(set().union(*cut) - self.units.keys()):
             fresh.append(u)
             size += len(u) + 1
             if size > MOST_INDEX:
