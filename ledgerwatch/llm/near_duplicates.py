@@ -192,3 +192,14 @@ def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), n=3, percent=85)
+
+
+#: The same rows as op2_minhash.
+OP2_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS shingle FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w) - 1, 2))) AS i) WHERE len(w) > 0),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+ pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+ link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)),
+ reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT id, b FROM reach JOIN link ON r = a),
+ c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY 1)
+ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN c ON id = doc_id LEFT JOIN n USING (doc_id)"""

@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -103,3 +104,12 @@ def test_links_join_what_is_connected(seed):
         low, high = sorted((got[a], got[b]))
         got = [low if x == high else x for x in got]
     assert got == closed(list(start))
+
+
+def test_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = c.sql(nd.OP2_SQL).fetchall()
+    got = nd.op2_minhash(spark, sf).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
