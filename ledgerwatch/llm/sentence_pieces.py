@@ -261,6 +261,7 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32))
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), U4).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, ids], [*rows.schema.names, ids_col])
+        m.units.clear()  # the process goes on to other stages
 
     return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
