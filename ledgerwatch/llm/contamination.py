@@ -5,6 +5,8 @@ puts out the word that it stands on, and one random bit of that word and step sa
 over texts a few edits apart fall into step again, so edit distance becomes Hamming distance between the outputs. Repeated bit
 sampling finds the close ones: each repetition has a walk of its own and joins a few sampled outputs to one key.
 Item windows are indexed from each of their words, so that an item is met behind and between its edits, not just at its start.
+A walk needs words to read, so items of up to `SHORT` words are found in an exact way: cut into one piece more than they may have
+edits, they keep one piece whole in every stretch that is close enough. Pieces are keyed by their words; nothing is missed there.
 Every key that a document shares with an item gives the place where the item would stand; there the exact word edit distance
 to the best stretch of the text decides.
 
@@ -16,18 +18,20 @@ The index goes to all tasks, so it is built over blocks of items of a bounded si
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, documents, mixed, span_hashes
+from .common import LOWER, documents, mixed, span_hashes, windows
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 STEPS, SAMPLED, REPEATS = 16, 6, 6
+SHORT = 32
 BLOCK_CHARACTERS, BUFFER_WORDS = 8_000_000, 30_000
 SLOT = np.uint64(42)
 
@@ -63,6 +67,17 @@ def keys(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
+def pieces(n: int, most: int) -> tuple[int, list[int]]:
+    """Length of the pieces of an item of n words, and where they begin: of most + 1 such pieces, most edits leave one whole."""
+    length = max(1, n // (most + 1))
+    return length, [k * length for k in range(min(most + 1, n))]
+
+
+def runs(symbols: np.ndarray, length: int) -> np.ndarray:
+    """A key of the words from each symbol on; past the end stand end symbols."""
+    return windows(np.concatenate([symbols, np.zeros(length - 1, np.uint64)]), length)
+
+
 def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """The least edit distance of the item to any stretch of the text, and where the first such stretch ends; bit-parallel."""
     n, where = len(item), {}
@@ -85,12 +100,20 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 class Index:
-    """Keys of all windows of a block of items."""
+    """Keys of all windows, and of the pieces of short items, of a block of items."""
 
     def __init__(self, items: list[tuple[int, str]], percent: int):
         self.items = [(i, words(t or "")) for i, t in items]
         self.most = [percent * len(w) // 100 for _, w in self.items]
-        parts = [(keys(w).reshape(-1), np.tile(np.arange(len(w)), REPEATS), np.full(len(w) * REPEATS, k)) for k, (_, w) in enumerate(self.items) if len(w)]
+        long = [k for k, (_, w) in enumerate(self.items) if len(w) > SHORT]
+        parts = [(keys(w).reshape(-1), np.tile(np.arange(len(w)), REPEATS), np.full(len(w) * REPEATS, k)) for k, w in ((k, self.items[k][1]) for k in long)]
+        lengths = set()
+        for k, (_, w) in enumerate(self.items):
+            if 0 < len(w) <= SHORT:
+                length, begins = pieces(len(w), self.most[k])
+                lengths.add(length)
+                parts.append((runs(w, length)[begins], np.array(begins), np.full(len(begins), k)))
+        self.walks, self.lengths = bool(long), sorted(lengths)
         every, offset, item = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
         order = np.argsort(every, kind="stable")
         self.sets = [frozenset(w.tolist()) for _, w in self.items]
@@ -117,9 +140,9 @@ class Index:
         """Of each text with a shared key the items and the words where they would begin. The walks of all texts run side by side."""
         gap = np.zeros(STEPS + 1, np.uint64)
         begin = np.cumsum([0, *(len(s) + len(gap) for s in symbols)])[:-1]
-        flat = keys(np.concatenate([x for s in symbols for x in (s, gap)]))
-        n = flat.shape[1]
-        flat = flat.reshape(-1)
+        joined = np.concatenate([x for s in symbols for x in (s, gap)])
+        n = len(joined)
+        flat = np.concatenate([*(keys(joined) if self.walks else ()), *(runs(joined, x) for x in self.lengths)])
         slot = (flat >> SLOT).astype(np.int64)
         hit = np.flatnonzero(self.known[slot])
         low = np.searchsorted(self.keys, flat[hit])
@@ -139,21 +162,28 @@ class Index:
 
     def checked(self, symbols: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """The items whose exact distance at one of the places is small enough."""
-        out: dict[int, tuple[int, int, int, int]] = {}
+        out: dict[int, tuple[int, int, int]] = {}
         text = symbols.tolist()
-        for k, at in places:
+        for k, own in groupby(places, itemgetter(0)):
             i, item = self.items[k]
             most = self.most[k]
-            first, end = max(0, at - most - 1), at + len(item) + most + 1
-            if i in out and (out[i][1] == 0 or first + len(item) <= out[i][3]):
-                continue
-            part = text[first:end]
-            if len(self.sets[k].intersection(part)) < len(self.sets[k]) - most:
-                continue
-            distance, last = best_stretch(item, np.array(part, np.uint64))
-            if distance <= most and (i not in out or distance < out[i][1]):
-                out[i] = (i, distance, first + last, first + len(part))
-        return [x[:3] for _, x in sorted(out.items())]
+            parts: list[list[int]] = []
+            for _, at in own:
+                first, end = max(0, at - most - 1), at + len(item) + most + 1
+                if parts and first < parts[-1][1]:
+                    parts[-1][1] = end
+                else:
+                    parts.append([first, end])
+            for first, end in parts:
+                if i in out and out[i][1] == 0:
+                    break
+                part = text[first:end]
+                if len(self.sets[k].intersection(part)) < len(self.sets[k]) - most:
+                    continue
+                distance, last = best_stretch(item, np.array(part, np.uint64))
+                if distance <= most and (i not in out or distance < out[i][1]):
+                    out[i] = (i, distance, first + last)
+        return [x for _, x in sorted(out.items())]
 
 
 def searcher(index):

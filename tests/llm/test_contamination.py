@@ -58,6 +58,24 @@ def test_recall_and_precision():
         assert sum(map(len, got.values())) >= recall * sum(map(len, want.values()))
 
 
+def test_short_items_equal_brute_force():
+    rng = np.random.default_rng(11)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(n * 8 + k, [str(x) for x in rng.choice(vocabulary, n)]) for n in range(1, 15) for k in range(8)]
+    docs = []
+    for _, item in items:
+        part = list(item)
+        for k in sorted(rng.choice(len(item), len(item) // 5, replace=False), reverse=True):
+            part[k : k + 1] = [[], ["new"], [part[k], "new"]][int(rng.integers(0, 3))]
+        body = [str(x) for x in rng.choice(vocabulary, 40)]
+        at = int(rng.integers(0, 41))
+        docs.append(" ".join([*body[:at], *part, *body[at:]]))
+    found = c.Index([(k, " ".join(item)) for k, item in items], 20).find(docs)
+    for doc, hits in zip(docs, found, strict=True):
+        text = doc.split()
+        assert [x[:2] for x in hits] == [(k, d) for k, item in items if (d := least(item, text)) <= len(item) // 5]
+
+
 def test_rows(spark, monkeypatch):
     items, docs = planted(5, 0.0)
     docs += [(1000, None), (1001, ""), (None, "clean"), (1, docs[1][1])]
