@@ -2,9 +2,10 @@
 
 Texts are cut into lower-cased words. Every rolling 2-gram of words is hashed and joined to the positions of the same
 hashes in the template texts (a fixed parameter of a few hundred words, so broadcast). A hit at text word i and template
-word j votes for the diagonal i - j of that template. Votes are summed by diagonal, neighbouring diagonals are merged, so
-that a dropped or added word doesn't break a span, and a span counts if enough of the template's words were seen; every
-vote is verified by comparing the words themselves, not just their hashes.
+word j votes for the diagonal i - j of that template. Votes are chained in the order of text and template: each hit goes on
+from the best chain that ends before it in both and at most `most_shift` diagonals away, whatever other hits stand in between. So a
+dropped or added word costs the grams that it breaks and no more (an added word one, a dropped word two), and a span counts if it
+still has `least_share` of the template's grams; every vote is verified by comparing the words themselves, not just their hashes.
 
 Base phrases are templates that must match whole: all places count. Longer templates add labels and spans.
 score is the largest share of a template's grams found in one span, 0 without a label.
@@ -13,8 +14,7 @@ Null and empty texts have no words. Rows are kept apart even if ids repeat or ar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, id_and_text
@@ -35,6 +35,7 @@ TEMPLATES = (
     ("cc-by", "licensed under the creative commons attribution"),
     ("reserved", "all rights reserved"),
 )
+SPANS = "array<struct<first:int,last:int,n:int>>"
 
 
 def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
@@ -47,6 +48,32 @@ def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) ->
     return grams.withColumn("gram", F.xxhash64("a", "b"))
 
 
+def chains(hits: Column, size: Column, least_share: float, most_shift: int) -> Column:
+    """The spans (first, last, n) of the chains of hits (i, j) that have enough of the template's grams; of chains that overlap the best."""
+    chain = "array<struct<i:int,j:int,n:int,first:int>>"
+    start = F.struct(F.array().cast(chain).alias("open"), F.array().cast(SPANS).alias("done"))
+
+    def step(state: Column, hit: Column) -> Column:
+        i, j = hit["i"], hit["j"]
+        # j grows and diagonals are near, so no chain goes on over more words than the template and the shift have
+        near = F.filter(state["open"], lambda c: c["i"] + size + most_shift > i)
+        before = F.filter(near, lambda c: (c["i"] < i) & (c["j"] < j) & (F.abs(i - j - c["i"] + c["j"]) <= most_shift))
+        best = F.array_max(F.transform(before, lambda c: F.struct(c["n"].alias("n"), c["first"].alias("first"))))
+        n, first = F.coalesce(best["n"] + 1, F.lit(1)), F.coalesce(best["first"], i)
+        return F.transform(F.array(F.struct(near.alias("near"), n.alias("n"), first.alias("first"))), lambda x: F.struct(
+            F.concat(x["near"], F.array(F.struct(i.alias("i"), j.alias("j"), x["n"].alias("n"), x["first"].alias("first")))).cast(chain).alias("open"),
+            placed(state["done"], F.struct(x["first"].alias("first"), (i + 1).alias("last"), x["n"].alias("n"))).alias("done"),
+        ))[0]
+
+    def placed(done: Column, span: Column) -> Column:
+        top = F.element_at(done, -1)
+        apart = (F.size(done) == 0) | (top["last"] < span["first"])
+        one = F.array(span).cast(SPANS)
+        return F.when(span["n"] / (size - 1) < least_share, done).when(apart, F.concat(done, one)).when(span["n"] > top["n"], F.concat(F.slice(done, 1, F.size(done) - 1), one)).otherwise(done)
+
+    return F.aggregate(F.array_sort(hits), start, step, lambda state: state["done"])
+
+
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, least_share: float = 0.75, most_shift: int = 3) -> DataFrame:
     """One row for each row of docs: word count, base places and their first and last word, labels, score, and all spans as label:first:last word."""
     spark = docs.sparkSession
@@ -58,17 +85,17 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ph
     seen = pairs.join(F.broadcast(grams.withColumnsRenamed({"a": "ta", "b": "tb"})), "gram", "left")
     same = (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb"))
     seen = seen.filter(same | F.coalesce(F.col("i") == 0, F.lit(True)))
-    votes = seen.select("row", "doc_id", "n_words", F.when(same, F.struct("t", "label", "base", "size", (F.col("i") - F.col("j")).alias("diagonal"))).alias("v"), "i")
-    by_diagonal = votes.groupBy("row", "doc_id", "n_words", "v").agg(F.count("*").alias("n"), F.min("i").alias("first"), (F.max("i") + 1).alias("last"))
-    by_diagonal = by_diagonal.select("row", "doc_id", "n_words", "v.*", "n", "first", "last")
-
-    run = W.partitionBy("row", "t").orderBy("first", "diagonal")
-    ends = F.max("last").over(run.rowsBetween(W.unboundedPreceding, -1))
-    far = F.coalesce((F.abs(F.col("diagonal") - F.lag("diagonal").over(run)) > most_shift) | (F.col("first") - ends > most_shift + 1), F.lit(True)) | F.col("base")
-    spans = by_diagonal.withColumn("part", F.sum(far.cast("int")).over(run))
-    merged = spans.groupBy("row", "doc_id", "n_words", "t", "label", "base", "size", "part").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
-    share = F.least(F.col("n") / (F.col("size") - 1), F.lit(1.0))
-    merged = merged.withColumn("share", F.when(F.col("base"), F.when(F.col("n") == F.col("size") - 1, 1.0)).when(~F.col("base") & (share >= least_share), share))
+    diagonal = F.when(F.col("base"), F.col("i") - F.col("j"))  # a base phrase has no chain but its own diagonal
+    votes = seen.select("row", "doc_id", "n_words", F.when(same, F.struct("t", "label", "base", "size", diagonal.alias("diagonal"))).alias("v"), "i", F.when(same & ~F.col("base"), F.struct("i", "j")).alias("hit"))
+    by_template = votes.groupBy("row", "doc_id", "n_words", "v").agg(F.count("*").alias("n"), F.min("i").alias("first"), (F.max("i") + 1).alias("last"), F.collect_list("hit").alias("hits"))
+    by_template = by_template.select("row", "doc_id", "n_words", "v.*", "n", "first", "last", "hits")
+    grams_of = F.col("size") - 1
+    enough = F.size(F.array_distinct(F.transform("hits", lambda h: h["j"]))) / grams_of >= least_share
+    whole = F.array(F.struct("first", "last", "n"))
+    none = F.array().cast(SPANS)
+    kept = F.when(F.col("base"), F.when(F.col("n") == grams_of, whole.cast(SPANS)).otherwise(none)).when(enough, chains(F.col("hits"), F.col("size"), least_share, most_shift)).otherwise(none)
+    spans = by_template.withColumn("span", F.explode_outer(kept))
+    merged = spans.select("row", "doc_id", "n_words", "label", "base", "span.first", "span.last", (F.col("span.n") / grams_of).alias("share"))
     base, found = F.col("base") & F.col("share").isNotNull(), F.col("share").isNotNull()
     out = merged.groupBy("row", "doc_id", "n_words").agg(
         F.count_if(base).alias("n_base"),

@@ -69,3 +69,29 @@ def test_license_rows(spark):
     by = {r.doc_id: r for r in out}
     assert by[7].labels == "cc-by" and by[11].labels == "mit" and 0.75 <= by[11].score <= 1 and by[3].score == 0 and by[0].score == 1
     assert license_scan.licenses(docs.limit(0)).count() == 0
+
+
+def test_license_survives_a_word_at_every_place(spark):
+    texts = []
+    for t, (label, text) in enumerate(license_scan.TEMPLATES):
+        words = text.split()
+        for k in range(len(words) + 1):
+            ends = k in (0, len(words))
+            texts.append((label, len(words) - 1, len(words) - 1 - (not ends), " ".join([*words[:k], "zzz", *words[k:]])))
+        for k in range(len(words)):
+            texts.append((label, len(words) - 1, len(words) - 2 - (0 < k < len(words) - 1), " ".join([*words[:k], *words[k + 1 :]])))
+    texts.append(("apache", 20, 20, "you may of the license " + license_scan.TEMPLATES[1][1] + " of the you may obtain"))
+    docs = spark.createDataFrame([(k, x[3]) for k, x in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in license_scan.licenses(docs).collect()}
+    for k, (label, size, left, text) in enumerate(texts):
+        kept = left >= 0.75 * size
+        assert (label in rows[k].labels.split(",")) == kept, text
+        assert not kept or rows[k].score >= left / size - 1e-9, text
+
+
+def test_license_spans_of_copies(spark):
+    text, n = license_scan.TEMPLATES[3][1], len(license_scan.TEMPLATES[3][1].split())
+    docs = spark.createDataFrame([(0, f"{text} {text} word {text}"), (1, "all rights all rights")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in license_scan.licenses(docs).collect()}
+    assert rows[0].spans == ",".join(f"bsd:{a}:{a + n - 1}" for a in (0, n, 2 * n + 1)) and rows[0].score == 1
+    assert rows[1].labels == "" and rows[1].score == 0
