@@ -4,7 +4,8 @@ Base kinds, leftmost and non-overlapping per kind, failing matches dropped witho
 sign and a value of 8 characters or more), access (AKIA and 16 characters or more in all), hex (32 digits or more).
 Added kind, token: a run of 20 characters or more that the vocabulary of a public byte-level tokenizer cuts into unusually
 short tokens. Words and names of any language that the vocabulary knows take few tokens; random strings take many.
-Known digests (hexadecimal of the usual lengths), UUIDs and identifiers without a digit or without a letter are left out.
+Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128 digits), UUIDs, runs without a letter and plain names are left out: runs of
+letters whose parts between signs are each a word by their case (small, capital or with a capital first), random or not.
 A null or empty text has no spans. Rows are independent: repeated rows give repeated results, a null id stays null.
 """
 
@@ -28,7 +29,8 @@ ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][D
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-KNOWN = re.compile(r"[0-9a-fA-F]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z_+/=-]+|[0-9_+/=-]+")
+DIGEST = "|".join(f"[0-9a-fA-F]{{{n}}}" for n in (32, 40, 56, 64, 96, 128))
+KNOWN = re.compile(rf"{DIGEST}|[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}|[_+/=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_+/=-]+|\Z))*|[0-9_+/=-]+")
 
 
 @lru_cache(2)

@@ -72,6 +72,18 @@ def test_token_efficiency():
     assert not kinds("123e4567-e89b-12d3-a456-426614174000 " + "D41D8CD98F00B204E9800998ECF8427E")
 
 
+def test_odd_hexadecimal_and_letters_alone_are_tokens():
+    encoding = secret_scan.vocabulary()
+    kinds = lambda t: [k for k, _, _ in secret_scan.find(t, encoding, 2.0)]
+    digits = hashlib.sha512(b"ledger").hexdigest()
+    for n in (20, 24, 31, 36, 48):
+        assert "token" in kinds(digits[:n]) and kinds(digits[:n].upper()) == ["token"], n
+    assert not any("token" in kinds(digits[:n]) for n in (32, 40, 56, 64, 96, 128))
+    assert kinds("xQvpLhzVikRgmTfwBbnJ") == ["token"]
+    for name in ("getElementsByClassNameAndTagName", "MAX_CONNECTION_RETRIES_PER_HOST", "przedsiebiorczosciowego", "a/b/c/d/e/f/g/h/i/j/k/l", "=" * 30, "2024-01-01_2024-12-31_00"):
+        assert not kinds(name), name
+
+
 def test_secret_rows_and_redaction(spark):
     docs = spark.createDataFrame([(1, 'token = "abcdefgh1" end', 23), (2, None, 0), (3, "", 0), (1, 'token = "abcdefgh1" end', 23)], "doc_id long, text string, n_chars long")
     assert sorted((r.doc_id, r.n_assign) for r in secret_scan.secrets(docs).collect()) == [(1, 1), (1, 1), (2, 0), (3, 0)]
