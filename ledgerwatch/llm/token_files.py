@@ -2,7 +2,7 @@
 
 Documents are dealt out by ranges of doc_id, encoded, and written in ascending doc_id order as shards of about `shard_ids`
 ids. Within a shard the most frequent pairs of neighbouring symbols become nonterminals, round after round, until that
-doesn't pay any more; no pair crosses a document. A shard stores, as little-endian unsigned 32-bit integers, the rules
+doesn't pay any more (a round's pairs are under `least_gain` of the symbols); no pair crosses a document. A shard stores, as little-endian unsigned 32-bit integers, the rules
 (left and right symbol), the length of each rule's expansion, the symbols, and per document its id, its number of ids and its
 number of symbols. With those lengths a reader finds any document, or any id in it, and expands only what it needs.
 A shard is one row of a Parquet table, so that any store that Spark writes to will do.
@@ -116,19 +116,19 @@ def shared_encoder(path: str | None = None) -> Encoder:
 SLOTS = np.uint64(44)  # pairs are counted in slots of 20 bits of a hash
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rounds: int = 6, most_rules: int = 8192, least_count: int = 6, least_gain: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rules: int = 8192, least_count: int = 6, least_gain: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, rule lengths, symbols, symbols of each document); ends are the positions after each document."""
     symbols = ids.astype(np.uint64)
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.uint64)
     table, holder = np.full(1 << 20, -1, np.int32), np.zeros(1 << 20, np.uint64)
-    for _ in range(most_rounds):
-        if len(symbols) < 2:
-            break
+    factor = 1
+    while len(symbols) > 1:
+        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)  # a new hash each round
         pair = symbols[:-1] << np.uint64(32) | symbols[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> SLOTS).astype(np.int64)
-        holder[slot] = pair  # one pair of each slot is counted; another waits for the next round
+        slot = ((pair * np.uint64(factor)) >> SLOTS).astype(np.int64)
+        holder[slot] = pair  # one pair of each slot is counted; another waits for a round that tells them apart
         same = (holder[slot] == pair) & ~last[:-1]
         counts = np.bincount(slot[same], minlength=len(holder))
         own = np.flatnonzero(counts >= least_count)

@@ -61,3 +61,11 @@ def test_files(spark, tmp_path):
             assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, tf.U4).tobytes()))
     tf.write_token_files(docs.limit(0), path + "0")
     assert tf.read_token_files(spark, path + "0").count() == 0
+
+
+def test_long_passages_become_few_symbols():
+    passage = np.random.default_rng(3).integers(0, 50_000, 2000)
+    ids, ends = np.tile(passage, 50).astype("<u4"), np.arange(1, 51) * 2000
+    rules, lengths, symbols, _ = tf.compress(ids, ends, 50_257)
+    assert np.array_equal(tf.expand(symbols, rules, 50_257), ids)
+    assert lengths.max() > 64 and len(symbols) < len(ids) / 64
