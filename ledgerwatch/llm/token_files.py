@@ -1,10 +1,10 @@
 """Token-id files compressed by Re-Pair.
 
 Documents are dealt out by ranges of doc_id, encoded, and written in ascending doc_id order as shards of about `shard_ids`
-ids. Within a shard the most frequent pairs of neighbouring symbols become nonterminals, round after round, until that
-doesn't pay any more (a round's pairs are under `least_gain` of the symbols); no pair crosses a document. A shard stores, as little-endian unsigned 32-bit integers, the rules
-(left and right symbol), the length of each rule's expansion, the symbols, and per document its id, its number of ids and its
-number of symbols. With those lengths a reader finds any document, or any id in it, and expands only what it needs.
+ids. Within a shard frequent pairs of neighbouring symbols become nonterminals, round after round, the more frequent of two that
+overlap first, until no pair pays for its rule (three integers) any more; no pair crosses a document. A shard stores, as
+little-endian unsigned 32-bit integers, the rules (left and right symbol), the length of each rule's expansion, the symbols, and
+per document its id, its number of ids and its number of symbols. With those lengths a reader finds any document, or any id in it, and expands only what it needs.
 A shard is one row of a Parquet table, so that any store that Spark writes to will do.
 
 Null and empty texts have the end id alone. Null ids come first; rows of one id are ordered by a hash of their text. An empty
@@ -14,6 +14,8 @@ table gives no shards and no rows.
 from __future__ import annotations
 
 import os
+import re
+import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,12 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import byte_letters, documents, id_and_text, input_bytes, shared_dir
+from .common import byte_letters, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
 MOST_CACHED = 600_000
-MARKS = frozenset(".,;:!?")
+#: A run of ASCII marks but the apostrophe, or a line feed: pretokens of their own between letters.
+MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
 
 
 @lru_cache(2)
@@ -58,18 +61,18 @@ def units(text: str) -> list[str]:
 class Encoder:
     """Encodes texts with the library; units that were seen before come from a bounded memory.
 
-    A unit that is a space and letters, with or without a mark after them, is one or two pretokens, so these go to the
-    library's merge model directly; all others take its whole way.
+    A unit of a space, then letters, marks and single line feeds is cut into its pretokens, which go to the library's merge model
+    directly; all others take its whole way.
     """
 
     def __init__(self, path: str | None = None):
         self.tok, self.seen, self.words, self.after_space = tokenizer(path), {}, {}, {}
-        self.letter = byte_letters()
+        self.letter, self.merge = dict(enumerate(byte_letters())), self.tok.model.tokenize
 
     def word(self, text: str) -> bytes:
         """The ids of one pretoken."""
         if (known := self.words.get(text)) is None:
-            known = self.words[text] = array("I", [t.id for t in self.tok.model.tokenize("".join(map(self.letter.__getitem__, text.encode())))]).tobytes()
+            known = self.words[text] = array("I", [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.letter))]).tobytes()
         return known
 
     def learn(self, pieces: list[str]) -> None:
@@ -78,10 +81,13 @@ class Encoder:
         for p in pieces:
             if p.isalpha():
                 self.after_space[p] = self.word(" " + p)
-            elif p[-1:] in MARKS and p[:-1].isalpha():
-                self.after_space[p] = self.word(" " + p[:-1]) + self.word(p[-1])
-            else:
+                continue
+            parts = MARKS.split(p)  # what isn't marks is at the even places
+            if "'" in p or "\n\n" in p or p[0] == "\n" or not all(q.isalpha() for q in parts[::2] if q):
                 rest.append(p)
+            else:
+                parts = [q for q in parts if q]
+                self.after_space[p] = b"".join(map(self.word, (" " + parts[0], *parts[1:])))
         for p, e in zip(rest, self.tok.encode_batch_fast([" " + p for p in rest], add_special_tokens=False), strict=True):
             self.after_space[p] = array("I", e.ids).tobytes()
 
@@ -113,52 +119,68 @@ def shared_encoder(path: str | None = None) -> Encoder:
     return Encoder(path)
 
 
-SLOTS = np.uint64(44)  # pairs are counted in slots of 20 bits of a hash
+RULE = 3  # integers that a rule costs
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, most_rules: int = 8192, least_count: int = 6, least_gain: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(rules as pairs, rule lengths, symbols, symbols of each document); ends are the positions after each document."""
+def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rules as pairs, rule lengths, symbols, symbols of each document); ends are the positions after each document.
+
+    A pair that was counted and doesn't pay never will, so a round looks at pairs that stand beside a new symbol, that paid but
+    were overlapped, or whose slot of the hash counted another pair.
+    """
     symbols = ids.astype(np.uint64)
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
-    rules = np.zeros((0, 2), np.uint64)
-    table, holder = np.full(1 << 20, -1, np.int32), np.zeros(1 << 20, np.uint64)
-    factor = 1
-    while len(symbols) > 1:
+    open_ = ~last
+    rules = [np.zeros((0, 2), np.uint64)]
+    factor, made = 1, 0
+    number, holder = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.uint64)
+    while len(at := np.flatnonzero(open_)):
         factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)  # a new hash each round
-        pair = symbols[:-1] << np.uint64(32) | symbols[1:]
-        slot = ((pair * np.uint64(factor)) >> SLOTS).astype(np.int64)
-        holder[slot] = pair  # one pair of each slot is counted; another waits for a round that tells them apart
-        same = (holder[slot] == pair) & ~last[:-1]
-        counts = np.bincount(slot[same], minlength=len(holder))
-        own = np.flatnonzero(counts >= least_count)
-        kinds, counts = holder[own], counts[own]
-        good = np.ones(len(own), bool)
-        if good.sum() > most_rules:
-            good &= counts >= np.partition(counts, -most_rules)[-most_rules]
-        chosen = kinds[good]
-        if not len(chosen) or counts[good].sum() < least_gain * len(symbols):
-            break
-        own = own[good]
-        table[own] = np.arange(len(chosen))
-        which = table[slot]
-        hit = same & (which >= 0)
-        table[own] = -1
-        # of neighbouring hits every second one is taken, from the left
-        at = np.arange(len(hit))
-        before = np.maximum.accumulate(np.where(hit, -1, at))
-        hit &= (at - before) % 2 == 1
-        first = np.flatnonzero(hit)
-        symbols[first] = which[first].astype(np.uint64) + np.uint64(base + len(rules))
-        last[first] = last[first + 1]
+        bits = min(max(len(at).bit_length(), 10), 20)
+        pair = symbols[at] << np.uint64(32) | symbols[at + 1]
+        slot = ((pair * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
+        holder[slot] = pair  # one pair of each slot is counted
+        own = np.flatnonzero(holder[slot] == pair)
+        counts = np.bincount(slot[own], minlength=1 << bits)
+        open_[at[own]] = False
+        own = own[counts[slot[own]] > RULE]
+        at, slot = at[own], slot[own]
+        counts = counts[slot]
+        open_[at] = True
+        # of overlapping pairs the more frequent; of equal ones every second from the left
+        beside = at[1:] == at[:-1] + 1
+        best = np.ones(len(at), bool)
+        best[1:] &= ~beside | (counts[1:] >= counts[:-1])
+        best[:-1] &= ~beside | (counts[:-1] >= counts[1:])
+        at, slot = at[best], slot[best]
+        run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(len(at)), 0))
+        at, slot = at[run % 2 == 0], slot[run % 2 == 0]
+        pays = np.bincount(slot, minlength=1 << bits) > RULE
+        if not pays.any():
+            open_[at] = False  # too few of each are free
+            continue
+        at, slot = at[pays[slot]], slot[pays[slot]]
+        kinds = np.flatnonzero(pays)
+        number[kinds] = np.arange(len(kinds)) + base + made
+        rules.append(np.stack([holder[kinds] >> np.uint64(32), holder[kinds] & np.uint64(0xFFFFFFFF)], 1))
+        made += len(kinds)
+        symbols[at] = number[slot]
+        last[at] = last[at + 1]
+        open_[at] = ~last[at]
+        before = at[at > 0] - 1
+        open_[before] = ~last[before]
         keep = np.ones(len(symbols), bool)
-        keep[first + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        rules = np.concatenate([rules, np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1)])
-    lengths = np.ones(len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[k] = (lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1)
-    return rules.astype(U4), lengths.astype(U4), symbols.astype(U4), np.diff(np.flatnonzero(last) + 1, prepend=0).astype(U4)
+        keep[at + 1] = False
+        symbols, last, open_ = symbols[keep], last[keep], open_[keep]
+    lengths = np.ones(made, np.int64)
+    low = 0
+    for part in rules:  # a round's rules are made of those before
+        for side in part.T.astype(np.int64):
+            lengths[low : low + len(part)] += np.where(side >= base, lengths[np.maximum(side - base, 0)], 1) if made else 0
+        lengths[low : low + len(part)] -= 1
+        low += len(part)
+    return np.concatenate(rules).astype(U4), lengths.astype(U4), symbols.astype(U4), np.diff(np.flatnonzero(last) + 1, prepend=0).astype(U4)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -225,8 +247,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
         if held:
             yield shard()
 
-    conf = docs.sparkSession.conf
-    parts = max(int(conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // (32 << 20) + 1)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ("doc_id", F.xxhash64("text"))
     dealt = id_and_text(docs, id_col, text_col).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     dealt.mapInArrow(pack, SHARD_SCHEMA).write.option("compression", "zstd").parquet(path)
@@ -247,13 +268,16 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([row["part"]] * len(n), [row["shard"]] * len(n), s.doc_ids, ends - n, n, crc)], ["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    order = W.orderBy("part", "shard")  # one row for a shard of a million ids
-    starts = shards.select("part", "shard", (F.sum("total").over(order) - F.col("total")).alias("before"))
+    totals = shards.select("part", "shard", "total")
+    of_part = totals.groupBy("part").agg(F.sum("total").alias("n"))
+    parts = of_part.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))  # one row for each partition of the writer
+    inside = totals.select("part", "shard", (F.sum("total").over(W.partitionBy("part").orderBy("shard")) - F.col("total")).alias("skip"))
+    starts = inside.join(parts, "part").select("part", "shard", (F.col("base") + F.col("skip")).alias("before"))
     rows = shards.mapInArrow(unpack, "part long, shard long, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(starts.hint("merge"), ["part", "shard"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark)
+    path = f"{shared_dir(spark)}/token_files_{uuid.uuid4().hex}"
     write_token_files(documents(spark, sf_dir), path)
     return read_token_files(spark, path)

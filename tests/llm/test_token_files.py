@@ -13,7 +13,7 @@ from ledgerwatch.llm import token_files as tf
 def test_round_trip(docs):
     ids = np.array([x for d in docs for x in d], tf.U4)
     n = np.array([len(d) for d in docs])
-    rules, lengths, symbols, n_symbols = tf.compress(ids, np.cumsum(n), 5, least_count=2)
+    rules, lengths, symbols, n_symbols = tf.compress(ids, np.cumsum(n), 5)
     assert (tf.expand(symbols, rules, 5) == ids).all()
     s = tf.Shard({"base": 5, "doc_ids": list(range(len(docs))), "n_ids": n.astype(tf.U4).tobytes(), "n_symbols": n_symbols.tobytes(), "rules": rules.tobytes(), "rule_lengths": lengths.tobytes(), "symbols": symbols.tobytes()})
     for k, d in enumerate(docs):
