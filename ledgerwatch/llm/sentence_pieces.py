@@ -1,14 +1,16 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The distinct units of a batch (a run of spaces and what follows up to the next space; no piece reaches further) are laid end
-to end, and all their suffixes are sorted to the depth of the longest piece. Every piece of the vocabulary finds its range of
-suffixes by binary search, so each range is the piece's occurrences: the edges of a lattice. Edges are sorted by
-the position where they end and relaxed in that order. The model merges by rank, so the best edge into a position is the one
-whose piece the merges leave standing beside the last piece of the prefix before it; there is exactly one. Characters
-outside the vocabulary fall back to their bytes.
-
+A batch's texts are cut where no piece reaches across (before a run of spaces, and between two characters that stand side by
+side in no piece). The distinct segments of the batch text are laid end to end, and all their suffixes are sorted to the depth of
+the longest piece. Every piece of the vocabulary finds its range of suffixes by binary search, so each range is the piece's
+occurrences: the edges of a lattice. Edges are sorted by the position where they end and relaxed in that order. The model merges
+by rank, so the best edge into a position is the one whose piece the merges leave standing beside the last piece of the prefix
+before it; there is exactly one, and the longest edges are tried first. Characters outside the vocabulary fall back to their bytes.
+
+Segments that were encoded before are looked up; that memory is bounded, and let go at the end of a task.
 Ids equal the library's for the given model; decoding gives the text back, but for a U+2581 in it, which reads as a space.
-Null and empty texts have no ids. Rows are independent: repeated rows give repeated results, a null id stays null.
+Null and empty texts have no ids. Rows are independent: repeated rows give repeated results, a null id stays null. A column of the
+caller with the name of the new one is replaced.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ from .common import documents, id_and_text
 
 SPACE = "▁"
 U4 = np.dtype("<u4")
-GAP = 0x110000  # ends each unit in the index; no character has it
-MOST_UNITS, MOST_PAIRS, MOST_INDEX = 700_000, 1_500_000, 250_000
+GAP = 0x110000  # ends each segment in the index; no character has it
+FULL = np.uint64((1 << 63) - 1)  # three points of 21 bits
+MOST_KNOWN, MOST_ODD, MOST_INDEX, ROWS = 500_000, 100_000, 400_000, 1000
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -56,8 +59,22 @@ def threes(points: np.ndarray) -> np.ndarray:
     return a << np.uint64(42) | b << np.uint64(21) | c
 
 
+def merged(parts: list[str], score: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
+    """The parts after all merges, by score and then from the left, and the two of the last merge."""
+    ranks, pair = [score.get(x + y) for x, y in zip(parts, parts[1:], strict=False)], None
+    while (best := max((s for s in ranks if s is not None), default=None)) is not None:
+        at = ranks.index(best)
+        pair = parts[at], parts[at + 1]
+        parts[at : at + 2] = ["".join(pair)]
+        del ranks[at]
+        for k in (at - 1, at):
+            if 0 <= k < len(ranks):
+                ranks[k] = score.get(parts[k] + parts[k + 1])
+    return parts, pair
+
+
 class Model:
-    """Pieces and ranks of a model file, and what has been learned about their neighbours."""
+    """Pieces and ranks of a model file."""
 
     def __init__(self, path: str | None = None):
         import public_tokenizers
@@ -67,97 +84,101 @@ class Model:
         self.bytes_from = sp.piece_to_id("<0x00>")
         every = range(sp.get_piece_size())
         plain = [i for i in every if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        self.pieces = {sp.id_to_piece(i): i for i in plain}
-        self.score = {p: sp.get_score(i) for p, i in self.pieces.items()}
-        self.name = {i: p for p, i in self.pieces.items()}
+        self.name = {i: sp.id_to_piece(i) for i in plain}
+        self.score = {self.name[i]: sp.get_score(i) for i in plain}
         self.raw = [bytes([i - self.bytes_from]) if sp.is_byte(i) else b"" if i not in self.name else self.name[i].replace(SPACE, " ").encode() for i in every]
-        self.longest = max(map(len, self.pieces))
-        ids = np.array(sorted(self.pieces.values()))
-        self.table = np.zeros((len(ids), self.longest), np.int64)
-        self.length = np.array([len(self.name[i]) for i in ids.tolist()])
-        for row, i in zip(self.table, ids.tolist(), strict=True):
+        self.longest, self.count = max(map(len, self.score)), len(self.raw)
+        self.index(np.array(plain))
+        self.trees({self.name[i]: i for i in plain})
+        self.alphabet()
+        self.known: dict[str, bytes] = {}
+        self.odd_pairs: dict[int, bool] = {}
+
+    def index(self, ids: np.ndarray) -> None:
+        """The pieces as rows of three-point words, with masks for words that a piece fills in part."""
+        self.ids, self.length = ids, np.array([len(self.name[i]) for i in ids.tolist()])
+        table = np.zeros((len(ids), self.longest + 3 + -self.longest % 3), np.int64)
+        for row, i in zip(table, ids.tolist(), strict=True):
             row[: len(self.name[i])] = [ord(c) for c in self.name[i]]
-        self.ids, self.count = ids, len(self.raw)
-        wide = np.concatenate([self.table, np.zeros((len(ids), 3 + -self.longest % 3), np.int64)], 1)
-        self.words = np.stack([threes(wide[:, k : k + 3].T.reshape(3, -1)) for k in range(0, self.longest, 3)])
+        self.words = np.stack([threes(table[:, k : k + 3].T) for k in range(0, self.longest, 3)])
         kept = np.clip(self.length[None, :] - np.arange(0, self.longest, 3)[:, None], 0, 3).astype(np.uint64)
-        self.masks = (np.uint64((1 << 63) - 1) << (np.uint64(63) - kept * np.uint64(21))) & np.uint64((1 << 63) - 1)
-        #: Known pairs, sorted, and whether they stand; new ones wait in a dict.
-        self.pairs, self.good, self.fresh = np.zeros(0, np.int64), np.zeros(0, bool), {}
-        self.units: dict[str, bytes] = {}
-
-    def apart(self, a: str, b: str) -> bool:
-        """Whether the merges of the joined text, by score and then from the left, end at these two pieces and never cross them."""
-        if a + b in self.score:
-            return False
-        parts, edge, score = [*a, *b], len(a), self.score.get
-        ranks = [score(x + y) for x, y in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, 0
-            for k, s in enumerate(ranks):
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if best is None:
-                return len(parts) == 2
-            if at + 1 == edge:
-                return False
-            edge -= at + 1 < edge
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = score(parts[at - 1] + parts[at])
-            if at < len(ranks):
-                ranks[at] = score(parts[at] + parts[at + 1])
-
-    def stand(self, pairs: np.ndarray) -> np.ndarray:
-        """Which pairs (id << 32 | id) of pieces the merges leave side by side; ids from self.count on are outside the vocabulary."""
-        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        known = self.pairs[at] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
-        out = np.zeros(len(pairs), bool)
-        out[known] = self.good[at[known]]
-        kinds, inverse = np.unique(pairs[~known], return_inverse=True)
-        found = np.ones(len(kinds), bool)
-        for k, pair in enumerate(kinds.tolist()):
-            if (good := self.fresh.get(pair)) is None:
-                a, b = self.name.get(pair >> 32), self.name.get(pair & 0xFFFFFFFF)
-                good = self.fresh[pair] = a is None or b is None or self.apart(a, b)
-            found[k] = good
-        out[~known] = found[inverse]
+        self.masks = (FULL << (np.uint64(63) - kept * np.uint64(21))) & FULL
+
+    def trees(self, number: dict[str, int]) -> None:
+        """For each piece the two pieces of its last merge, and all pairs that merge, with their scores.
+
+        A piece is odd if in its tree a merge scores above one that it is made of; then scores don't tell the order of merges.
+        """
+        self.left, self.right = np.full(self.count + 1, -1), np.full(self.count + 1, -1)
+        self.worth, self.odd = np.full(self.count + 1, np.inf), np.zeros(self.count + 1, bool)
+        for p, i in sorted(number.items(), key=lambda x: len(x[0])):
+            if len(p) > 1:
+                self.worth[i] = self.score[p]
+                x, y = merged([*p], self.score)[1] or (p, p)
+                if x == p:
+                    self.odd[i] = True
+                    continue
+                a, b = self.left[i], self.right[i] = number[x], number[y]
+                self.odd[i] = self.odd[a] or self.odd[b] or min(self.worth[a], self.worth[b]) <= self.worth[i]
+        pairs = sorted((number[p[:k]] << 32 | number[p[k:]], self.score[p]) for p in number for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        self.pairs, self.pair_worth = np.array([x for x, _ in pairs]), np.array([x for _, x in pairs])
+
+    def alphabet(self) -> None:
+        """Which characters stand side by side in a piece; class 0 is in no piece of two characters or more."""
+        beside = {p[k : k + 2] for p in self.score for k in range(len(p) - 1)}
+        letters = sorted({c for pair in beside for c in pair})
+        self.kind = np.zeros(GAP + 1, np.uint16)
+        self.kind[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.beside = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for a, b in beside:
+            self.beside[self.kind[ord(a)], self.kind[ord(b)]] = True
+
+    def stand(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Which pairs of pieces the merges leave side by side; self.count stands for a character outside the vocabulary.
+
+        The merges of both are undone from the latest; before each, the two that then meet must not have a merge of their own
+        that comes earlier, which is of a higher score, or of the same and further left.
+        """
+        out = np.ones(len(first), bool)
+        odd = np.flatnonzero(self.odd[first] | self.odd[second])
+        out[odd] = [self.apart(a, b) for a, b in zip(first[odd].tolist(), second[odd].tolist(), strict=True)]
+        at = np.flatnonzero((first < self.count) & (second < self.count) & ~(self.odd[first] | self.odd[second]))
+        a, b = first[at], second[at]
+        limit, equal_too = np.full(len(at), -np.inf), np.zeros(len(at), bool)
+        while len(at):
+            pair = a << 32 | b
+            k = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            worth = np.where(self.pairs[k] == pair, self.pair_worth[k], -np.inf)
+            crossed = (worth > limit) | (equal_too & (worth == limit))
+            out[at[crossed]] = False
+            own, other = self.worth[a], self.worth[b]
+            more = ~crossed & (np.minimum(own, other) < np.inf)
+            at, a, b, own, other = at[more], a[more], b[more], own[more], other[more]
+            equal_too = other <= own
+            limit = np.where(equal_too, other, own)
+            a, b = np.where(equal_too, a, self.right[a]), np.where(equal_too, self.left[b], b)
         return out
 
-    def settle(self) -> None:
-        """Puts the new pairs among the sorted ones."""
-        if len(self.pairs) > MOST_PAIRS:
-            self.pairs, self.good = np.zeros(0, np.int64), np.zeros(0, bool)
-        pairs = np.concatenate([self.pairs, np.fromiter(self.fresh.keys(), np.int64, len(self.fresh))])
-        good = np.concatenate([self.good, np.fromiter(self.fresh.values(), bool, len(self.fresh))])
-        order = np.argsort(pairs)
-        self.pairs, self.good, self.fresh = pairs[order], good[order], {}
+    def apart(self, a: int, b: int) -> bool:
+        """The same for one pair, by running the merges of the joined text."""
+        if a >= self.count or b >= self.count:
+            return True
+        if (known := self.odd_pairs.get(a << 32 | b)) is None:
+            if len(self.odd_pairs) > MOST_ODD:
+                self.odd_pairs.clear()
+            known = self.odd_pairs[a << 32 | b] = merged([*self.name[a], *self.name[b]], self.score)[0] == [self.name[a], self.name[b]]
+        return known
 
     def edges(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length, id) of every occurrence of every piece, and of characters that are no piece."""
         order = suffixes(points, self.longest)
         padded = np.concatenate([points, np.full(self.longest + 3, GAP)])
         three = threes(np.stack([padded[:-2], padded[1:-1], padded[2:]]))
-
-        def bound(after: bool) -> np.ndarray:
-            low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order))
-            while (open_ := low < high).any():
-                middle = (low + high) // 2
-                at = order[np.minimum(middle, len(order) - 1)]
-                less, equal = np.zeros(len(self.ids), bool), open_.copy()
-                for k in range(len(self.words)):
-                    x = three[at + 3 * k] & self.masks[k]
-                    less |= equal & (x < self.words[k])
-                    equal &= x == self.words[k]
-                    if not equal.any():
-                        break
-                go = open_ & (less | (equal & after))
-                low = np.where(go, middle + 1, low)
-                high = np.where(open_ & ~go, middle, high)
-            return low
-
-        first, last = bound(False), bound(True)
+        # the first word of three points narrows the range at once, the rest by binary search in it
+        begin = three[order]
+        first, last = np.searchsorted(begin, self.words[0], "left"), np.searchsorted(begin, self.words[0] | (~self.masks[0] & FULL), "right")
+        deep = np.flatnonzero((self.length > 3) & (first < last))
+        first[deep], last[deep] = (self.bound(order, three, deep, first[deep], last[deep], after) for after in (False, True))
         n = last - first
         own = np.repeat(np.arange(len(n)), n)
         rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -165,52 +186,101 @@ class Model:
         covered = np.zeros(len(points), bool)
         covered[start[length == 1]] = True
         bare = np.flatnonzero(~covered & (points != GAP))
-        return np.concatenate([start, bare]), np.concatenate([length, np.ones(len(bare), np.int64)]), np.concatenate([which, self.count + np.zeros(len(bare), np.int64)])
-
-    def learn(self, units: list[str]) -> None:
-        """Encodes units and keeps the results."""
-        points = np.frombuffer("\x00".join((*units, "")).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        ends = np.cumsum([len(u) + 1 for u in units]) - 1
+        return np.concatenate([start, bare]), np.concatenate([length, np.ones(len(bare), np.int64)]), np.concatenate([which, np.full(len(bare), self.count)])
+
+    def bound(self, order: np.ndarray, three: np.ndarray, pieces: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+        """The first suffix of each range low:high that isn't below the piece, or that is above it."""
+        low, high = low.copy(), high.copy()
+        while len(on := np.flatnonzero(low < high)):
+            middle, piece = (low[on] + high[on]) // 2, pieces[on]
+            less, equal, at = np.zeros(len(on), bool), np.arange(len(on)), order[middle]
+            for k in range(1, len(self.words)):
+                x, own = three[at[equal] + 3 * k] & self.masks[k][piece[equal]], self.words[k][piece[equal]]
+                less[equal] = x < own
+                equal = equal[x == own]
+                if not len(equal):
+                    break
+            less[equal] = after
+            low[on], high[on] = np.where(less, middle + 1, low[on]), np.where(less, high[on], middle)
+        return low
+
+    def learn(self, segments: list[str]) -> None:
+        """Encodes segments and keeps the results."""
+        points = np.frombuffer("\x00".join((*segments, "")).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum([len(u) + 1 for u in segments]) - 1
         points[ends] = GAP
         start, length, which = self.edges(points)
         begin = np.concatenate([[0], ends[:-1] + 1])
-        unit = np.searchsorted(ends, start)
-        depth = start + length - begin[unit]
-        order = np.lexsort((-length, start + length, depth))
-        start, length, which, depth = start[order], length[order], which[order], depth[order]
-        origin = begin[unit[order]]
+        origin = begin[np.searchsorted(ends, start)]
+        end = start + length
+        order = np.lexsort((-length, end, end - origin))
+        start, which, end, origin = start[order], which[order], end[order], origin[order]
         # last[p]: the last piece of the prefix that ends before p; back[p]: where it starts
         last, back = np.full(len(points) + 1, -1, np.int64), np.zeros(len(points) + 1, np.int64)
-        for low, high in zip(*(lambda s: (s, [*s[1:], len(depth)]))(np.flatnonzero(np.diff(depth, prepend=-1)).tolist()), strict=True):
-            s, w, e = start[low:high], which[low:high], start[low:high] + length[low:high]
-            fine = (s == origin[low:high]) | self.stand(np.maximum(last[s], 0) << 32 | w)
-            at = np.flatnonzero(fine)[::-1]
-            last[e[at]], back[e[at]] = w[at], s[at]
-        self.settle()
+        depth = end - origin
+        cut = np.flatnonzero(np.diff(depth, prepend=-1))
+        for low, high in zip(cut.tolist(), [*cut[1:].tolist(), len(depth)], strict=True):
+            own = low + np.flatnonzero(np.diff(end[low:high], prepend=-1))
+            until = np.append(own[1:], high)
+            while len(own):
+                s = start[own]
+                fine = s == origin[own]
+                inner = np.flatnonzero(~fine)
+                fine[inner] = self.stand(last[s[inner]], which[own[inner]])
+                done = own[fine]
+                last[end[done]], back[end[done]] = which[done], start[done]
+                more = ~fine & (own + 1 < until)
+                own, until = own[more] + 1, until[more]
         at, own, ids = ends.copy(), [], []
-        which_unit = np.arange(len(units))
-        while len(which_unit):
+        which_segment = np.arange(len(segments))
+        while len(which_segment):
             ids.append(last[at])
-            own.append(which_unit)
+            own.append(which_segment)
             at = back[at]
-            more = at > begin[which_unit]
-            at, which_unit = at[more], which_unit[more]
-        tokens, of = np.concatenate(ids)[::-1], np.concatenate(own)[::-1]  # each unit's tokens are in order from its start now
+            more = at > begin[which_segment]
+            at, which_segment = at[more], which_segment[more]
+        tokens, of = np.concatenate(ids)[::-1], np.concatenate(own)[::-1]  # each segment's tokens are in order from its start now
         order = np.argsort(of, kind="stable")
-        raw, cut = tokens[order].astype(U4).tobytes(), (4 * np.searchsorted(of[order], np.arange(len(units) + 1))).tolist()
-        bare = np.zeros(len(units), bool)
+        raw, cut = tokens[order].astype(U4).tobytes(), (4 * np.searchsorted(of[order], np.arange(len(segments) + 1))).tolist()
+        bare = np.zeros(len(segments), bool)
         bare[of[tokens >= self.count]] = True
-        for u, a, z, has_bare in zip(units, cut, cut[1:], bare.tolist(), strict=False):
-            self.units[u] = self.with_bytes(u, np.frombuffer(raw[a:z], U4).tolist()) if has_bare else raw[a:z]
+        for u, a, z, has_bare in zip(segments, cut, cut[1:], bare.tolist(), strict=False):
+            self.known[u] = self.with_bytes(u, np.frombuffer(raw[a:z], U4).tolist()) if has_bare else raw[a:z]
 
-    def with_bytes(self, unit: str, ids: list[int]) -> bytes:
-        """The ids of a unit in which characters outside the vocabulary stand for their bytes."""
+    def with_bytes(self, segment: str, ids: list[int]) -> bytes:
+        """The ids of a segment in which characters outside the vocabulary stand for their bytes."""
         out, at = [], 0
         for i in ids:
-            out += [i] if i < self.count else [self.bytes_from + b for b in unit[at].encode("utf-8", "surrogatepass")]
+            out += [i] if i < self.count else [self.bytes_from + b for b in segment[at].encode("utf-8", "surrogatepass")]
             at += len(self.name[i]) if i < self.count else 1
         return np.array(out, U4).tobytes()
 
+    def join(self, units: list[str]) -> None:
+        """Encodes units: cut into segments, of which the new ones are learned in indexes of a bounded size."""
+        joined = "".join(units)
+        kind = self.kind[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        cut = np.ones(len(joined) + 1, bool)
+        cut[1:-1] = ~self.beside[kind[:-1], kind[1:]]
+        edge = np.cumsum([0, *map(len, units)])
+        cut[edge] = True
+        at = np.flatnonzero(cut)
+        first = np.searchsorted(at, edge).tolist()
+        at = at.tolist()
+        parts = [joined[a:z] for a, z in zip(at, at[1:], strict=False)]
+        fresh, size = [], 0
+        for p in set(parts) - self.known.keys():
+            fresh.append(p)
+            size += len(p) + 1
+            if size > MOST_INDEX:
+                self.learn(fresh)
+                fresh, size = [], 0
+        if fresh:
+            self.learn(fresh)
+        get = self.known.__getitem__
+        for u, a, z in zip(units, first, first[1:], strict=False):
+            if z - a > 1:
+                self.known[u] = b"".join(map(get, parts[a:z]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = []
@@ -226,18 +296,16 @@ class Model:
                     own.append(ahead + p)
                     ahead = ""
             cut.append(own + [ahead] if ahead else own)
-        if len(self.units) > MOST_UNITS:
-            self.units.clear()
-        fresh, size = [], 0
-        for u in sorted(set().union(*cut) - self.units.keys()):
-            fresh.append(u)
-            size += len(u) + 1
-            if size > MOST_INDEX:
-                self.learn(fresh)
-                fresh, size = [], 0
-        if fresh:
-            self.learn(fresh)
-        return [b"".join(map(self.units.__getitem__, c)) for c in cut]
+        if len(self.known) > MOST_KNOWN:
+            self.known.clear()
+        if fresh := list(set().union(*cut) - self.known.keys()):
+            self.join(fresh)
+        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+
+    def forget(self) -> None:
+        """Lets go of what was learned from texts."""
+        self.known.clear()
+        self.odd_pairs.clear()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
@@ -248,22 +316,26 @@ def model(path: str | None = None) -> Model:
     return Model(path)
 
 
-def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model_path: str | None = None) -> DataFrame:
-    """The same rows with one more column, the ids as array<int>; a null text has none."""
-    at = docs.columns.index(text_col)
+def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", back_col: str | None = None, model_path: str | None = None) -> DataFrame:
+    """The same rows with the ids as array<int>, none for a null text, and on demand with the text that they decode to."""
+    kept = [c for c in docs.columns if c not in (ids_col, back_col)]
+    rows = docs.select(text_col, *(docs[c] for c in kept))
+    added = [T.StructField(ids_col, T.ArrayType(T.IntegerType())), *([T.StructField(back_col, T.StringType())] if back_col else [])]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                rows = batch.slice(low, 500)
-                parts = m.encode([t or "" for t in rows.column(at).to_pylist()])
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), U4).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*rows.columns, ids], [*rows.schema.names, ids_col])
-        m.units.clear()  # the process goes on to other stages
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                found = m.encode([t or "" for t in part.column(0).to_pylist()])
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in found])]).astype(np.int32))
+                columns = [*part.columns[1:], pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), U4).astype(np.int32)))]
+                if back_col:
+                    columns.append(pa.array([m.decode(np.frombuffer(p, U4).tolist()) for p in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in added)])
+        m.forget()  # the process goes on to other stages
 
-    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
+    return rows.mapInArrow(encode, T.StructType([*(docs.schema[c] for c in kept), *added]))
 
 
 def decoded(ids: str | Column, model_path: str | None = None) -> Column:
@@ -278,5 +350,5 @@ def decoded(ids: str | Column, model_path: str | None = None) -> Column:
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of each document's ids, and whether decoding them gives the text back."""
-    rows = encoded(id_and_text(documents(spark, sf_dir))).select("doc_id", "text", "ids", decoded("ids").alias("back"))
+    rows = encoded(id_and_text(documents(spark, sf_dir)), back_col="back")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), (F.col("back") == F.translate("text", SPACE, " ")).alias("lossless"))
