@@ -31,25 +31,51 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: the one of spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that the driver and all executors see, as spark.checkpoint.dir names it. Where that is unset, a local session has a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.ledgerwatch.scratch", "")
     if not base:
+        if not spark.conf.get("spark.master", "").startswith(("local[", "local")) or spark.conf.get("spark.master", "").startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         base = "file://" + tempfile.mkdtemp(prefix="ledgerwatch-")
         spark.conf.set("spark.ledgerwatch.scratch", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return base.rstrip("/")
 
 
-def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The same rows as a table in the shared folder: its lineage ends there, so a lost executor costs a read and no more."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Written tables of one job, in a database of its own in the shared folder: lineage ends at each, so a lost executor costs a read.
+
+    Tables are removed as soon as nothing needs them: by `drop`, or all but the result by `only`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.database, self.tables = spark, f"scratch_{uuid.uuid4().hex}", {}
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_dir(spark)}/{self.database}'")
+
+    def write(self, df: DataFrame, codec: str = "zstd", bucket: str = "", buckets: int = 1) -> DataFrame:
+        """The same rows, read back."""
+        name = f"{self.database}.t{len(self.tables)}"
+        writer = df.write.option("compression", codec)
+        (writer.bucketBy(buckets, bucket) if bucket else writer).saveAsTable(name)
+        out = self.spark.table(name)
+        self.tables[name] = out
+        return out
 
+    def drop(self, *frames: DataFrame) -> None:
+        for name, held in list(self.tables.items()):
+            if held is not None and any(held is f for f in frames):
+                self.spark.sql(f"DROP TABLE {name}")
+                self.tables[name] = None
 
-def input_bytes(docs: DataFrame) -> int:
-    """The optimizer's size of the input, for partition counts; 1 where it doesn't know."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size if 0 < size < 1 << 60 else 1
+    def only(self, df: DataFrame) -> DataFrame:
+        """The rows as the one table that stays."""
+        out = self.write(df)
+        self.drop(*(f for f in self.tables.values() if f is not None and f is not out))
+        return out
+
+
+def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
+    """The same rows as a written table."""
+    return Scratch(df.sparkSession).write(df, codec)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

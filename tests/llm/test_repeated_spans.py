@@ -29,20 +29,31 @@ def brute(rows, length=50):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text("ab", min_size=1, max_size=200), st.integers(17, 40))
-def test_suffix_classes(text, length):
-    data = np.frombuffer(text.encode(), np.uint8)
-    starts = np.arange(max(0, len(data) - length + 1))
-    order, kind = rs.sorted_suffixes(data, starts, length)
-    words = [text[s : s + length] for s in starts[order]]
-    assert words == sorted(words) and all((a == b) == (x == y) for a, b, x, y in zip(words, words[1:], kind, kind[1:], strict=False))
+@given(st.lists(st.text("ab", min_size=20, max_size=20), max_size=80), st.integers(1, 3))
+def test_deep_shallow(words, shallow):
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    rows = rs.as_rows(data, np.arange(len(words)) * 20, np.full(len(words), 20), 20)
+    order, kind = rs.deep_shallow(rows, shallow)
+    got = [words[k] for k in order]
+    assert got == sorted(words) and all((a == b) == (x == y) for a, b, x, y in zip(got, got[1:], kind, kind[1:], strict=False))
 
 
-def test_every_window_has_its_anchor():
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=3, max_size=3), max_size=200), st.integers(0, 3))
+def test_multikey_quicksort(rows, depth):
+    order, first = rs.multikey_quicksort(np.array(rows, np.uint64).reshape(-1, 3), depth)
+    cut = [rows[k][:depth] for k in order]
+    assert cut == sorted(cut) and first.tolist() == [k for k in range(len(cut)) if k == 0 or cut[k] != cut[k - 1]]
+
+
+def test_every_window_has_its_anchor(monkeypatch):
     data = np.frombuffer(("abc" * 30 + "the quick brown fox jumps over it" * 9).encode(), np.uint8)
-    _, at, first, last = rs.anchors(data, 50)
-    assert first[0] == 0 and last[-1] == len(data) - 50 and (first[1:] == last[:-1] + 1).all()
-    assert (at >= last).all() and (at + rs.GRAM <= first + 50).all()
+    at, gram = rs.anchors(data, 50)
+    window = np.arange(len(data) - 49)
+    assert len(at) == len(window) and (at >= window).all() and (at + rs.GRAM <= window + 50).all()
+    monkeypatch.setattr(rs, "PIECE", 256)
+    again, _ = rs.anchors(data, 50)
+    assert len(again) == len(at)
 
 
 def texts(seed, n=120):
@@ -60,9 +71,10 @@ def texts(seed, n=120):
     return out
 
 
-@pytest.mark.parametrize("seed,block", [(1, 1 << 24), (2, 2000)])
-def test_equals_brute_force(spark, monkeypatch, seed, block):
+@pytest.mark.parametrize("seed,block,hot", [(1, 1 << 24, 4096), (2, 2000, 4096), (3, 2000, 3)])
+def test_equals_brute_force(spark, monkeypatch, seed, block, hot):
     monkeypatch.setattr(rs, "BLOCK_BYTES", block)
+    monkeypatch.setattr(rs, "HOT_RUNS", hot)
     t = texts(seed)
     rows = [(int(i), x) for i, x in zip(np.random.default_rng(seed).permutation(len(t)), t, strict=True)]
     rows += [(500, t[0]), (500, t[0]), (501, "same " * 60), (502, "same " * 61), (503, None), (504, ""), (None, t[1]), (505, "a" * 300), (506, "a" * 49), (507, "ab" * 90)]
