@@ -1,7 +1,9 @@
 """The corpus pipeline: quality rules, near duplicates, benchmark contamination, secrets, SentencePiece ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
-docs. All but the last return the columns of documents. Null texts fail the quality rules, and later stages keep null ids.
+docs. All but the last return the columns of documents, and extra columns pass through them; the last has columns of its own.
+Null and empty texts fail the quality rules. Null ids and repeated rows pass each stage or are dropped by their text alone. An empty
+table gives no rows. Texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import contamination, near_duplicates, quality, secret_scan, sentence_pieces
-from ledgerwatch.llm.common import documents, written
+from ledgerwatch.llm.common import Scratch, documents
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text instead of the text, their number, and whether they decode to it."""
-    rows = sentence_pieces.encoded(docs).withColumn("back", sentence_pieces.decoded("ids"))
+    """Ids of each text instead of the text, their number, and whether they decode to it; extra columns end here. A null text has none."""
+    rows = sentence_pieces.encoded(docs, back_col="back")
     return rows.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("back") == F.translate("text", sentence_pieces.SPACE, " ")).alias("lossless"))
 
 
@@ -52,7 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, scratch = documents(spark, sf_dir), Scratch(spark)
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        before, docs = docs, scratch.write(stage(spark, docs, sf_dir))
+        scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
