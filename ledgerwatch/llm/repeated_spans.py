@@ -187,12 +187,12 @@ def deep_shallow(rows: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray
 
 def as_rows(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
     """The bytes of each span as big-endian words, with zeros behind them."""
-    words = loaded(np.concatenate([data, np.zeros(most + 8, np.uint8)]), ">")
+    padded = np.concatenate([data, np.zeros(most + 8, np.uint8)])
+    words = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
+    masks = np.array([0, *((1 << 64) - (1 << 64 - 8 * n) for n in range(1, 9))], np.uint64)
     out = np.empty((len(starts), -(-most // 8)), np.uint64)
     for k in range(out.shape[1]):
-        left = np.clip(sizes - 8 * k, 0, 8).astype(np.uint64)
-        word = words[np.minimum(starts + 8 * k, len(words) - 1)]
-        out[:, k] = np.where(left > 0, word >> (np.uint64(64) - np.uint64(8) * np.maximum(left, np.uint64(1))) << (np.uint64(64) - np.uint64(8) * np.maximum(left, np.uint64(1))), np.uint64(0))
+        out[:, k] = words[np.minimum(starts + 8 * k, len(words) - 1)].astype(np.uint64) & masks[np.clip(sizes - 8 * k, 0, 8)]
     return out
 
 
@@ -236,18 +236,32 @@ class Block:
     def __init__(self, doc_ids: list, texts: list[str], silent: list[bool], length: int):
         self.length = length
         parts = [t.encode("utf-8", "surrogatepass") for t in texts]
-        self.text = b"".join(parts)
+        speaking = sorted(range(len(parts)), key=silent.__getitem__)  # their bytes come first
+        self.text = b"".join(parts[k] for k in speaking)
         self.data = np.frombuffer(self.text, np.uint8)
-        self.size = np.array([len(p) for p in parts])
-        self.start = np.cumsum(self.size) - self.size
+        size = np.array([len(parts[k]) for k in speaking])
+        start = np.cumsum(size) - size
+        self.size, self.start = (np.empty(len(parts), np.int64) for _ in range(2))
+        self.size[speaking], self.start[speaking] = size, start
         self.ids = np.array([0 if i is None else i for i in doc_ids])
-        windows = np.where(silent, 0, np.maximum(self.size - length + 1, 0))
-        at, gram = anchors(self.data, length)
-        window = spread(self.start, windows)
-        doc = np.repeat(np.arange(len(parts)), windows)
-        edge = edges_of(doc, at[window])
-        self.at, self.hash, self.doc, self.first = at[window[edge]], gram[window[edge]], doc[edge], window[edge]
-        self.last = self.first + np.diff(np.append(edge, len(window))) - 1
+        windows = np.where(np.array(silent)[speaking], 0, np.maximum(size - length + 1, 0))
+        ends, runs = np.cumsum(windows), []
+        for low in range(0, int(windows.sum()), PIECE):
+            high = min(low + PIECE, int(ends[-1]))
+            k, z = np.searchsorted(ends, [low, high - 1], "right") + [0, 1]
+            first, n = start[k:z].copy(), windows[k:z].copy()
+            skip = low - (ends[k] - windows[k])
+            first[0] += skip
+            n[0] -= skip
+            n[-1] -= ends[z - 1] - high
+            window, doc = spread(first, n), np.repeat(np.array(speaking)[k:z], n)
+            base = int(window[0])
+            at, gram = anchors(self.data[base : int(window[-1]) + length], length)
+            own = window - base
+            edge = edges_of(doc, at[own])
+            runs.append((at[own[edge]] + base, gram[own[edge]], doc[edge], window[edge], window[edge] + np.diff(np.append(edge, len(window))) - 1))
+        none = np.zeros(0, np.int64)
+        self.at, self.hash, self.doc, self.first, self.last = (np.concatenate(x) for x in zip(*runs, strict=True)) if runs else (none, none.astype(np.uint64), none, none, none)
 
     def questions(self, ranges: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(range, sorted 32-bit hashes, number of runs up to 127, and 128 more if two documents have it) of the distinct anchors."""
