@@ -5,13 +5,14 @@ each collection: from 2 * m bands come m * m tables, so that the number of minha
 independent tables need. Documents of one key are candidates; whether they are linked is decided on the full shingle sets.
 
 Equal sets are one representative. Of the bands only those that two representatives share make keys. Candidates are
-verified in blocks of bounded size: first each block with itself and with the smallest candidate of its neighbourhood, then
-the pairs of blocks of which some key has members in several components. A candidate that is in the large component of its
-block is not compared again, so a group of copies costs about its size, not its square; only what isn't linked to the rest
-is compared with everybody that shares a key. Nothing is capped or dropped.
+verified in blocks of bounded size: first each block with itself and with the smallest candidate of its neighbourhood. Where a key
+then has members in several components, those outside its largest one visit the blocks of all its members, in chunks of bounded
+size. Members of the largest component are not compared with each other again, so a group of copies costs about its size, not its
+square; only what isn't linked to the rest is compared with everybody that shares a key. Nothing is capped or dropped.
 
 Results: one row for each row of docs. Null or empty texts have an empty set and are linked with nothing. Rows with a null id
 take no part in links: component null, kept. Rows of one id count as one document with several sets. Extra columns don't matter.
+An empty table gives no rows. At the threshold exactly, documents are linked.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, id_and_text, mixed, shingle_set, word_hashes, written
+from .common import Scratch, documents, id_and_text, mixed, shingle_set, word_hashes
 from .components import components
 
 BAND = 3
@@ -113,13 +114,13 @@ def verified(rows: DataFrame, percent: int, slices: int) -> DataFrame:
     """Links (a, b) within each group of rows (g, rep, label, shingles); groups are of bounded size."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[int, bytes]] = {}
+        held: dict[tuple[int, bytes], int] = {}  # an id may have several sets
         now, links = None, []
 
         def close() -> None:
             if len(held) > 1:
-                ids = np.array(sorted(held), np.int64)
-                links.extend(linked(ids, np.array([held[i][0] for i in ids.tolist()]), [np.frombuffer(held[i][1], np.uint64) for i in ids.tolist()], percent))
+                rows = sorted(held)
+                links.extend(linked(np.array([i for i, _ in rows], np.int64), np.array([held[r] for r in rows]), [np.frombuffer(x, np.uint64) for _, x in rows], percent))
             held.clear()
 
         for batch in batches:
@@ -127,7 +128,7 @@ def verified(rows: DataFrame, percent: int, slices: int) -> DataFrame:
                 if g != now:
                     close()
                     now = g
-                held[rep] = (label, shingles)
+                held[rep, shingles] = label
         close()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
 
@@ -137,50 +138,63 @@ def verified(rows: DataFrame, percent: int, slices: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs: n-word shingles, linked at `percent` of Jaccard similarity."""
     spark = docs.sparkSession
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    slices, scratch = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8), Scratch(spark)
     # the joined sides grow with the input, so they are never broadcast, however small they are here
     texts, m = id_and_text(docs, id_col, text_col), bands_for(percent)
-    signed = written(signatures(texts, n, m))
+    signed = scratch.write(signatures(texts, n, m))
     whole = signed.filter("n_shingles > 0 and doc_id is not null")
     reps = whole.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
-    reps = written(reps)
+    reps = scratch.write(reps)
 
     bands = reps.select("rep", F.posexplode("bands").alias("slot", "band"))
     shared = bands.groupBy("slot", "band").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    own = bands.join(shared.hint("merge"), ["slot", "band"]).groupBy("rep").agg(F.collect_list(F.struct("slot", "band")).alias("own"))  # at most 2 * m each
+    own = bands.join(shared.hint("merge"), ["slot", "band"]).groupBy("rep").agg(F.collect_list(F.struct("slot", "band")).alias("own"))  # at most 2 * m of each set
     first, second = F.filter("own", lambda x: x["slot"] < m), F.filter("own", lambda x: x["slot"] >= m)
     keys = own.select("rep", F.explode(first).alias("p"), second.alias("second")).select("rep", "p", F.explode("second").alias("q"))
     keys = keys.select(F.xxhash64("p.slot", "p.band", "q.slot", "q.band").alias("key"), "rep")
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    near = written(keys.join(hubs.hint("merge"), "key"))
+    near = scratch.write(keys.join(hubs.hint("merge"), "key"))
 
     homes = near.groupBy("rep").agg(F.min("hub").alias("home"))
-    homes = homes.join(reps.select("rep", "n_shingles").hint("merge"), "rep")
+    homes = homes.join(reps.groupBy("rep").agg(F.sum("n_shingles").alias("n_shingles")).hint("merge"), "rep")
     chunks = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("chunks"))
-    blocks = homes.join(chunks, "home").select("rep", "home", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "chunks")).alias("block"))
-    blocks = written(blocks)
+    blocks = homes.join(chunks, "home").select("rep", "home", "n_shingles", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "chunks")).alias("block"))
+    blocks = scratch.write(blocks)
     members = blocks.select("rep").union(blocks.select("home")).distinct()
-    sets = written(with_sets(texts.join(members.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").select("doc_id", "text"), n), "none")
+    sets = scratch.write(with_sets(texts.join(members.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").select("doc_id", "text"), n), "none")
 
     alone = blocks.select(F.col("block").alias("g"), "rep").union(blocks.select("block", "home")).distinct()
-    links = written(verified(alone.join(sets.hint("merge"), "rep").withColumn("label", F.col("rep")), percent, slices))
+    links = scratch.write(verified(alone.join(sets.hint("merge"), "rep").withColumn("label", F.col("rep")), percent, slices))
     labels = components(links)
-    labelled = blocks.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "block", F.coalesce("component", "rep").alias("label"))
-    labelled = written(labelled)
-    open_keys = near.join(labelled, "rep")
-    split = open_keys.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("block").alias("u"), F.max("block").alias("v")).filter("x <> y and u <> v").select("key")
-    places = open_keys.join(split, "key").select("key", "block").distinct()
-    pairs = places.join(places.withColumnRenamed("block", "other"), "key").filter("block < other").select("block", "other").distinct()
-    pairs = pairs.select(F.xxhash64("block", "other").alias("g"), F.explode(F.array("block", "other")).alias("block"))
-    across = pairs.join(labelled, "block").select("g", "rep", "label").join(sets.hint("merge"), "rep")
-    links = links.union(written(verified(across, percent, slices)))
+    labelled = blocks.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "block", "n_shingles", F.coalesce("component", "rep").alias("label"))
+    labelled = scratch.write(labelled)
+    across = visits(near, labelled)
+    links = links.union(scratch.write(verified(across.join(sets.hint("merge"), "rep"), percent, slices)))
     labels = components(links)
 
     by_set = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     out = signed.drop("bands").join(by_set.hint("merge"), ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return scratch.only(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def visits(near: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(g, rep, label) of what is still to be compared: for each key the members outside its largest component, with each block of the key.
+
+    Visitors come in chunks of bounded size; each chunk is a group with the members of the block.
+    """
+    keyed = near.select("key", "rep").join(labelled, "rep")
+    counts = keyed.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").drop("labels")
+    open_keys = keyed.join(main.hint("merge"), "key")
+    outside = open_keys.filter("label <> main").select("key", "rep", "label", "n_shingles", F.col("block").alias("own"))
+    places = open_keys.select("key", "block").distinct()
+    guests = outside.join(places.hint("merge"), "key").filter("block <> own").select("block", "rep", "label", "n_shingles").distinct()
+    chunks = guests.groupBy("block").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("chunks"))
+    guests = guests.join(chunks.hint("merge"), "block").select(F.xxhash64("block", F.pmod(F.xxhash64("rep"), "chunks")).alias("g"), "rep", "label")
+    hosts = labelled.join(chunks.hint("merge"), "block").select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "block", "rep", "label")
+    return guests.union(hosts.select(F.xxhash64("block", "chunk"), "rep", "label"))
 
 
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

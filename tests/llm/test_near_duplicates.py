@@ -64,6 +64,21 @@ def test_odd_rows(spark):
     assert nd.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_two_texts_ties_both(spark):
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(7, one), (7, two), (8, one + " more"), (9, two + " more"), (10, two + " more")], "doc_id long, text string")
+    got = [(r.doc_id, r.component_id) for r in nd.near_duplicates(docs, 3, 85).collect()]
+    assert sorted(got) == [(7, 7), (7, 7), (8, 7), (9, 7), (10, 7)]
+
+
+def test_a_very_long_text_and_a_tie_at_the_threshold(spark):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    exact = [f"v{k}" for k in range(202)]  # 200 shingles of three words
+    cut = " ".join(exact[:172])  # 170 of them, 85 per cent
+    docs = spark.createDataFrame([(1, long), (2, long + " x"), (3, " ".join(exact)), (4, cut), (5, " ".join(exact[:171]).replace("v170", "u"))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in nd.near_duplicates(docs, 3, 85).collect())[:4] == [(1, 1), (2, 1), (3, 3), (4, 3)]
+
+
 def test_long_chains(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
