@@ -5,7 +5,8 @@ threshold tests that best tells rejected from accepted labelled documents, prune
 stays precise, take away what it covers and go on. The ordered rules become one Spark conditional expression.
 
 The learner sees at most `most_labels` labelled documents (those first by a hash of doc_id); everything else covers all rows.
-Null or empty texts have no words, so they fail the base rule. Labels that are null, or of unknown documents, teach nothing; without
+Null or empty texts have no words, so they fail the base rule. Labels that are null, or of unknown documents, teach nothing; a document with
+two labels counts as rejected, and of several texts of one labelled id the one with the least statistics is learned from. Without
 labels the list is empty and the base rule alone decides. Repeated rows give repeated results, a null id stays null.
 """
 
@@ -175,9 +176,9 @@ def verdict(rules: list[Rule], count) -> Column:
 
 def fitted(docs: DataFrame, labels: DataFrame, most_labels: int = 12_000, **how) -> list[Rule]:
     """Learns the list from `labels` (doc_id, quality 0 or 1) on a bounded sample."""
-    sample = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
+    sample = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
     known = id_and_text(docs).join(F.broadcast(sample), "doc_id")  # at most most_labels rows of two numbers
-    rows = known.select("doc_id", "quality", text_counts("text").alias("c")).select("doc_id", "quality", "c.*").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    rows = known.select("doc_id", "quality", text_counts("text").alias("c")).groupBy("doc_id", "quality").agg(F.min("c").alias("c")).select("doc_id", "quality", "c.*").orderBy("doc_id").collect()
     if not rows:
         return []
     column = {k: np.array([r[k] for r in rows], np.float64) for k in COUNTS + MORE}
