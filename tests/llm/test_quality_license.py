@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerwatch.llm import license_scan, quality
+from ledgerwatch.llm.license_texts import NOTICES
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,6 +72,40 @@ def test_license_rows(spark):
     assert license_scan.licenses(docs.limit(0)).count() == 0
 
 
+def test_whole_notices(spark):
+    texts = [(label, " ".join(words)) for label, text in NOTICES for words in (license_scan.split(text),)]
+    cut = [(label, " ".join(w for k, w in enumerate(t.split()) if k % 23)) for label, t in texts]
+    docs = spark.createDataFrame([(k, f"x y {t} z") for k, (_, t) in enumerate(texts + cut)], "doc_id long, text string").selectExpr("*", "1 as n_words")
+    rows = {r.doc_id: r for r in license_scan.licenses(docs, templates=()).collect()}
+    for k, (label, t) in enumerate(texts + cut):
+        assert label in rows[k].labels.split(","), t
+        if k < len(texts):
+            assert rows[k].score == 1 and f"{label}:2:{len(t.split()) + 1}" in rows[k].spans.split(",")
+    # a quarter of a notice is none
+    part = spark.createDataFrame([(0, " ".join(texts[0][1].split()[:40]))], "doc_id long, text string")
+    assert license_scan.licenses(part, templates=()).first().labels == ""
+
+
+def test_license_of_a_very_long_text(spark):
+    docs = spark.createDataFrame([(0, "lorem ipsum " * 150_000 + "Apache License, ok")], "doc_id long, text string")
+    r = license_scan.licenses(docs).first()
+    assert (r.n_words, r.n_base, r.first_word) == (300_003, 1, 300_000)
+
+
+def test_two_labels_of_one_document(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, good + " ###" * (i % 2 * 12) + f" x{i}") for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)] + [(i, 1) for i in range(1, 20, 2)], "doc_id long, quality int")
+    once = quality.fitted(docs, labels)
+    assert once and once == quality.fitted(docs.repartition(7), labels.orderBy("quality", ascending=False).repartition(3))
+    assert not any(r.kept for r in quality.judged(docs, once).collect() if r.doc_id % 2)
+
+
+def test_quality_of_a_very_long_text(spark):
+    docs = spark.createDataFrame([(0, " ".join(f"w{k}" for k in range(200_000)))], "doc_id long, text string")
+    assert quality.judged(docs, []).first().n_words == 200_000
+
+
 def test_license_survives_a_word_at_every_place(spark):
     texts = []
     for t, (label, text) in enumerate(license_scan.TEMPLATES):
