@@ -12,8 +12,10 @@ to the best stretch of the text decides.
 
 A document is contaminated by an item if that distance is at most `percent` of the item's words. Words are runs of letters, digits
 and non-ASCII characters with A-Z lower-cased. Items without words match nothing; null and empty texts are clean.
-Repeated rows give repeated results, a null id stays null; without items everything is clean.
-The index goes to all tasks, so it is built over blocks of items of a bounded size, and texts pass through one block after another.
+Repeated rows give repeated results, a null id stays null; without items everything is clean. Of several places with the least
+distance the first counts. Texts are read whole, however long. A column of the caller with the name of the new one is replaced.
+The index goes to all tasks, so it is built over blocks of items of a bounded size. Texts pass through one block after another; what
+a block found is written before the next one is sent, so that one index at a time is held, however large the benchmark.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, documents, mixed, span_hashes, windows
+from .common import LOWER, Scratch, documents, mixed, span_hashes, windows
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -204,11 +206,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).dropna().dropDuplicates()
     size = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = int(size) // BLOCK_CHARACTERS + 1
-    out = docs.withColumn(hits_col, F.expr(f"cast(array() as {schema})"))
+    out, scratch = docs.withColumn(hits_col, F.expr(f"cast(array() as {schema})")), Scratch(spark) if blocks > 1 else None
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()  # about BLOCK_CHARACTERS
         index = spark.sparkContext.broadcast(Index([(r.i, r.t) for r in block], percent))
-        out = out.withColumn(hits_col, F.concat(hits_col, F.arrow_udf(searcher(index), schema)(text_col)))
+        found = out.withColumn(hits_col, F.concat(hits_col, F.arrow_udf(searcher(index), schema)(text_col)))
+        if scratch:
+            before, found = out, scratch.write(found)
+            index.destroy()
+            scratch.drop(before)
+        out = found
     return out
 
 

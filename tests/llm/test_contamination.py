@@ -88,3 +88,31 @@ def test_rows(spark, monkeypatch):
     monkeypatch.setattr(c, "BLOCK_CHARACTERS", 1500)
     assert {(r.doc_id, tuple(sorted(h.item_id for h in r.hits))) for r in c.contaminated(frame, bench).collect()} == {(i, tuple(want[i])) for i, _ in docs}
     assert c.clean(frame, bench.limit(0)).count() == len(docs) and c.clean(frame.limit(0), bench).count() == 0
+
+
+def test_ties_long_texts_and_a_column_of_the_same_name(spark):
+    item = " ".join(f"q{k}" for k in range(40))
+    near = item.replace("q7 ", "new ")
+    filler = " ".join(f"z{k}" for k in range(100_000))
+    rows = [(1, f"{filler} {item}", "a"), (2, f"{near} lorem {near}", "b"), (3, filler, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hits string")
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = {r.doc_id: [tuple(h) for h in r.hits] for r in c.contaminated(docs, bench).collect()}
+    assert got == {1: [(9, 0, 100_040)], 2: [(9, 1, 40)], 3: []}
+    assert c.clean(docs, bench).columns == docs.columns and c.clean(docs, bench).first().hits == "c"
+
+
+def test_recall_by_length():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    for n in (1, 2, 3, 5, 8, 12, 16, 24, 33, 40, 60):
+        for edits in (0, n // 10, n // 5):
+            items = [(k, [str(x) for x in rng.choice(vocabulary, n)]) for k in range(40)]
+            docs = []
+            for _, item in items:
+                part = list(item)
+                for k in sorted(rng.choice(n, edits, replace=False), reverse=True):
+                    part[k : k + 1] = [[], ["new"], [part[k], "new"]][int(rng.integers(0, 3))]
+                docs.append(" ".join([*rng.choice(vocabulary, 10), *part, *rng.choice(vocabulary, 50)]))
+            found = c.Index([(k, " ".join(item)) for k, item in items], 20).find(docs)
+            assert sum(k in {x[0] for x in hits} for k, hits in enumerate(found)) >= 38, (n, edits)
