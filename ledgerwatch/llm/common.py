@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,32 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return Scratch(df.sparkSession).write(df, codec)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of each range, one range after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+class Pieces:
+    """Texts cut at each space: the distinct pieces, the number of each piece in its text's order, and where each text begins."""
+
+    def __init__(self, texts: list[str]):
+        cut = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        coded = cut.values.dictionary_encode()
+        self.distinct, self.codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        self.offsets = cut.offsets.to_numpy()
+
+    def joined(self, ids: list[bytes], skip_first: bool = False) -> list[np.ndarray]:
+        """For each text the ids of its pieces, side by side; those of distinct piece k are ids[k], as 32-bit integers."""
+        size = np.array([len(x) for x in ids], np.int64) >> 2
+        every = np.frombuffer(b"".join(ids), "<u4")
+        own = size[self.codes]
+        if skip_first:
+            own[self.offsets[:-1]] = 0
+        out = every[spread((np.cumsum(size) - size)[self.codes], own)]
+        ends = np.concatenate([[0], np.cumsum(own)])[self.offsets].tolist()
+        return [out[a:z] for a, z in zip(ends, ends[1:], strict=False)]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, id_and_text, mixed, span_hashes
+from .common import Scratch, documents, id_and_text, mixed, span_hashes, spread
 
 GRAM, SHALLOW = 24, 2
 PIECE = 1 << 18
@@ -123,11 +123,6 @@ def edges_of(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of each range, one range after the other."""
-    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-
-
 def multikey_quicksort(rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, starts of the groups that agree in the first `depth` words). All open groups are split by a pivot of their own at once:
     what is less and what is greater stays at the word, what is equal goes on to the next one."""

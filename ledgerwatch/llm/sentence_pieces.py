@@ -24,13 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, id_and_text
+from .common import Pieces, documents, id_and_text
 
 SPACE = "▁"
 U4 = np.dtype("<u4")
 GAP = 0x110000  # ends each segment in the index; no character has it
 FULL = np.uint64((1 << 63) - 1)  # three points of 21 bits
-MOST_KNOWN, MOST_ODD, MOST_INDEX, ROWS = 500_000, 100_000, 400_000, 1000
+MOST_KNOWN, MOST_ODD, MOST_INDEX, ROWS = 500_000, 100_000, 400_000, 2000
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -42,7 +42,7 @@ def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
         key[: n - k] |= points[k:].astype(np.uint64) + np.uint64(1)
     size = 3
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_key = key[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[0], sorted_key[1:] != sorted_key[:-1]])).astype(np.uint64)
@@ -73,6 +73,10 @@ def merged(parts: list[str], score: dict[str, float]) -> tuple[list[str], tuple[
     return parts, pair
 
 
+def slots(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+
+
 class Model:
     """Pieces and ranks of a model file."""
 
@@ -122,6 +126,8 @@ class Model:
                 self.odd[i] = self.odd[a] or self.odd[b] or min(self.worth[a], self.worth[b]) <= self.worth[i]
         pairs = sorted((number[p[:k]] << 32 | number[p[k:]], self.score[p]) for p in number for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
         self.pairs, self.pair_worth = np.array([x for x, _ in pairs]), np.array([x for _, x in pairs])
+        self.may_merge = np.zeros(1 << 22, bool)  # a look before the search
+        self.may_merge[slots(self.pairs)] = True
 
     def alphabet(self) -> None:
         """Which characters stand side by side in a piece; class 0 is in no piece of two characters or more."""
@@ -147,8 +153,10 @@ class Model:
         limit, equal_too = np.full(len(at), -np.inf), np.zeros(len(at), bool)
         while len(at):
             pair = a << 32 | b
-            k = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            worth = np.where(self.pairs[k] == pair, self.pair_worth[k], -np.inf)
+            worth = np.full(len(pair), -np.inf)
+            some = np.flatnonzero(self.may_merge[slots(pair)])
+            k = np.minimum(np.searchsorted(self.pairs, pair[some]), len(self.pairs) - 1)
+            worth[some] = np.where(self.pairs[k] == pair[some], self.pair_worth[k], -np.inf)
             crossed = (worth > limit) | (equal_too & (worth == limit))
             out[at[crossed]] = False
             own, other = self.worth[a], self.worth[b]
@@ -211,9 +219,11 @@ class Model:
         points[ends] = GAP
         start, length, which = self.edges(points)
         begin = np.concatenate([[0], ends[:-1] + 1])
-        origin = begin[np.searchsorted(ends, start)]
+        origin = np.repeat(begin, ends - begin + 1)[start]
         end = start + length
-        order = np.lexsort((-length, end, end - origin))
+        bits = len(points).bit_length()
+        # by depth, then by end, the longest first; in one integer where that holds them
+        order = np.argsort((end - origin) << (bits + 16) | end << 16 | 0xFFFF - length) if bits < 24 else np.lexsort((-length, end, end - origin))
         start, which, end, origin = start[order], which[order], end[order], origin[order]
         # last[p]: the last piece of the prefix that ends before p; back[p]: where it starts
         last, back = np.full(len(points) + 1, -1, np.int64), np.zeros(len(points) + 1, np.int64)
@@ -283,24 +293,31 @@ class Model:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = []
-        for t in texts:
-            t = t.replace(SPACE, " ") if SPACE in t else t
-            if t and "  " not in t and t[0] != " " and t[-1] != " ":
-                cut.append([SPACE + p for p in t.split(" ")])
-                continue
-            own, ahead = [], SPACE if t else ""
-            for k, p in enumerate(t.split(" ") if t else ()):
-                ahead += SPACE if k else ""
-                if p:
-                    own.append(ahead + p)
-                    ahead = ""
-            cut.append(own + [ahead] if ahead else own)
+        texts = [t.replace(SPACE, " ") if SPACE in t else t for t in texts]
+        plain = [k for k, t in enumerate(texts) if t and "  " not in t and t[0] != " " and t[-1] != " "]
+        other = {k: self.runs(texts[k]) for k in set(range(len(texts))).difference(plain)}
+        pieces = Pieces([texts[k] for k in plain])
+        units = [SPACE + p for p in pieces.distinct]
         if len(self.known) > MOST_KNOWN:
             self.known.clear()
-        if fresh := list(set().union(*cut) - self.known.keys()):
+        if fresh := list(set(units).union(*other.values()) - self.known.keys()):
             self.join(fresh)
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        get, out = self.known.__getitem__, [b""] * len(texts)
+        for k, ids in zip(plain, pieces.joined(list(map(get, units))), strict=True):
+            out[k] = ids.tobytes()
+        for k, own in other.items():
+            out[k] = b"".join(map(get, own))
+        return out
+
+    def runs(self, text: str) -> list[str]:
+        """Units of a text with runs of spaces: each run with what follows it up to the next."""
+        own, ahead = [], SPACE if text else ""
+        for k, p in enumerate(text.split(" ") if text else ()):
+            ahead += SPACE if k else ""
+            if p:
+                own.append(ahead + p)
+                ahead = ""
+        return own + [ahead] if ahead else own
 
     def forget(self) -> None:
         """Lets go of what was learned from texts."""
