@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import byte_letters, documents, id_and_text, shared_dir
+from .common import Pieces, byte_letters, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED = 600_000
+MOST_CACHED, ROWS = 600_000, 2_000
 #: A run of ASCII marks but the apostrophe, or a line feed: pretokens of their own between letters.
 MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
 
@@ -100,16 +100,17 @@ class Encoder:
         for memory in (self.seen, self.words, self.after_space):
             if len(memory) > MOST_CACHED:
                 memory.clear()
-        plain = [None if "<|" in t or "  " in t or t[-1:] == " " else t.split(" ") for t in texts]
-        self.learn(list(set().union(*(c[1:] for c in plain if c)) - self.after_space.keys()))
-        get, out = self.after_space.__getitem__, []
-        for t, c in zip(texts, plain, strict=True):
-            if c:
-                out.append(self.unit(c[0]) + b"".join(map(get, c[1:])) if c[0] else b"".join(map(get, c[1:])))
-            elif "<|" in t:
-                out.append(array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes())
-            else:
-                out.append(b"".join(map(self.unit, units(t))))
+        plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " ")]
+        out = [b""] * len(texts)
+        pieces = Pieces([texts[k] for k in plain])
+        self.learn([p for p in pieces.distinct if p and p not in self.after_space])
+        get = self.after_space.get
+        for k, rest in zip(plain, pieces.joined([get(p, b"") for p in pieces.distinct], skip_first=True), strict=True):
+            first = texts[k].partition(" ")[0]
+            out[k] = self.unit(first) + rest.tobytes() if first else rest.tobytes()
+        for k in set(range(len(texts))).difference(plain):
+            t = texts[k]
+            out[k] = array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes() if "<|" in t else b"".join(map(self.unit, units(t)))
         return out
 
 
@@ -236,8 +237,8 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(texts), 500):
-                for i, x in zip(ids[low : low + 500], encoder(texts[low : low + 500]), strict=True):
+            for low in range(0, len(texts), ROWS):
+                for i, x in zip(ids[low : low + ROWS], encoder(texts[low : low + ROWS]), strict=True):
                     held.append(x + end)
                     docs_held.append(i)
                     size += len(held[-1]) // 4
