@@ -1,22 +1,7 @@
-"""Parameter tables. Every operator takes its own; these are the usual ones."""
+"""Labels of rows that lack a value."""
 
 from __future__ import annotations
 
-# Search words of the two registers.
-KEYWORDS_EU = ["tobacco", "nicotine", "cigarette", "cigar", "vape", "snus", "tabac"]
-KEYWORDS_FR = ["tabac", "nicotine", "cigarette electronique", "cigarette", "vapotage", "vape", "tabagisme"]
-
-# Names of member states.
-COUNTRY_NAMES = {
-    "AUT": "Autriche", "BEL": "Belgique", "BGR": "Bulgarie", "HRV": "Croatie",
-    "CYP": "Chypre", "CZE": "Tchéquie", "DNK": "Danemark", "EST": "Estonie",
-    "FIN": "Finlande", "FRA": "France", "DEU": "Allemagne", "GRC": "Grèce",
-    "HUN": "Hongrie", "IRL": "Irlande", "ITA": "Italie", "LVA": "Lettonie",
-    "LTU": "Lituanie", "LUX": "Luxembourg", "MLT": "Malte", "NLD": "Pays-Bas",
-    "POL": "Pologne", "PRT": "Portugal", "ROU": "Roumanie", "SVK": "Slovaquie",
-    "SVN": "Slovénie", "ESP": "Espagne", "SWE": "Suède",
-}
-
 # Labels of rows without a name or a country.
 UNKNOWN_ACTOR = "Acteur non identifié"
 UNKNOWN_COUNTRY = "Non identifié"

@@ -215,12 +215,31 @@ def test_sources(spark, tmp_path):
     assert S.read_pages(spark, str(tmp_path / "w.json")).first().text.startswith("{")
 
 
-def test_meeting_entries_without_header_or_date():
-    got = T.meeting_entries("1 A 01/02/2024 x\n5 not an entry\n2 nobody\n3 B-\nC, 03/04/2024 y\nReferences 4 z 01/01/2024")
-    assert got == [("2024-02-01", "A", "x 5 not an entry"), ("2024-04-03", "B-C", "y")]
+def test_meeting_lists_without_header_or_date(spark):
+    texts = [
+        "1 A 01/02/2024 x\n5 not an entry\n2 nobody\n3 B-\nC, 03/04/2024 y\nReferences 4 z 01/01/1999",
+        "Head 1 no\nSubject(s)\n\n 1\nAnn\u00a0 Example , 05/06/2023\n2 rooms 07/08/2023\n2 Cab, DG 09/10/2023",
+        "Subject(s) nothing", "", None,
+    ]
+    got = [tuple(r) for r in T.parse_meeting_lists(spark.createDataFrame(list(enumerate(texts)), "register_id int, text string")).collect()]
+    assert sorted(got) == [
+        ("0", 1, "2024-02-01", "A", "x 5 not an entry"), ("0", 2, "2024-04-03", "B-C", "y"),
+        ("1", 1, "2023-06-05", "Ann Example ", ""), ("1", 2, "2023-08-07", "rooms", "2 Cab, DG 09/10/2023"),
+    ]
+
+
+def test_register_rows(spark):
+    row = "<tr class='ecl-table__row'><td><strong>%s</strong></td><td>%s</td></tr>"
+    page = "<table>" + "".join(row % x for x in [
+        ("Nombre total de personnes concernées :", "12"), ("Intermédiaires – exercice en cours", "none listed"), ("Estimation des coûts annuels", "<span><span>10\u00a0000\u202f€</span></span>"),
+        ("Date d’enregistrement", "n/a"), ("Affiliation à des associations ou organismes", "<p>One</p><p>Two</p>"), ("Liste des membres et organisations", " n/a "),
+    ]) + "</table>"
+    r = T.extract_register_fields(spark.createDataFrame([(page,)], "html string")).first()
+    assert (r.people_involved, r.nb_intermediaries, r.intermediaries, r.budget_low, r.budget_high) == (12, 0, [], 10000, 10000)
+    assert (r.objectives, r.registration_date, r.associations, r.memberships) == (None, None, "One\nTwo", None)
 
 
 def test_pages_without_fields(spark):
-    df = spark.createDataFrame([("",), (None,), ("<tr class='ecl-table__row'><td><strong>co ts annuels</strong></td><td></td></tr>",)], "html string")
+    df = spark.createDataFrame([("",), (None,), ("<tr class='ecl-table__row'><td><strong>Coûts annuels</strong></td><td></td></tr>",)], "html string")
     assert all(r.budget_low is None and r.intermediaries == [] for r in T.extract_register_fields(df).collect())
     assert T.extract_accredited(df).count() == 0 and T.extract_search_results(df).count() == 0
