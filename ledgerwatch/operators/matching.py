@@ -48,31 +48,38 @@ def haystack(*cols: Column) -> Column:
     return F.concat_ws(" ", *(F.nullif(c, F.lit("")) for c in cols))
 
 
-def match_by_keywords(actors: DataFrame, records: DataFrame, texts: list[str], year: str = "source_year", order: str = "_ord", normalize=None) -> DataFrame:
+def match_by_keywords(actors: DataFrame, records: DataFrame, texts: list[str], year: str = "source_year", order: str = "_ord", normalize=None, most_actors: int = 2_000, gram: int = 3) -> DataFrame:
     """The first record of each (actor, year) whose texts hold one of the actor's keywords, with the number of such records.
 
-    actors: actor, keywords (array). A theta join: each record is folded once and meets the small actor side.
+    actors: actor, keywords (array). `order` tells the records apart. Up to `most_actors` actors go to all tasks and meet each record
+    once, folded. Beyond that, keywords meet records by their first `gram` characters, and shorter ones are the few that meet all.
     """
     clean = normalize or (lambda c: fold(c, ascii_only=True))
     hay = records.withColumn("_hay", clean(haystack(*map(F.col, texts))))
-    words = actors.select("actor", F.explode("keywords").alias("_kw"))
-    hits = hay.join(words, F.contains(F.col("_hay"), F.col("_kw"))).drop("_hay", "_kw").dropDuplicates(["actor", year, order])
-    first = first_per_key(hits, ["actor", year], [order])
-    counts = hits.groupBy("actor", year).agg(F.count("*").alias("n_matches"))
-    return first.join(counts, ["actor", year])
+    if len(actors.select("actor").take(most_actors + 1)) <= most_actors:
+        hits = hay.join(F.broadcast(actors.select("actor", F.col("keywords").alias("_kws"))), F.exists("_kws", lambda k: F.contains(F.col("_hay"), k))).drop("_hay", "_kws")
+    else:
+        words = actors.select("actor", F.explode("keywords").alias("_kw")).distinct()
+        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_hay") - gram + 1, F.lit(1))), lambda k: F.substring("_hay", k, F.lit(gram))))
+        held = F.contains(F.col("_hay"), F.col("_kw"))
+        long = hay.withColumn("_gram", F.explode(grams)).join(words.filter(F.length("_kw") >= gram).withColumn("_gram", F.substring("_kw", 1, gram)), "_gram").filter(held).drop("_gram")
+        short = hay.join(words.filter(F.length("_kw") < gram), held)
+        hits = long.unionByName(short).drop("_hay", "_kw").dropDuplicates(["actor", year, order])
+    row = F.struct(*(c for c in hits.columns if c not in ("actor", year)))
+    found = hits.groupBy("actor", year).agg(F.min_by(row, order).alias("_row"), F.count("*").alias("n_matches"))
+    return found.select("actor", year, "_row.*", "n_matches")
 
 
 def provider_relations(actors: DataFrame, relations: DataFrame, actor_id: str = "identifiant_national", client_id: str = "identifiant_national_client", digits: int = 9) -> DataFrame:
     """Relations whose client id starts with the first characters of the actor's id.
 
-    Ids of full length meet by equality of their prefix; shorter actor ids are tested one by one.
+    A client id stands under its prefix of each length that some actor's has (up to `digits` lengths), and prefixes meet by equality.
     """
     a = actors.withColumn("_p", F.substring(actor_id, 1, digits)).filter("_p <> ''")
-    full, short = a.filter(F.length("_p") == digits), a.filter(F.length("_p") < digits)
-    r = relations.withColumn("_q", F.substring(client_id, 1, digits))
-    equal = full.join(r, F.col("_p") == F.col("_q"))
-    starts = short.join(r, F.startswith(F.col(client_id), F.col("_p")))
-    return equal.unionByName(starts).drop("_p", "_q")
+    lengths = a.agg(F.collect_set(F.length("_p")).alias("_lengths"))  # one row
+    r = relations.filter(F.col(client_id) != "").crossJoin(F.broadcast(lengths)).withColumn("_n", F.explode("_lengths"))
+    r = r.withColumn("_p", F.substring(client_id, F.lit(1), F.col("_n"))).filter(F.length("_p") == F.col("_n")).drop("_n", "_lengths")
+    return a.join(r, "_p").drop("_p")
 
 
 def resolve_names(queries: DataFrame, results: DataFrame, kept: int = 10) -> DataFrame:

@@ -18,7 +18,7 @@ FEED = "date date, actor string, institution string, dg string, with_whom string
 def dedupe_meetings(rows: DataFrame, keys: list[str], sets: list[str], firsts: list[str], order: str = "_ord") -> DataFrame:
     """One row for each key, nulls equal: arrays united and sorted, other columns of the first row.
 
-    Entries are exploded and collected as sets, so a meeting in many rows is united before the shuffle.
+    Equal arrays of a key are collected once before the shuffle, then united; a meeting's arrays are few.
     """
     united = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in sets]
     return rows.groupBy(*keys).agg(*united, *(F.min_by(c, order).alias(c) for c in firsts), F.min(order).alias(order))

@@ -50,7 +50,10 @@ def rank_rows(df: DataFrame, order: list[Column], groups: list[str] | None = Non
 
 
 def contiguous_runs(df: DataFrame, series: str, year: str) -> DataFrame:
-    """Numbers the runs of each series that no year breaks; the years are those of all series together."""
+    """Numbers the runs of each series that no year breaks; the years are those of all series together.
+
+    The distinct years are ranked in one task and sent to all: for columns of few values, such as years.
+    """
     years = df.select(year).distinct()
     index = years.withColumn("_i", F.row_number().over(W.orderBy(year)))  # one row for a year
     placed = df.join(F.broadcast(index), year)

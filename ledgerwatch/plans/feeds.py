@@ -203,16 +203,16 @@ def a18(spark, sf):
 
 @query(
     "u4_graph_nodes",
-    f"""WITH {CANDIDATE_SQL}, e AS (SELECT DISTINCT source, target FROM cand WHERE target % 2 = 0), d AS (SELECT id, count(*) AS degree FROM (SELECT source AS id FROM e UNION ALL SELECT target FROM e) GROUP BY 1),
+    f"""WITH {CANDIDATE_SQL}, e AS (SELECT DISTINCT source, target FROM cand), d AS (SELECT id, count(*) AS degree FROM (SELECT source AS id FROM e UNION ALL SELECT target FROM e) GROUP BY 1),
  ent AS (SELECT c_custkey - c_custkey % 3 AS id, c_name AS name, c_custkey AS o FROM customer), x AS (SELECT ent.*, coalesce(degree, 0) AS degree, row_number() OVER (PARTITION BY id ORDER BY o) AS n FROM ent LEFT JOIN d USING (id))
- SELECT id, name, degree, degree = 0 AS isolated FROM x WHERE degree > 0 OR n = 1 UNION ALL SELECT s_suppkey, s_name, coalesce(degree, 0), false FROM supplier LEFT JOIN d ON id = s_suppkey""",
+ SELECT id, name, degree, degree = 0 AS isolated FROM x WHERE degree > 0 OR n = 1 UNION ALL SELECT s_suppkey, s_name, coalesce(degree, 0), false FROM supplier LEFT JOIN d ON id = s_suppkey UNION ALL SELECT 2 * n_nationkey, n_name, coalesce(degree, 0), false FROM nation LEFT JOIN d ON id = 2 * n_nationkey""",
 )
 def u4(spark, sf):
-    edges = H.consolidate_edges(candidates(spark, sf)).filter("target % 2 = 0")
+    edges = H.consolidate_edges(candidates(spark, sf))
     shape = lambda df, key, name: df.select(key.alias("id"), F.col(name).alias("name"), F.lit("l").alias("label"), F.lit("c").alias("category"), F.lit("s").alias("shape"))
-    c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    c, s, n = (table(spark, sf, t) for t in ("customer", "supplier", "nation"))
     entities = c.select((F.col("c_custkey") - F.col("c_custkey") % 3).alias("id"), F.col("c_name").alias("name"), F.lit("l").alias("label"), F.lit("c").alias("category"), F.lit("s").alias("shape"), F.col("c_custkey").alias("_ord"))
-    nodes, alone = H.graph_nodes(entities, shape(s, F.col("s_suppkey"), "s_name"), shape(s.limit(0), F.col("s_suppkey"), "s_name"), edges)
+    nodes, alone = H.graph_nodes(entities, shape(s, F.col("s_suppkey"), "s_name"), shape(n, 2 * F.col("n_nationkey"), "n_name"), edges)
     return nodes.withColumn("isolated", F.lit(False)).unionByName(alone.withColumn("isolated", F.lit(True))).select("id", "name", "degree", "isolated")
 
 
@@ -227,20 +227,6 @@ def u5(spark, sf):
     return nodes.join(edges.groupBy(F.col("target").alias("id")).agg(F.count("*").alias("n_edges")), "id").select("id", "name", "n_edges")
 
 
-@query(
-    "s7_merge_live",
-    """SELECT coalesce(c_custkey, s_suppkey + 5) AS k, CASE WHEN s_suppkey IS NULL OR s_suppkey % 3 = 0 THEN c_nationkey ELSE s_nationkey END AS people, CASE WHEN s_suppkey IS NULL THEN c_mktsegment WHEN s_suppkey % 4 <> 0 THEN s_name END AS meetings, c_name AS snapshot, CASE WHEN s_suppkey % 3 = 0 THEN 'failed' END AS detail_error
- FROM (SELECT * FROM customer WHERE c_custkey % 2 = 0) FULL JOIN supplier ON c_custkey = s_suppkey + 5""",
-)
-def s7(spark, sf):
-    c, s = table(spark, sf, "customer").filter("c_custkey % 2 = 0"), table(spark, sf, "supplier")
-    none = F.lit(None).cast("string")
-    current = c.select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("people"), none.alias("detail_error"), F.col("c_mktsegment").alias("meetings"), none.alias("meetings_error"), F.col("c_name").alias("snapshot"), none.alias("snapshot_error"))
-    k = F.col("s_suppkey")
-    update = s.select((k + 5).alias("k"), F.col("s_nationkey").alias("people"), F.when(k % 3 == 0, "failed").alias("detail_error"), F.col("s_name").alias("meetings"), F.when(k % 4 == 0, "failed").alias("meetings_error"))
-    return G.merge_live(current, update, "k", {"detail": ["people"], "meetings": ["meetings"], "snapshot": ["snapshot"]}).select("k", "people", "meetings", "snapshot", "detail_error")
-
-
 @query("s8_quarantine", "SELECT o_orderkey, o_totalprice >= 1000 AS result, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 400000 THEN 'pending,large' WHEN o_orderstatus = 'P' THEN 'pending' WHEN o_totalprice > 400000 THEN 'large' ELSE '' END AS issues FROM orders WHERE o_orderstatus = 'P' OR o_totalprice > 400000 OR o_totalprice < 1000")
 def s8(spark, sf):
     good, bad = G.quarantine(table(spark, sf, "orders"), {"pending": "o_orderstatus = 'P'", "large": "o_totalprice > 400000"}, "o_totalprice >= 1000")
@@ -284,39 +270,59 @@ def t3(spark, sf):
     return out.select("register_id", "surname", F.col("start_date").cast("string").alias("start_date"))
 
 
-@query("x1_parse_forms", "SELECT c_custkey, c_name AS org_name, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey * 1000 END AS employees, CASE WHEN c_custkey % 3 <> 0 THEN 4 END AS n_employees, 'Firm A=12500,' || c_mktsegment || '=7' AS providers, CAST(12507 AS BIGINT) AS provider_total, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey * 1000 END + 12507 + 90 AS total FROM customer")
+X1_SQL = """SELECT *, employees + provider_total + CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 90 END AS total FROM (SELECT c_custkey, c_name AS org_name, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey * 1000 END AS employees, CASE WHEN c_custkey % 3 <> 0 THEN 4 END AS n_employees,
+ CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'Firm A=12500' ELSE 'Firm A=12500,' || c_mktsegment || '=7' END AS providers, CAST(CASE c_custkey % 7 WHEN 0 THEN 0 WHEN 1 THEN 12500 ELSE 12507 END AS BIGINT) AS provider_total FROM customer)"""
+
+
+@query("x1_parse_forms", X1_SQL)
 def x1(spark, sf):
-    yes = F.when(F.col("c_custkey") % 3 == 0, "Non").otherwise("Oui")
+    """Forms with both answers, two, one or no provider, plain and no-break spaces in amounts, and with or without the last section."""
+    k = F.col("c_custkey")
+    answer = lambda no: F.when(no, "Non").otherwise("Oui")
+    missions = "Montant total annuel des achats de missions ou prestations de la société ou association\n"
+    second = F.when(k % 7 > 1, F.concat(F.lit(f"{missions}7\nDénomination sociale de la société prestataire\n"), "c_mktsegment", F.lit("\n"))).otherwise("")
+    given = F.when(k % 5 != 0, "Avez-vous versé des avantages en nature ou en espèces en année 2025 ?\nOui\nMontant total annuel\n90\n").otherwise("")
     parts = [
-        F.lit("Dénomination sociale\n"), F.col("c_name"), F.lit("\nAvez-vous effectué des dépenses de rémunération des personnels employés en année 2025 ?\n"), yes,
-        F.lit("\nMontant total annuel brut\n"), F.col("c_custkey").cast("string"), F.lit(" 000\nNombre de personnels rémunérées\n4\n7. Dépenses d'achats\n"),
-        F.lit("Avez-vous effectué des dépenses d'achats de prestations auprès des sociétés de conseil en année 2025 ?\nOui\n"),
-        F.lit("Montant total annuel des achats de missions ou prestations de la société ou association\n12 500\nDénomination sociale de la société prestataire\nFirm A\n"),
-        F.lit("Montant total annuel des achats de missions ou prestations de la société ou association\n7\nDénomination sociale de la société prestataire\n"), F.col("c_mktsegment"),
-        F.lit("\n8. Avantages en nature\nAvez-vous versé des avantages en nature ou en espèces en année 2025 ?\nOui\nMontant total annuel\n90\n9. Je confirme"),
+        F.lit("Dénomination sociale\n"), F.col("c_name"), F.lit("\nAvez-vous effectué des dépenses de rémunération des personnels employés en année 2025 ?\n"), answer(k % 3 == 0),
+        F.lit("\nMontant total annuel brut\n"), k.cast("string"), F.when(k % 2 == 0, " 000").otherwise("\u202f000"), F.lit("\nNombre de personnels rémunérées\n4\n7. Dépenses d'achats\n"),
+        F.lit("Avez-vous effectué des dépenses d'achats de prestations auprès des sociétés de conseil en année 2025 ?\n"), answer(k % 7 == 0), F.lit(f"\n{missions}"),
+        F.when(k % 2 == 0, "12 500").otherwise("12\u00a0500"), F.lit("\nDénomination sociale de la société prestataire\nFirm A\n"), second,
+        F.lit("8. Avantages en nature\n"), given, F.lit("9. Je confirme"),
     ]
     out = X.parse_forms(table(spark, sf, "customer").select("c_custkey", F.concat(*parts).alias("text")))
     return out.select("c_custkey", "org_name", "employees", "n_employees", F.array_join(F.transform("providers", lambda p: F.concat_ws("=", p["name"], p["amount"])), ",").alias("providers"), "provider_total", "total")
 
 
-@query("x2_parse_layout_forms", "SELECT CAST(s_suppkey AS VARCHAR) AS file, s_name AS org_name, s_suppkey * 100 AS employees, 'Firm A=' || s_nationkey || ',Firm B=5' AS providers, CAST(s_nationkey + 5 AS BIGINT) AS provider_total, CAST(s_suppkey * 100 + s_nationkey + 5 AS BIGINT) AS total FROM supplier")
+X2_SQL = """SELECT CAST(s_suppkey AS VARCHAR) AS file, s_name AS org_name, s_suppkey * 100 AS employees, CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'Firm A=' || s_nationkey ELSE 'Firm A=' || s_nationkey || ',Firm B=5' END AS providers,
+ CAST(CASE s_suppkey % 3 WHEN 0 THEN 0 WHEN 1 THEN s_nationkey ELSE s_nationkey + 5 END AS BIGINT) AS provider_total, CAST(s_suppkey * 100 + CASE s_suppkey % 3 WHEN 0 THEN 0 WHEN 1 THEN s_nationkey ELSE s_nationkey + 5 END AS BIGINT) AS total FROM supplier"""
+
+
+@query("x2_parse_layout_forms", X2_SQL)
 def x2(spark, sf):
+    """Forms of two, one or no provider; the providers of every fourth stand on a second page."""
     rows = [(1, "Dénomination", 10.0), (1, "sociale", 60.0), (1, None, 100.0), (2, "Montant", 10.0), (2, "total", 50.0), (2, "annuel", 80.0), (2, "€", 120.0), (2, "EMP", 135.0)]
     rows += [(3, "Dénomination", 10.0), (3, "sociale", 70.0), (3, "de", 110.0), (3, "la", 125.0), (3, "société", 135.0), (3, "prestataire", 170.0), (3, "Firm", 250.0), (3, "A", 275.0), (3, "Firm", 350.0), (3, "B", 375.0)]
     rows += [(4, "association", 10.0), (4, "NAT", 250.0), (4, "5,30", 350.0)]
-    words = spark.createDataFrame([(n, t, x, x + 20.0, line * 12.0 + (n % 3) * 0.7) for n, (line, t, x) in enumerate(rows)], "ord int, w string, x0 double, x1 double, top double")
-    text = F.when(F.col("w").isNull(), F.col("s_name")).when(F.col("w") == "EMP", (F.col("s_suppkey") * 100).cast("string")).when(F.col("w") == "NAT", F.col("s_nationkey").cast("string")).otherwise(F.col("w"))
-    pages = table(spark, sf, "supplier").crossJoin(F.broadcast(words)).select(F.col("s_suppkey").cast("string").alias("file"), F.lit(1).alias("page"), "ord", text.alias("text"), "x0", "x1", "top")
+    words = spark.createDataFrame([(n, line, t, x, x + 20.0, line * 12.0 + (n % 3) * 0.7) for n, (line, t, x) in enumerate(rows)], "ord int, n int, w string, x0 double, x1 double, top double")
+    k, later = F.col("s_suppkey"), F.col("n") > 2
+    text = F.when(F.col("w").isNull(), F.col("s_name")).when(F.col("w") == "EMP", (k * 100).cast("string")).when(F.col("w") == "NAT", F.col("s_nationkey").cast("string")).otherwise(F.col("w"))
+    pages = table(spark, sf, "supplier").crossJoin(F.broadcast(words)).filter(~later | (k % 3 == 2) | ((k % 3 == 1) & (F.col("x0") < 300)))
+    pages = pages.select(k.cast("string").alias("file"), F.when(later & (k % 4 == 0), 2).otherwise(1).alias("page"), "ord", text.alias("text"), "x0", "x1", "top")
     out = X.parse_layout_forms(pages)
     return out.select("file", "org_name", "employees", F.array_join(F.transform("providers", lambda p: F.concat_ws("=", p["name"], p["amount"])), ",").alias("providers"), "provider_total", "total")
 
 
-@query(
-    "x3_parse_meeting_lists",
-    "SELECT CAST(s_suppkey AS VARCHAR) AS register_id, n, CASE WHEN n = 1 THEN '2024-03-05' ELSE '2023-11-30' END AS date, CASE WHEN n = 1 THEN 'Ann Example, DG-X' ELSE s_name END AS representative_or_dg, CASE WHEN n = 1 THEN 'Brussels 7 topics' ELSE 'Online' END AS location_and_subject FROM supplier, (VALUES (1), (2)) t(n)",
-)
+X3_SQL = """SELECT CAST(s_suppkey AS VARCHAR) AS register_id, n, CASE n WHEN 1 THEN '2024-03-05' WHEN 2 THEN '2023-11-30' ELSE '2025-02-01' END AS date, CASE n WHEN 1 THEN 'Ann Example, DG-X' WHEN 2 THEN s_name ELSE 'Cab' END AS representative_or_dg,
+ CASE n WHEN 1 THEN 'Brussels 7 topics' WHEN 2 THEN 'Online' ELSE 'Paris' END AS location_and_subject FROM supplier, (VALUES (1), (2), (3)) t(n) WHERE n < 3 OR s_suppkey % 3 = 0"""
+
+
+@query("x3_parse_meeting_lists", X3_SQL)
 def x3(spark, sf):
-    text = F.concat(F.lit("Head\nSubject(s)\n1 Ann Example,\nDG-\nX 05/03/2024 Brussels\n7 topics\n2 "), "s_name", F.lit(" 30/11/2023 Online\n3 nobody\nReferences\n4 x 01/01/2020 y"))
+    """Lists with and without a header, an item without a date, numbers that are no items, and numbers on lines of their own."""
+    k = F.col("s_suppkey")
+    head = F.when(k % 2 == 0, "Head\n1 no\nSubject(s)\n").otherwise("")
+    more = F.when(k % 3 == 0, "4\nCab 01/02/2025 Paris\n").otherwise("")
+    text = F.concat(head, F.lit("1 Ann Example,\nDG-\nX 05/03/2024 Brussels\n7 topics\n2 "), "s_name", F.lit(" 30/11/2023 Online\n3 nobody\n"), more, F.lit("References\n5 x 01/01/2020 y"))
     return X.parse_meeting_lists(table(spark, sf, "supplier").select("s_suppkey", text.alias("text")), "s_suppkey")
 
 
@@ -338,9 +344,13 @@ def x4(spark, sf):
     return out.select("c_custkey", "people_involved", F.col("nb_intermediaries").cast("int").alias("nb_intermediaries"), "budget_low", "budget_high", "objectives", "registration_date", "memberships")
 
 
-@query("x5_extract_accredited", "SELECT s_suppkey, s_name AS surname, 'Jo' AS first_name, '2024-01-02' AS start_date, CAST(NULL AS VARCHAR) AS end_date FROM supplier UNION ALL SELECT s_suppkey, 'B', '', NULL, '2025-12-31' FROM supplier")
+@query("x5_extract_accredited", "SELECT s_suppkey, s_name AS surname, 'Jo' AS first_name, '2024-01-02' AS start_date, CAST(NULL AS VARCHAR) AS end_date FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL SELECT s_suppkey, 'B', '', NULL, '2025-12-31' FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL SELECT s_suppkey, 'C', 'D', NULL, NULL FROM supplier WHERE s_suppkey % 3 = 1")
 def x5(spark, sf):
-    html = F.concat(F.lit('<table><thead></thead><tbody><tr><td>no</td><td>no</td></tr></tbody></table><h2 id="persons-accredited-for-access-to-european-parliament-premises">x</h2><table><tbody><tr><td><table><thead><tr><th>a</th></tr></thead><tbody><tr><td>'), "s_name", F.lit("</td><td> Jo </td><td>02/01/2024</td><td></td></tr><tr><td></td><td></td></tr><tr><td>B</td><td></td><td>?</td><td>31/12/2025</td></tr></tbody></table></td></tr></tbody></table>"))
+    """Pages with full rows, with a short row too, and without the anchored heading."""
+    k = F.col("s_suppkey")
+    heading = F.when(k % 3 != 0, '<h2 id="persons-accredited-for-access-to-european-parliament-premises">x</h2>').otherwise("<h2>x</h2>")
+    short = F.when(k % 3 == 1, "<tr><td>C</td><td>D</td></tr><tr><td>alone</td></tr>").otherwise("")
+    html = F.concat(F.lit("<table><thead></thead><tbody><tr><td>no</td><td>no</td></tr></tbody></table>"), heading, F.lit("<table><tbody><tr><td><table><thead><tr><th>a</th></tr></thead><tbody><tr><td>"), "s_name", F.lit("</td><td> Jo </td><td>02/01/2024</td><td></td></tr><tr><td></td><td></td></tr><tr><td>B</td><td></td><td>?</td><td>31/12/2025</td></tr>"), short, F.lit("</tbody></table></td></tr></tbody></table>"))
     return X.extract_accredited(table(spark, sf, "supplier").select("s_suppkey", html.alias("html")))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import feeds, joins, scalars
+from . import feeds, joins, landed, scalars
 from .roles import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "feeds", "joins", "scalars"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "feeds", "joins", "landed", "scalars"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,12 +9,15 @@ from pyspark.sql import types as T
 from ledgerwatch.functions import schemas
 
 
-def read_register_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A table of the register export, wherever it lies below the path: UTF-8, semicolons, quoted fields over several lines."""
+def read_register_csv(spark: SparkSession, path: str, table: str, pattern: str | None = None) -> DataFrame:
+    """A table of the register export, wherever it lies below the path: UTF-8, semicolons, quoted fields over several lines.
+
+    `pattern` names the files where they don't have the export's own name.
+    """
     name, schema = schemas.REGISTER_FILES[table]
     reader = spark.read.option("sep", ";").option("header", True).option("multiLine", True).option("escape", '"')
-    rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name).csv(path)
-    wanted = T._parse_datatype_string(schema)
+    rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern or name).csv(path)
+    wanted = T.StructType.fromDDL(schema)
     return rows.select(*((F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields))
 
 
@@ -32,7 +35,7 @@ def read_json_records(spark: SparkSession, path: str, schema: str, wrapped_in: s
 
 
 def struct_fields(schema: str) -> list[str]:
-    return [f"{f.name}:{f.dataType.simpleString()}" for f in T._parse_datatype_string(schema).fields]
+    return [f"{f.name}:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema).fields]
 
 
 def read_keyed_json(spark: SparkSession, path: str, value: str, field: str | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ State never expires: what has been seen is a table, not streaming state with a w
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,47 +67,48 @@ def next_baseline(previous: DataFrame, current: DataFrame, fetched: DataFrame) -
     return current.select(*keys).join(good, "register_id", "left_semi").unionByName(previous.select(*keys).join(good, "register_id", "left_anti"))
 
 
-class VersionedStore:
-    """A small table that is replaced as a whole: each version is a folder, and readers take the last complete one."""
+class AppendedStore:
+    """A table that micro-batches append to: each batch is a folder of Parquet that holds what the batch added or changed.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    A batch that is run again replaces its own folder, and reads what stood before it. With a key, a row replaces all earlier ones
+    of its key.
+    """
 
-    def versions(self) -> list[str]:
-        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        done = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-        return sorted(str(p.getName()) for p in done if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str | None = None):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        empty = spark.createDataFrame([], schema)
+        self.schema = f"{schema}, batch bigint"
+        self.columns = empty.columns
+        empty.write.mode("append").parquet(f"{self.path}/batch=-1")  # so that there is something to read
 
-    def read(self) -> DataFrame:
-        found = self.versions()
-        if not found:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[-1]}")
+    def read(self, before: int | None = None) -> DataFrame:
+        """The rows, or the rows as they were before that batch."""
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        if before is not None:
+            rows = rows.filter(F.col("batch") < before)
+        if self.key:
+            rows = rows.groupBy(F.col(self.key).alias("_key")).agg(F.max_by(F.struct(*self.columns), "batch").alias("_row")).select("_row.*")
+        return rows.select(*self.columns)
 
-    def write(self, df: DataFrame) -> None:
-        found = self.versions()
-        number = int(found[-1].split("-")[0]) + 1 if found else 0
-        df.write.parquet(f"{self.path}/{number:012d}-{uuid.uuid4().hex[:8]}")
+    def write(self, df: DataFrame, batch: int = -1) -> None:
+        df.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
 
-def ingest_registrants(stream: DataFrame, store: VersionedStore, keywords: list[str], detected_at: str, checkpoint: str):
-    """Runs new_registrants on each micro-batch of a stream; a batch that is run again adds nothing."""
+def ingest_registrants(stream: DataFrame, store: AppendedStore, keywords: list[str], detected_at: str, checkpoint: str):
+    """Runs new_registrants on each micro-batch of a stream and appends what it finds; a batch that is run again adds nothing."""
 
     def step(batch: DataFrame, number: int) -> None:
-        known = store.read()
-        store.write(known.unionByName(new_registrants(batch.withColumn("_ord", F.monotonically_increasing_id()), known, keywords, detected_at)))
+        store.write(new_registrants(batch.withColumn("_ord", F.monotonically_increasing_id()), store.read(number), keywords, detected_at), number)
 
     return foreach(stream, step, checkpoint)
 
 
-def upsert_live(stream: DataFrame, store: VersionedStore, key: str, groups: dict[str, list[str]], checkpoint: str):
-    """Runs merge_live on each micro-batch; the last writer of a column group wins."""
+def upsert_live(stream: DataFrame, store: AppendedStore, key: str, groups: dict[str, list[str]], checkpoint: str):
+    """Runs merge_live on each micro-batch and appends the rows of its keys; the last writer of a column group wins."""
 
     def step(batch: DataFrame, number: int) -> None:
-        store.write(merge_live(store.read(), batch, key, groups))
+        touched = store.read(number).join(batch.select(key).distinct(), key, "left_semi")
+        store.write(merge_live(touched, batch, key, groups), number)
 
     return foreach(stream, step, checkpoint)
 

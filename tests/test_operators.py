@@ -163,7 +163,7 @@ def test_accreditations(spark):
 
 def test_registrant_stream_adds_once(spark, tmp_path):
     feed = str(tmp_path / "feed")
-    store = I.VersionedStore(spark, "file://" + str(tmp_path / "store"), I.STORE)
+    store = I.AppendedStore(spark, "file://" + str(tmp_path / "store"), I.STORE)
     put = lambda rows: spark.createDataFrame(rows, "id string, name string, registrationDate string, objectives string").withColumn("registrationDate", F.col("registrationDate").cast("date")).write.mode("append").parquet(feed)
     put([("1", "Vape House", None, None), ("2", "Other", None, "sells CIGARS"), ("3", "None", None, None), ("1", "Vape again", None, None), (None, "vape", None, None)])
     for _ in range(2):
@@ -183,7 +183,7 @@ def test_backfill_only_while_small(spark):
 
 def test_live_stream_upserts(spark, tmp_path):
     kinds = "k string, people int, detail_error string, meetings int, meetings_error string"
-    store = I.VersionedStore(spark, "file://" + str(tmp_path / "store"), kinds)
+    store = I.AppendedStore(spark, "file://" + str(tmp_path / "store"), kinds, "k")
     store.write(spark.createDataFrame([("a", 1, None, 5, None)], kinds))
     spark.createDataFrame([("a", None, "down", None, "down"), ("b", 2, None, 3, None)], kinds).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(kinds).parquet(str(tmp_path / "in"))
@@ -215,6 +215,14 @@ def test_sources(spark, tmp_path):
     assert S.read_pages(spark, str(tmp_path / "w.json")).first().text.startswith("{")
 
 
+def test_keywords_match_alike_for_few_and_many_actors(spark):
+    actors = spark.createDataFrame([("a", ["vape", "é"]), ("b", ["x"]), ("c", []), ("d", ["nicotine pouch"])], "actor string, keywords array<string>")
+    rows = [(1, 2020, "Vape shop", None), (2, 2020, "vapes x", "vape"), (3, 2021, None, "Nicotine"), (4, 2021, "a nicotine", "pouch"), (5, 2021, "x", ""), (6, 2022, None, None)]
+    records = spark.createDataFrame(rows, "_ord int, source_year int, one string, two string")
+    few, many = (sorted((r.actor, r.source_year, r._ord, r.n_matches) for r in M.match_by_keywords(actors, records, ["one", "two"], most_actors=n).collect()) for n in (10, 0))
+    assert few == many == [("a", 2020, 1, 2), ("b", 2020, 2, 1), ("b", 2021, 5, 1), ("d", 2021, 4, 1)]
+
+
 def test_meeting_lists_without_header_or_date(spark):
     texts = [
         "1 A 01/02/2024 x\n5 not an entry\n2 nobody\n3 B-\nC, 03/04/2024 y\nReferences 4 z 01/01/1999",
