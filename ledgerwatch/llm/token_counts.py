@@ -9,7 +9,7 @@ compose by a parallel prefix scan. With its entry state known, each chunk runs o
 The second reads the bytes of a pretoken and annotates each transition with the change in the number of tokens. Its states are
 prefixes, made when they are first needed: the last token of a prefix is the one piece ending there that the merges leave
 standing beside the last token before it. Transitions on a pretoken's last byte use the word-final pieces. Pretokens
-are looked up by hash once they have been counted; both memories are bounded.
+are looked up by their text once they have been counted; both memories are bounded.
 
 Counts equal the library's for the given file: special strings in a text count as one token, as is its default. Null and empty
 texts have no tokens. Rows are independent: repeated rows give repeated results, a null id stays null.
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import byte_letters, documents, id_and_text, span_hashes
+from .common import byte_letters, documents, id_and_text, span_hashes, spread
 
 LETTER, NUMBER, SPACE, OTHER, SHORT, LONG = range(6)
 #: Between pretokens; in letters; in other characters; one or two characters of a contraction still to come.
@@ -87,6 +87,18 @@ def marks(points: np.ndarray) -> np.ndarray:
     return out.T.reshape(-1)[: len(points)]
 
 
+def kinds(points: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one pretoken of each kind, the kind of each pretoken). Hashes propose what is equal, the characters decide."""
+    _, at, inverse = np.unique(span_hashes(points, first, first + size), return_index=True, return_inverse=True)
+    lead = at[inverse]
+    if (size == size[lead]).all() and np.array_equal(points[spread(first, size)], points[spread(first[lead], size)]):
+        return at, inverse
+    number: dict[bytes, int] = {}
+    texts = [points[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+    inverse = np.array([number.setdefault(t, len(number)) for t in texts])
+    return np.unique(inverse, return_index=True)[1], inverse
+
+
 class Merges:
     """The transducer over the bytes of a pretoken."""
 
@@ -202,14 +214,14 @@ class Counter:
         stops = np.flatnonzero(stop)
         first = np.flatnonzero(start)
         last = stops[np.searchsorted(stops, first, "right")] if len(first) else first
-        _, at, inverse = np.unique(span_hashes(points, first, last), return_index=True, return_inverse=True)
-        keys = span_hashes(points, first[at], last[at]).tolist() if len(at) else []
+        at, inverse = kinds(points, first, last - first)
+        words = [joined[a:z] for a, z in zip(first[at].tolist(), last[at].tolist(), strict=True)]
         if len(self.known) > MOST_COUNTED:
             self.known.clear()
-        for k, i in zip(keys, at.tolist(), strict=True):
-            if k not in self.known:
-                self.known[k] = self.merges.count(joined[first[i] : last[i]].encode("utf-8", "surrogatepass"))
-        counts = np.array([self.known[k] for k in keys], np.int64)[inverse] if keys else np.zeros(0, np.int64)
+        for w in words:
+            if w not in self.known:
+                self.known[w] = self.merges.count(w.encode("utf-8", "surrogatepass"))
+        counts = np.array([self.known[w] for w in words], np.int64)[inverse] if words else np.zeros(0, np.int64)
         edges = np.cumsum([len(t) + 1 for t in texts])
         return np.bincount(np.searchsorted(edges, first, "right"), counts, len(texts)).astype(np.int64)
 
