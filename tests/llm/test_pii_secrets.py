@@ -90,3 +90,12 @@ def test_secret_rows_and_redaction(spark):
     rows = sorted(secret_scan.redacted(docs).collect(), key=lambda r: r.doc_id)
     assert rows[0].text == '[SECRET]" end' and rows[0].n_chars == 13 and rows[2].text is None
     assert secret_scan.redacted(docs.limit(0)).columns == docs.columns
+
+
+def test_secrets_of_a_very_long_text_and_a_column_of_the_same_name(spark):
+    long = "lorem ipsum " * 200_000 + 'token = "abcdefgh1"'
+    docs = spark.createDataFrame([(1, long, "x"), (None, "AKIA" + "B" * 16, "y")], "doc_id long, text string, n_hex string")
+    rows = {r.doc_id: r for r in secret_scan.secrets(docs).collect()}
+    assert rows[1].n_assign == 1 and rows[1].spans.startswith("assign:2400000:") and rows[None].n_access == 1
+    out = {r.doc_id: r for r in secret_scan.redacted(docs).collect()}
+    assert out[1].text.endswith('[SECRET]"') and out[1].n_hex == "x" and out[None].text == "[SECRET]"

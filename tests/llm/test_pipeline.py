@@ -72,3 +72,27 @@ def test_pieces(stages):
 def test_run(spark, stages):
     got = cp.run(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((r.doc_id, r.n_tokens) for r in stages[5])
+
+
+def test_odd_rows_through_every_stage(spark, tmp_path):
+    """Null ids and columns, repeated rows, empty, very long and tied texts, and extra columns with names that stages use."""
+    words = [f"w{k}" for k in range(60)]
+    plain, long = " ".join(words), " ".join(f"x{k}" for k in range(40_000))
+    rows = [(1, plain, "en", "s", 1), (1, plain, "en", "s", 1), (2, plain, None, None, None), (None, plain + " end", "en", "s", 3), (None, plain + " end", "en", "s", 3), (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, long, "en", "s", 9), (6, f"{' '.join(words[::-1])} AKIA{'B' * 16} tail", "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'h' as hits", "1 as ids", "2 as kept", "'b' as back", "3 as block")
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(f"item{k}" for k in range(30))), (None, plain)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    after = []
+    for _, stage in cp.STAGES:
+        out = stage(spark, docs, sf)
+        assert stage(spark, docs.limit(0), sf).count() == 0
+        docs = written(out)
+        after.append(sorted((-1 if r.doc_id is None else r.doc_id) for r in docs.collect()))
+        if len(after) < len(cp.STAGES):
+            assert out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and {"hits", "ids", "kept", "back", "block"} <= set(out.columns)
+    assert after[0] == [-1, -1, 1, 1, 2, 5, 6]
+    assert after[1] == after[2] == after[3] == after[4] == [-1, -1, 1, 1, 5, 6]
+    by = {r.doc_id: r for r in docs.collect()}
+    assert by[5].n_tokens == len(by[5].ids) > 40_000 and all(r.lossless for r in by.values())
+    assert all(cp.token_stage(spark, spark.createDataFrame([(None, None, None, None)], "doc_id long, text string, lang string, source string"), sf).first()[k] is None for k in ("doc_id", "lossless"))

@@ -45,3 +45,17 @@ def test_rows(spark):
     got = sp.encoded(docs).withColumn("again", sp.decoded("ids")).collect()
     assert sorted((r.doc_id or 0, len(r.ids), r.again) for r in got) == [(0, 0, ""), (1, 2, "a b"), (1, 2, "a b"), (2, 0, "")]
     assert sp.encoded(docs.limit(0)).columns == [*docs.columns, "ids"]
+
+
+def test_a_column_of_the_same_name_and_long_texts(spark):
+    docs = spark.createDataFrame([("x", 1, "ab " * 100_000), ("y", 2, "q" * 50_000)], "ids string, doc_id long, text string")
+    got = {r.doc_id: r for r in sp.encoded(docs, back_col="back").collect()}
+    assert got[1].ids == LIBRARY.encode("ab " * 100_000) and got[1].back == "ab " * 100_000 and got[2].ids == LIBRARY.encode("q" * 50_000)
+    assert sp.encoded(docs).columns == ["doc_id", "text", "ids"]
+
+
+def test_pairs_by_arrays_equal_the_merges():
+    rng = np.random.default_rng(2)
+    first, second = (rng.choice(MODEL.ids, 3000) for _ in range(2))
+    want = [sp.merged([*MODEL.name[a], *MODEL.name[b]], MODEL.score)[0] == [MODEL.name[a], MODEL.name[b]] for a, b in zip(first.tolist(), second.tolist(), strict=True)]
+    assert MODEL.stand(first, second).tolist() == want
