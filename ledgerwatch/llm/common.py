@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +83,18 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return Scratch(df.sparkSession).write(df, codec)
 
 
+@contextmanager
+def collector_resting() -> Iterator[None]:
+    """No search for cycles of objects meanwhile: for code that makes many objects and no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of each range, one range after the other."""
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)

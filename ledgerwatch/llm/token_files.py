@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Pieces, byte_letters, documents, id_and_text, shared_dir
+from .common import Pieces, byte_letters, collector_resting, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
@@ -184,16 +184,19 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     return np.concatenate(rules).astype(U4), lengths.astype(U4), symbols.astype(U4), np.diff(np.flatnonzero(last) + 1, prepend=0).astype(U4)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that the symbols stand for."""
-    out = symbols.astype(np.int64)
-    left, right = rules.reshape(-1, 2).astype(np.int64).T if len(rules) else (np.zeros(0, np.int64),) * 2
-    while len(deep := np.flatnonzero(out >= base)):
-        at = deep + np.arange(len(deep))
-        rule = out[deep] - base
-        out = np.repeat(out, 1 + (out >= base))
-        out[at], out[at + 1] = left[rule], right[rule]
-    return out.astype(U4)
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """The ids that the symbols stand for; lengths are those of the rules' expansions."""
+    size_of = lambda s: np.where(s >= base, lengths[np.maximum(s - base, 0)], 1) if len(lengths) else np.ones(len(s), np.int64)
+    left, right = rules.reshape(-1, 2).astype(np.int64).T
+    lengths, open_ = lengths.astype(np.int64), symbols.astype(np.int64)
+    size = size_of(open_)
+    out, at = np.empty(size.sum(), U4), np.cumsum(size) - size
+    while len(open_):
+        deep = open_ >= base
+        out[at[~deep]] = open_[~deep]
+        rule, at = open_[deep] - base, at[deep]
+        open_, at = np.concatenate([left[rule], right[rule]]), np.concatenate([at, at + size_of(left[rule])])
+    return out
 
 
 class Shard:
@@ -206,7 +209,7 @@ class Shard:
         self.at = np.concatenate([[0], np.cumsum(self.n_symbols, dtype=np.int64)])
 
     def document(self, k: int) -> np.ndarray:
-        return expand(self.symbols[self.at[k] : self.at[k + 1]], self.rules, self.base)
+        return expand(self.symbols[self.at[k] : self.at[k + 1]], self.rules, self.rule_lengths, self.base)
 
     def ids(self, k: int, low: int, high: int) -> np.ndarray:
         """Ids low to high of document k, of which only the symbols that hold them are expanded."""
@@ -216,7 +219,7 @@ class Shard:
         ends = np.cumsum(size)
         a, b = np.searchsorted(ends, low, "right"), np.searchsorted(ends, high, "left") + 1
         skip = low - (ends[a - 1] if a else 0)
-        return expand(own[a:b], self.rules, self.base)[skip : skip + high - low]
+        return expand(own[a:b], self.rules, self.rule_lengths, self.base)[skip : skip + high - low]
 
 
 def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_ids: int = 1_000_000, vocabulary_path: str | None = None) -> None:
@@ -238,7 +241,9 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for low in range(0, len(texts), ROWS):
-                for i, x in zip(ids[low : low + ROWS], encoder(texts[low : low + ROWS]), strict=True):
+                with collector_resting():
+                    found = encoder(texts[low : low + ROWS])
+                for i, x in zip(ids[low : low + ROWS], found, strict=True):
                     held.append(x + end)
                     docs_held.append(i)
                     size += len(held[-1]) // 4
@@ -263,7 +268,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 s = Shard(row)
                 n = s.n_ids.astype(np.int64)
-                every = expand(s.symbols, s.rules, s.base)
+                every = expand(s.symbols, s.rules, s.rule_lengths, s.base)
                 ends = np.cumsum(n)
                 crc = [zlib.crc32(every[e - x : e].tobytes()) for e, x in zip(ends.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([row["part"]] * len(n), [row["shard"]] * len(n), s.doc_ids, ends - n, n, crc)], ["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"])

@@ -14,7 +14,7 @@ def test_round_trip(docs):
     ids = np.array([x for d in docs for x in d], tf.U4)
     n = np.array([len(d) for d in docs])
     rules, lengths, symbols, n_symbols = tf.compress(ids, np.cumsum(n), 5)
-    assert (tf.expand(symbols, rules, 5) == ids).all()
+    assert (tf.expand(symbols, rules, lengths, 5) == ids).all()
     s = tf.Shard({"base": 5, "doc_ids": list(range(len(docs))), "n_ids": n.astype(tf.U4).tobytes(), "n_symbols": n_symbols.tobytes(), "rules": rules.tobytes(), "rule_lengths": lengths.tobytes(), "symbols": symbols.tobytes()})
     for k, d in enumerate(docs):
         assert s.document(k).tolist() == d
@@ -67,5 +67,5 @@ def test_long_passages_become_few_symbols():
     passage = np.random.default_rng(3).integers(0, 50_000, 2000)
     ids, ends = np.tile(passage, 50).astype("<u4"), np.arange(1, 51) * 2000
     rules, lengths, symbols, _ = tf.compress(ids, ends, 50_257)
-    assert np.array_equal(tf.expand(symbols, rules, 50_257), ids)
+    assert np.array_equal(tf.expand(symbols, rules, lengths, 50_257), ids)
     assert lengths.max() > 64 and len(symbols) < len(ids) / 64
