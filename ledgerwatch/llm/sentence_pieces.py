@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Pieces, documents, id_and_text
+from .common import Pieces, collector_resting, documents, id_and_text
 
 SPACE = "▁"
 U4 = np.dtype("<u4")
@@ -344,7 +344,8 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", back_
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
-                found = m.encode([t or "" for t in part.column(0).to_pylist()])
+                with collector_resting():
+                    found = m.encode([t or "" for t in part.column(0).to_pylist()])
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in found])]).astype(np.int32))
                 columns = [*part.columns[1:], pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), U4).astype(np.int32)))]
                 if back_col:
