@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(id, component) for every id in links (a, b): the smallest id that it can reach.
 
     Each round takes the smallest label among the neighbours and then the label of that label, so that chains halve. The
     rounds are joins and minima with partial aggregation; labels are written to the shared folder after each, and the last ones go.
     """
-    scratch = Scratch(links.sparkSession)
+    scratch = scratch or Scratch(links.sparkSession)
     both = scratch.write(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component"))
     held = scratch.write(labels)

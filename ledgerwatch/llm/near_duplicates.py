@@ -165,12 +165,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
     alone = blocks.select(F.col("block").alias("g"), "rep").union(blocks.select("block", "home")).distinct()
     links = scratch.write(verified(alone.join(sets.hint("merge"), "rep").withColumn("label", F.col("rep")), percent, slices))
-    labels = components(links)
+    labels = components(links, scratch)
     labelled = blocks.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "block", "n_shingles", F.coalesce("component", "rep").alias("label"))
     labelled = scratch.write(labelled)
     across = visits(near, labelled)
     links = links.union(scratch.write(verified(across.join(sets.hint("merge"), "rep"), percent, slices)))
-    labels = components(links)
+    labels = components(links, scratch)
 
     by_set = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     out = signed.drop("bands").join(by_set.hint("merge"), ["set_a", "set_b"], "left")
