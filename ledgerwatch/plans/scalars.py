@@ -67,7 +67,13 @@ def f6(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(X.unescape_common(F.regexp_replace("html", "&(copy|middot);", "")).cast("binary")).alias("plain"))
 
 
-@query("f6_unescape_html_full")
+#: The entities that the pages have, with or without a semicolon; the ampersand comes last.
+ENTITIES_SQL = "html"
+for _entity, _text in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    ENTITIES_SQL = f"regexp_replace({ENTITIES_SQL}, '&{_entity};?', '{_text}', 'g')"
+
+
+@query("f6_unescape_html_full", f"SELECT page_id, md5({ENTITIES_SQL}) AS plain FROM pages")
 def f6b(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(X.unescape_html(F.col("html")).cast("binary")).alias("plain"))
 
