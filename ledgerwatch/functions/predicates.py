@@ -28,8 +28,9 @@ def keyword_filter(df: DataFrame, cols: list[str], keywords: list[str], matched:
 
 
 def keyword_filter_folded(df: DataFrame, col: str, keywords: list[str]) -> DataFrame:
-    """The same after accents have been removed; a null text doesn't match."""
-    return df.filter(contains_any(fold(F.col(col)), keywords))
+    """The same after accents have been removed; a null text doesn't match. One pattern of all words, so that a text is folded once."""
+    quoted = ["\\Q" + k.replace("\\E", "\\E\\\\E\\Q") + "\\E" for k in keywords]
+    return df.filter(F.rlike(fold(F.col(col)), F.lit("|".join(quoted))) if keywords else F.lit(False))
 
 
 def is_excluded(name: Column, names: list[str]) -> Column:

@@ -25,7 +25,8 @@ def latin_table() -> tuple[str, str]:
 def fold(col: Column, ascii_only: bool = False) -> Column:
     """Without accents and in lower case; with ascii_only every other non-ASCII character goes too."""
     bare = F.translate(F.regexp_replace(col, r"\p{Mn}+", ""), *latin_table())
-    return F.lower(F.regexp_replace(bare, r"[^\x00-\x7F]+", "") if ascii_only else bare)
+    folded = F.lower(F.regexp_replace(bare, r"[^\x00-\x7F]+", "") if ascii_only else bare)
+    return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(folded)  # nothing to fold in plain ASCII
 
 
 def fold_exact(col: Column) -> Column:
