@@ -78,6 +78,11 @@ class Scratch:
         return out
 
 
+def sized(ids: DataFrame, most_sent: int = 2_000_000) -> DataFrame:
+    """A written table of ids as the small side of a join: sent to all tasks if it has at most `most_sent` rows (some 50 MB), else merged."""
+    return F.broadcast(ids) if ids.count() <= most_sent else ids.hint("merge")
+
+
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """The same rows as a written table."""
     return Scratch(df.sparkSession).write(df, codec)

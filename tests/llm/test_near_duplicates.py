@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from ledgerwatch.llm import near_duplicates as nd
+from ledgerwatch.llm.common import sized
 from ledgerwatch.llm.components import components
 
 
@@ -71,6 +72,13 @@ def test_an_id_with_two_texts_ties_both(spark):
     assert sorted(got) == [(7, 7), (7, 7), (8, 7), (9, 7), (10, 7)]
 
 
+def test_many_ids_are_merged(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(4, 60), "doc_id long, text string")
+    few = sorted(r.doc_id for r in nd.deduplicated(docs).collect())
+    monkeypatch.setattr(nd, "sized", lambda ids: sized(ids, 0))
+    assert sorted(r.doc_id for r in nd.deduplicated(docs).collect()) == few
+
+
 def test_a_very_long_text_and_a_tie_at_the_threshold(spark):
     long = " ".join(f"w{k}" for k in range(60_000))
     exact = [f"v{k}" for k in range(202)]  # 200 shingles of three words
