@@ -30,7 +30,7 @@ from .common import Scratch, documents, id_and_text, mixed, shingle_set, sized,
 from .components import components
 
 BAND = 3
-BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK_ROWS, BLOCK_SHINGLES, ROWS = 512, 1_000_000, 1000
 
 
 def bands_for(percent: int, miss: float = 1e-4) -> int:
@@ -60,7 +60,7 @@ def signatures(docs: DataFrame, n: int, m: int) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, bands): set_a and set_b are a 128-bit hash of the whole set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
             sets = [shingle_set(word_hashes(t), n) for t in batch.column(1).to_pylist()]
             full = [x for x in sets if len(x)]
             hashes = iter(band_hashes(full, m).astype(np.int64).tolist())

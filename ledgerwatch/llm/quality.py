@@ -54,7 +54,7 @@ def counts(text: str) -> tuple[int, ...]:
 
 
 def count_batch(texts: pa.Array) -> pa.Array:
-    rows = np.array([counts(x or "") for x in texts.to_pylist()], np.int64).reshape(len(texts), len(COUNTS + MORE))
+    rows = np.array([counts(x or "") for low in range(0, len(texts), 1000) for x in texts[low : low + 1000].to_pylist()], np.int64).reshape(len(texts), len(COUNTS + MORE))
     return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(rows.shape[1])], COUNTS + MORE)
 
 
