@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,13 @@ def collector_resting() -> Iterator[None]:
             gc.enable()
 
 
+def give_back() -> None:
+    """Returns the freed memory of a worker process, which goes on to other stages, to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of each range, one range after the other."""
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)

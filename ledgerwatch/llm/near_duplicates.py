@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, id_and_text, mixed, shingle_set, sized, word_hashes
+from .common import Scratch, documents, give_back, id_and_text, mixed, shingle_set, sized, word_hashes
 from .components import components
 
 BAND = 3
@@ -67,6 +67,7 @@ def signatures(docs: DataFrame, n: int, m: int) -> DataFrame:
             digest = [xxhash.xxh3_128_intdigest(x.tobytes()) for x in sets]
             half = lambda k: pa.array(np.array([d >> k & (1 << 64) - 1 for d in digest], np.uint64).view(np.int64))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), half(0), half(64), pa.array([next(hashes) if len(x) else None for x in sets], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+        give_back()
 
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
@@ -79,6 +80,7 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for low in range(0, len(texts), 500):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low : low + 500], pa.array([shingle_set(word_hashes(t), n).tobytes() for t in texts[low : low + 500]], pa.binary())], ["rep", "shingles"])
+        give_back()
 
     return docs.mapInArrow(build, "rep long, shingles binary")
 
@@ -131,6 +133,7 @@ def verified(rows: DataFrame, percent: int, slices: int) -> DataFrame:
                 held[rep, shingles] = label
         close()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
+        give_back()
 
     return rows.select("g", "rep", "label", "shingles").repartition(slices, "g").sortWithinPartitions("g").mapInArrow(check, "a long, b long")
 

@@ -24,13 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Pieces, collector_resting, documents, id_and_text
+from .common import Pieces, collector_resting, documents, give_back, id_and_text
 
 SPACE = "▁"
 U4 = np.dtype("<u4")
 GAP = 0x110000  # ends each segment in the index; no character has it
 FULL = np.uint64((1 << 63) - 1)  # three points of 21 bits
-MOST_KNOWN, MOST_ODD, MOST_INDEX, ROWS = 500_000, 100_000, 400_000, 2000
+MOST_KNOWN, MOST_ODD, MOST_INDEX, ROWS = 200_000, 50_000, 100_000, 500
 
 
 def suffixes(points: np.ndarray, depth: int) -> np.ndarray:
@@ -351,7 +351,8 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", back_
                 if back_col:
                     columns.append(pa.array([m.decode(np.frombuffer(p, U4).tolist()) for p in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in added)])
-        m.forget()  # the process goes on to other stages
+        m.forget()
+        give_back()
 
     return rows.mapInArrow(encode, T.StructType([*(docs.schema[c] for c in kept), *added]))
 
