@@ -32,7 +32,7 @@ from .common import Pieces, byte_letters, collector_resting, documents, id_and_t
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, ROWS = 600_000, 2_000
+MOST_CACHED, ROWS = 400_000, 2_000
 #: A run of ASCII marks but the apostrophe, or a line feed: pretokens of their own between letters.
 MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
 
@@ -66,7 +66,7 @@ class Encoder:
     """
 
     def __init__(self, path: str | None = None):
-        self.tok, self.seen, self.words, self.after_space = tokenizer(path), {}, {}, {}
+        self.tok, self.seen, self.words, self.after_space, self.older = tokenizer(path), {}, {}, {}, {}
         self.letter, self.merge = dict(enumerate(byte_letters())), self.tok.model.tokenize
 
     def word(self, text: str) -> bytes:
@@ -75,6 +75,17 @@ class Encoder:
             known = self.words[text] = array("I", [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.letter))]).tobytes()
         return known
 
+    def missing(self, pieces: list[str]) -> list[str]:
+        """The pieces that aren't known; those known of old are taken over."""
+        out, known, old = [], self.after_space, self.older.get
+        for p in pieces:
+            if p and p not in known:
+                if (ids := old(p)) is None:
+                    out.append(p)
+                else:
+                    known[p] = ids
+        return out
+
     def learn(self, pieces: list[str]) -> None:
         """Encodes a space and each piece."""
         rest = []
@@ -97,13 +108,15 @@ class Encoder:
         return known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.seen, self.words, self.after_space):
+        for memory in (self.seen, self.words):
             if len(memory) > MOST_CACHED:
                 memory.clear()
+        if len(self.after_space) > MOST_CACHED:
+            self.after_space, self.older = {}, self.after_space  # what is used again comes back from there
         plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " ")]
         out = [b""] * len(texts)
         pieces = Pieces([texts[k] for k in plain])
-        self.learn([p for p in pieces.distinct if p and p not in self.after_space])
+        self.learn(self.missing(pieces.distinct))
         get = self.after_space.get
         for k, rest in zip(plain, pieces.joined([get(p, b"") for p in pieces.distinct], skip_first=True), strict=True):
             first = texts[k].partition(" ")[0]
