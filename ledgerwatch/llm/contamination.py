@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Scratch, documents, mixed, span_hashes, windows
+from .common import LOWER, Scratch, documents, give_back, mixed, span_hashes, windows
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -194,6 +194,7 @@ def searcher(index):
 
     def search(texts: pa.Array) -> pa.Array:
         found = index.value.find([t or "" for t in texts.to_pylist()])
+        give_back()
         return pa.array([[dict(zip(("item_id", "distance", "last"), x, strict=True)) for x in own] for own in found], kind)
 
     return search

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, documents, id_and_text, span_hashes, windows, word_bounds
+from .common import WHITE, documents, give_back, id_and_text, span_hashes, windows, word_bounds
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_distinct", "n_upper", "n_digits", "n_marks")
@@ -55,6 +55,7 @@ def counts(text: str) -> tuple[int, ...]:
 
 def count_batch(texts: pa.Array) -> pa.Array:
     rows = np.array([counts(x or "") for low in range(0, len(texts), 1000) for x in texts[low : low + 1000].to_pylist()], np.int64).reshape(len(texts), len(COUNTS + MORE))
+    give_back()
     return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(rows.shape[1])], COUNTS + MORE)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, id_and_text
+from .common import documents, give_back, id_and_text
 
 KINDS = ("assign", "access", "hex", "token")
 CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -100,6 +100,9 @@ def redacted(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars"
             columns = batch.columns
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        del encoding
+        vocabulary.cache_clear()
+        give_back()
 
     out = docs.mapInArrow(clean, docs.schema)
     return out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType)) if chars_col in names else out
