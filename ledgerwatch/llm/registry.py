@@ -5,6 +5,7 @@ from __future__ import annotations
 from .contamination import op3_contamination
 from .license_scan import op8_licenses
 from .near_duplicates import OP2_SQL, op2_minhash
+from .periodic_runs import op13_periodic_runs
 from .pii import op1_pii
 from .quality import op4_quality
 from .repeated_spans import op7_repeated_spans
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: The others need hashes of positions, learned rules or tokenizers; their tests hold them against brute force and the libraries.
