@@ -8,6 +8,7 @@ from .near_duplicates import OP2_SQL, op2_minhash
 from .periodic_runs import op13_periodic_runs
 from .pii import op1_pii
 from .quality import op4_quality
+from .repeated_passages import OP11_SQL, op11_repeated_passages
 from .repeated_spans import op7_repeated_spans
 from .secret_scan import op10_secrets
 from .sentence_pieces import op5_sentence_pieces
@@ -25,8 +26,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
+    "op11_repeated_passages": op11_repeated_passages,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: The others need hashes of positions, learned rules or tokenizers; their tests hold them against brute force and the libraries.
-ORACLES: dict[str, str] = {"op2_minhash": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_minhash": OP2_SQL, "op11_repeated_passages": OP11_SQL}
