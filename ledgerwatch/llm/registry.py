@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .contamination import op3_contamination
+from .conversation_repair import op12_conversation_repair
 from .license_scan import op8_licenses
 from .near_duplicates import OP2_SQL, op2_minhash
 from .periodic_runs import op13_periodic_runs
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
     "op11_repeated_passages": op11_repeated_passages,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
