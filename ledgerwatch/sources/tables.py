@@ -8,44 +8,60 @@ from pyspark.sql import types as T
 
 from ledgerwatch.functions import schemas
 
+from .ranges import csv_records, json_records
+
+
+CSV = {"escape": '"', "multiLine": "true"}
+
 
 def read_register_csv(spark: SparkSession, path: str, table: str, pattern: str | None = None) -> DataFrame:
     """A table of the register export, wherever it lies below the path: UTF-8, semicolons, quoted fields over several lines.
 
-    `pattern` names the files where they don't have the export's own name.
+    `pattern` names the files where they don't have the export's own name. A file is read by as many tasks as it has byte ranges.
     """
     name, schema = schemas.REGISTER_FILES[table]
-    reader = spark.read.option("sep", ";").option("header", True).option("multiLine", True).option("escape", '"')
-    rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern or name).csv(path)
+    names = spark.read.options(sep=";", header=True, **CSV).option("recursiveFileLookup", True).option("pathGlobFilter", pattern or name).csv(path).columns
+    texts = csv_records(spark, path, ";", pattern or name)
+    rows = texts.select(F.from_csv("text", ", ".join(f"`{c.replace('`', '``')}` string" for c in names), {"sep": ";", **CSV}).alias("r")).select("r.*") if names else texts
     wanted = T.StructType.fromDDL(schema)
-    return rows.select(*((F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields))
+    return rows.select(*((F.col(f.name).try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields))
 
 
 def read_meeting_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Search exports, one file for each keyword; the keyword is the file's name."""
-    rows = spark.read.schema(schemas.EP_ROW).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return rows.withColumn("keyword", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.csv)?$", 1))
+    """Search exports, one file for each keyword; the keyword is the file's name. A file is read by as many tasks as it has byte ranges."""
+    rows = csv_records(spark, path, ",", named=True).select("file", F.from_csv("text", schemas.EP_ROW, CSV).alias("r")).select("r.*", "file")
+    return rows.withColumn("keyword", F.regexp_extract("file", r"([^/]+?)(?:\.csv)?$", 1)).drop("file")
 
 
 def read_json_records(spark: SparkSession, path: str, schema: str, wrapped_in: str | None = None) -> DataFrame:
-    """A file that is one array of records, or an object that has it in a field; a bare NaN in a text column becomes null."""
-    read = lambda s: spark.read.option("multiLine", True).schema(s).json(path)
-    rows = read(f"{wrapped_in} array<struct<{', '.join(x for x in struct_fields(schema))}>>").select(F.explode(wrapped_in).alias("r")).select("r.*") if wrapped_in else read(schema)
+    """A file that is one array of records, or an object that has it in a field; a bare NaN in a text column becomes null.
+
+    A file is read by as many tasks as it has byte ranges.
+    """
+    kind = f"array<struct<{', '.join(struct_fields(schema))}>>"
+    rows = json_records(spark, path, wrapped_in).select(F.explode(F.from_json(F.concat(F.lit("["), "text", F.lit("]")), kind)).alias("r")).select("r.*")
     return rows.select(*((F.nullif(F.col(c), F.lit("NaN")) if t == "string" else F.col(c)).alias(c) for c, t in rows.dtypes))
 
 
 def struct_fields(schema: str) -> list[str]:
-    return [f"{f.name}:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema).fields]
+    return [f"`{f.name}`:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema).fields]
 
 
 def read_keyed_json(spark: SparkSession, path: str, value: str, field: str | None = None) -> DataFrame:
-    """(key, value struct) of an object keyed by id, or of one of its fields. Inner maps written as [] are null; rows with an error field are dropped."""
-    text = spark.read.text(path, wholetext=True)
-    inner = f"map<string,{value}>"
-    parsed = F.from_json("value", f"struct<{field}:{inner}>")[field] if field else F.from_json("value", inner)
-    raw = F.from_json("value", f"struct<{field}:map<string,string>>")[field] if field else F.from_json("value", "map<string,string>")
-    rows = text.select(F.explode(parsed).alias("key", "value"), raw.alias("_raw"))
-    return rows.filter(F.coalesce(F.get_json_object(F.try_element_at("_raw", "key"), "$.error").isNull(), F.lit(True))).drop("_raw")
+    """(key, value) of an object keyed by id, or of one of its fields. Inner maps written as [] are null; rows with an error field are dropped.
+
+    A file is read by as many tasks as it has byte ranges, and each entry is parsed once if its value is a struct.
+    """
+    kind = T.StructType.fromDDL(f"v {value}")["v"].dataType
+    entries = F.concat(F.lit("{"), "text", F.lit("}"))
+    texts = json_records(spark, path, field, keyed=True)
+    if isinstance(kind, T.StructType) and "error" not in kind.names:
+        more = T.MapType(T.StringType(), T.StructType([*kind.fields, T.StructField("error", T.StringType())]))
+        rows = texts.select(F.explode(F.from_json(entries, more)).alias("key", "value")).filter("value.error IS NULL")
+        return rows.withColumn("value", F.when(F.col("value").isNotNull(), F.col("value").dropFields("error")))
+    raw = F.try_element_at(F.from_json(entries, "map<string,string>"), "key")
+    rows = texts.select(F.explode(F.from_json(entries, f"map<string,{value}>")).alias("key", "value"), "text")
+    return rows.filter(F.coalesce(F.get_json_object(raw, "$.error").isNull(), F.lit(True))).drop("text")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
