@@ -10,7 +10,9 @@ from ledgerwatch.operators import graph as H
 from ledgerwatch.operators import meetings as M
 from ledgerwatch.operators import registry as G
 from ledgerwatch.operators import windows as O
+from ledgerwatch.sources.scratch import new_folder
 from ledgerwatch.streaming import incremental as I
+from ledgerwatch.streaming import stateful as Y
 
 from .roles import MEETING_SQL, meetings, query, table
 
@@ -237,14 +239,22 @@ STORE_SQL = "store AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE
 
 
 def registrants(spark, sf):
-    d = table(spark, sf, "documents")
+    return registrants_of(table(spark, sf, "documents"))
+
+
+def registrants_of(d):
     return d.select(F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "lang", "source").alias("name"), F.lit("2024-01-01").cast("date").alias("registrationDate"), F.col("text").alias("objectives"), F.col("doc_id").alias("_ord"))
 
 
 @query("t1_ingest_registrants", f"WITH {STORE_SQL} SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN contains(lang || ' ' || source, 'src7') THEN 'name' ELSE 'objectives' END AS match FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT id FROM store) AND (contains(lang || ' ' || source, 'src7') OR contains(lower(text), 'src7') OR contains(lower(text), 'license'))")
 def t1(spark, sf):
-    feed_, store = registrants(spark, sf), registrants(spark, sf).filter(F.col("_ord") % 4 == 0).select("id")
-    return I.new_registrants(feed_, store, ["src7", "license"], "now").select("id", "match")
+    """The feed as a stream of at most four micro-batches of the table's files, after a store that has every fourth id."""
+    whole, path = registrants(spark, sf), new_folder(spark)
+    stored = whole.filter(F.col("_ord") % 4 == 0).select("id", "name", "registrationDate", F.lit("name").alias("match"), F.lit("before").alias("detected_at"))
+    source = table(spark, sf, "documents")
+    files = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", -(-len(source.inputFiles()) // 4)).parquet(f"{sf}/documents.parquet")
+    found = Y.ingest_registrants(registrants_of(files), ["src7", "license"], "now", stored)
+    return Y.appended(found, f"{path}/new", f"{path}/checkpoint").select("id", "match")
 
 
 @query("t2_backfill_registrants", "SELECT CAST(doc_id AS VARCHAR) AS id, 'search:' || CASE WHEN doc_id % 3 = 0 THEN 'k0' ELSE 'k1' END || ':' || CASE WHEN contains(lang || ' ' || source, 'src7') THEN 'name' ELSE 'objectives' END AS match FROM documents WHERE contains(lang || ' ' || source, 'src7') OR contains(lower(text), 'license')")
@@ -254,13 +264,37 @@ def t2(spark, sf):
     return I.backfill_registrants(both, spark.createDataFrame([], I.STORE), ["src7", "license"], "now").select("id", "match")
 
 
-@query(
-    "t3_detect_accreditations",
-    """WITH p AS (SELECT DISTINCT user_id AS register_id, event_type AS surname, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS d, CAST(ts AS DATE) < DATE '2024-01-20' AS old FROM events)
+T3_SQL = """WITH p AS (SELECT DISTINCT user_id AS register_id, event_type AS surname, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS d, CAST(ts AS DATE) < DATE '2024-01-20' AS old FROM events)
  SELECT DISTINCT CAST(register_id AS VARCHAR) AS register_id, surname, CAST(d AS VARCHAR) AS start_date FROM p c WHERE register_id % 7 <> 0 AND register_id % 5 <> 0 AND coalesce(d >= DATE '2024-01-10', true)
- AND NOT EXISTS (SELECT 1 FROM p o WHERE o.register_id = c.register_id AND o.surname = c.surname AND o.d IS NOT DISTINCT FROM c.d AND o.old) AND surname <> 'view'""",
-)
+ AND NOT EXISTS (SELECT 1 FROM p o WHERE o.register_id = c.register_id AND o.surname = c.surname AND o.d IS NOT DISTINCT FROM c.d AND o.old) AND surname <> 'view'"""
+
+
+@query("t3_detect_accreditations", T3_SQL)
 def t3(spark, sf):
+    """Two nights of snapshots as a stream that is stopped in between; persons named 'view' were reported before the first."""
+    e = table(spark, sf, "events")
+    person = F.struct(F.col("event_type").alias("surname"), F.lit("x").alias("first_name"), F.when(F.col("event_id") % 5 != 0, F.to_date("ts")).alias("start_date"))
+    rows = e.select(F.col("user_id").cast("string").alias("register_id"), "user_id", person.alias("p"), F.to_date("ts").alias("day"))
+    some = lambda condition: F.collect_set(F.when(condition, F.col("p")))
+    start = F.col("p.start_date")
+    each = rows.groupBy("register_id", "user_id").agg(some(F.col("day") < "2024-01-20").alias("before"), some(start.isNull() | (start >= "2024-01-10")).alias("now"), some(F.col("p.surname") == "view").alias("reported"))
+    path = new_folder(spark)
+    each.write.parquet(f"{path}/each")
+    each = spark.read.parquet(f"{path}/each")
+    nights = [
+        each.filter("user_id % 7 <> 0").select("register_id", F.lit(1).cast("long").alias("at"), F.lit(True).alias("ok"), F.col("before").alias("persons")),
+        each.select("register_id", F.lit(2).cast("long").alias("at"), (F.col("user_id") % 5 != 0).alias("ok"), F.col("now").alias("persons")),
+    ]
+    begun = each.select("register_id", F.lit(None).cast(Y.PERSONS).alias("persons"), "reported")
+    for night in nights:
+        night.write.mode("append").parquet(f"{path}/in")
+        found = Y.watch_accreditations(spark.readStream.schema(Y.SNAPSHOT).parquet(f"{path}/in"), begun)
+        out = Y.appended(found, f"{path}/new", f"{path}/checkpoint")
+    return out.select("register_id", "surname", F.col("start_date").cast("string").alias("start_date"))
+
+
+@query("t3_detect_accreditations_batch", T3_SQL)
+def t3_batch(spark, sf):
     e = table(spark, sf, "events")
     rows = e.select(F.col("user_id").cast("string").alias("register_id"), F.col("event_type").alias("surname"), F.lit("x").alias("first_name"), F.when(F.col("event_id") % 5 != 0, F.to_date("ts")).alias("start_date"), F.to_date("ts").alias("day"), "user_id")
     previous = rows.filter(F.col("day") < "2024-01-20")

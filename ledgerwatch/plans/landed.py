@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.operators import registry as G
 from ledgerwatch.sources import tables as S
 from ledgerwatch.sources.scratch import new_folder
-from ledgerwatch.streaming import incremental as I
+from ledgerwatch.streaming import stateful as Y
 
 from .roles import meetings, query, table
 
@@ -97,12 +97,10 @@ def s7(spark, sf):
 
 @query("t4_upsert_live", LIVE_SQL)
 def t4(spark, sf):
-    """The same updates, landed as files and read as a stream of several micro-batches."""
+    """The same updates, landed as files and read as a stream of several micro-batches; the live table is the stream's state."""
     current, update = live(spark, sf)
     path = new_folder(spark)
     update.repartition(3, "k").write.parquet(f"{path}/in")
-    store = I.AppendedStore(spark, f"{path}/store", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in current.schema), "k")
-    store.write(current)
     stream = spark.readStream.schema(update.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    I.upsert_live(stream, store, "k", LIVE_GROUPS, f"{path}/checkpoint").awaitTermination()
-    return store.read().select("k", "people", "meetings", "snapshot", "detail_error")
+    Y.appended(Y.upsert_live(stream, current, "k", LIVE_GROUPS), f"{path}/changes", f"{path}/checkpoint")
+    return Y.state_table(spark, f"{path}/checkpoint", "live").select("k", "people", "meetings", "snapshot", "detail_error")

@@ -40,7 +40,7 @@ def read_json_records(spark: SparkSession, path: str, schema: str, wrapped_in: s
     """
     kind = f"array<struct<{', '.join(struct_fields(schema))}>>"
     rows = json_records(spark, path, wrapped_in).select(F.explode(F.from_json(F.concat(F.lit("["), "text", F.lit("]")), kind)).alias("r")).select("r.*")
-    return rows.select(*((F.nullif(F.col(c), F.lit("NaN")) if t == "string" else F.col(c)).alias(c) for c, t in rows.dtypes))
+    return rows.select(*((F.when(~F.col(c).isin("NaN", "\"NaN\""), F.col(c)) if t == "string" else F.col(c)).alias(c) for c, t in rows.dtypes))
 
 
 def struct_fields(schema: str) -> list[str]:

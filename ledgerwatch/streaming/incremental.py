@@ -1,18 +1,11 @@
-"""Nightly increments as batch functions, and the same as foreachBatch of a stream.
-
-State never expires: what has been seen is a table, not streaming state with a watermark.
-"""
+"""Nightly increments as batch functions over tables; `stateful` has the same as streams that keep their tables as state."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.predicates import contains_any
-from ledgerwatch.operators.registry import merge_live
 from ledgerwatch.operators.windows import first_per_key
 
 STORE = "id string, name string, registrationDate date, match string, detected_at string"
@@ -65,53 +58,3 @@ def next_baseline(previous: DataFrame, current: DataFrame, fetched: DataFrame) -
     good = fetched.filter("ok").select("register_id").distinct()
     keys = ["register_id", "surname", "first_name", "start_date"]
     return current.select(*keys).join(good, "register_id", "left_semi").unionByName(previous.select(*keys).join(good, "register_id", "left_anti"))
-
-
-class AppendedStore:
-    """A table that micro-batches append to: each batch is a folder of Parquet that holds what the batch added or changed.
-
-    A batch that is run again replaces its own folder, and reads what stood before it. With a key, a row replaces all earlier ones
-    of its key.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: str | None = None):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
-        empty = spark.createDataFrame([], schema)
-        self.schema = f"{schema}, batch bigint"
-        self.columns = empty.columns
-        empty.write.mode("append").parquet(f"{self.path}/batch=-1")  # so that there is something to read
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """The rows, or the rows as they were before that batch."""
-        rows = self.spark.read.schema(self.schema).parquet(self.path)
-        if before is not None:
-            rows = rows.filter(F.col("batch") < before)
-        if self.key:
-            rows = rows.groupBy(F.col(self.key).alias("_key")).agg(F.max_by(F.struct(*self.columns), "batch").alias("_row")).select("_row.*")
-        return rows.select(*self.columns)
-
-    def write(self, df: DataFrame, batch: int = -1) -> None:
-        df.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-
-
-def ingest_registrants(stream: DataFrame, store: AppendedStore, keywords: list[str], detected_at: str, checkpoint: str):
-    """Runs new_registrants on each micro-batch of a stream and appends what it finds; a batch that is run again adds nothing."""
-
-    def step(batch: DataFrame, number: int) -> None:
-        store.write(new_registrants(batch.withColumn("_ord", F.monotonically_increasing_id()), store.read(number), keywords, detected_at), number)
-
-    return foreach(stream, step, checkpoint)
-
-
-def upsert_live(stream: DataFrame, store: AppendedStore, key: str, groups: dict[str, list[str]], checkpoint: str):
-    """Runs merge_live on each micro-batch and appends the rows of its keys; the last writer of a column group wins."""
-
-    def step(batch: DataFrame, number: int) -> None:
-        touched = store.read(number).join(batch.select(key).distinct(), key, "left_semi")
-        store.write(merge_live(touched, batch, key, groups), number)
-
-    return foreach(stream, step, checkpoint)
-
-
-def foreach(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str):
-    return stream.writeStream.foreachBatch(step).option("checkpointLocation", os.path.join(checkpoint)).trigger(availableNow=True).start()

@@ -161,18 +161,6 @@ def test_accreditations(spark):
     assert ("f", "Old") in kept and ("f", "New") not in kept and ("a", "New") in kept
 
 
-def test_registrant_stream_adds_once(spark, tmp_path):
-    feed = str(tmp_path / "feed")
-    store = I.AppendedStore(spark, "file://" + str(tmp_path / "store"), I.STORE)
-    put = lambda rows: spark.createDataFrame(rows, "id string, name string, registrationDate string, objectives string").withColumn("registrationDate", F.col("registrationDate").cast("date")).write.mode("append").parquet(feed)
-    put([("1", "Vape House", None, None), ("2", "Other", None, "sells CIGARS"), ("3", "None", None, None), ("1", "Vape again", None, None), (None, "vape", None, None)])
-    for _ in range(2):
-        stream = spark.readStream.schema(schemas.REGISTRANT).parquet(feed)
-        I.ingest_registrants(stream, store, ["vape", "cigar"], "t", str(tmp_path / "ck")).awaitTermination()
-        put([("1", "Vape House", None, None), ("4", "x", None, "vape")])
-    assert sorted((r.id, r.match) for r in store.read().collect()) == [("1", "name"), ("2", "objectives"), ("4", "objectives")]
-
-
 def test_backfill_only_while_small(spark):
     results = spark.createDataFrame([("a", 0, "1", "none", None), ("b", 1, "1", "vape", None), ("b", 1, "2", "vape", None)], "keyword string, kw_ord int, id string, name string, objectives string").withColumn("registration_date", F.lit(None).cast("date"))
     small = spark.createDataFrame([], I.STORE)
@@ -181,16 +169,6 @@ def test_backfill_only_while_small(spark):
     assert I.backfill_registrants(results, full, ["vape"], "t").count() == 0
 
 
-def test_live_stream_upserts(spark, tmp_path):
-    kinds = "k string, people int, detail_error string, meetings int, meetings_error string"
-    store = I.AppendedStore(spark, "file://" + str(tmp_path / "store"), kinds, "k")
-    store.write(spark.createDataFrame([("a", 1, None, 5, None)], kinds))
-    spark.createDataFrame([("a", None, "down", None, "down"), ("b", 2, None, 3, None)], kinds).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(kinds).parquet(str(tmp_path / "in"))
-    I.upsert_live(stream, store, "k", {"detail": ["people"], "meetings": ["meetings"]}, str(tmp_path / "ck")).awaitTermination()
-    assert sorted(map(tuple, store.read().collect())) == [("a", 1, "down", None, "down"), ("b", 2, None, 3, None)]
-
-
 def test_sources(spark, tmp_path):
     deep = tmp_path / "export" / "csv"
     deep.mkdir(parents=True)
