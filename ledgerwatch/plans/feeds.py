@@ -252,7 +252,7 @@ def t1(spark, sf):
     whole, path = registrants(spark, sf), new_folder(spark)
     stored = whole.filter(F.col("_ord") % 4 == 0).select("id", "name", "registrationDate", F.lit("name").alias("match"), F.lit("before").alias("detected_at"))
     source = table(spark, sf, "documents")
-    files = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", -(-len(source.inputFiles()) // 4)).parquet(f"{sf}/documents.parquet")
+    files = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", -(-len(source.inputFiles()) // 4)).parquet(f"{sf}/documents.parque[t]")  # a pattern, as the table may be a single file
     found = Y.ingest_registrants(registrants_of(files), ["src7", "license"], "now", stored)
     return Y.appended(found, f"{path}/new", f"{path}/checkpoint").select("id", "match")
 
