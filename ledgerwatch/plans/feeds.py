@@ -374,6 +374,7 @@ def x4(spark, sf):
         *row("Estimation des coûts annuels", F.lit("<span><span>"), k.cast("string"), F.lit(" 000 €</span>"), F.when(k % 3 != 0, F.concat(F.lit("<span>"), (k * 1000 + 999).cast("string"), F.lit("</span>"))).otherwise(""), F.lit("</span>")),
         *row("Objectifs et mandat", F.lit("Aims &amp; ends")), *row("Date d'enregistrement", F.lit("01/02/2020 10:00")), *row("Organisations dont elle est membre", F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise("N/A")), F.lit("</tbody></table>"),
     )
+    html = F.when(k % 4 == 1, F.regexp_replace(html, "</(?:td|tr|tbody)>", "")).otherwise(html)  # nobody closes these
     out = X.extract_register_fields(table(spark, sf, "customer").select("c_custkey", html.alias("html")))
     return out.select("c_custkey", "people_involved", F.col("nb_intermediaries").cast("int").alias("nb_intermediaries"), "budget_low", "budget_high", "objectives", "registration_date", "memberships")
 
@@ -385,14 +386,16 @@ def x5(spark, sf):
     heading = F.when(k % 3 != 0, '<h2 id="persons-accredited-for-access-to-european-parliament-premises">x</h2>').otherwise("<h2>x</h2>")
     short = F.when(k % 3 == 1, "<tr><td>C</td><td>D</td></tr><tr><td>alone</td></tr>").otherwise("")
     html = F.concat(F.lit("<table><thead></thead><tbody><tr><td>no</td><td>no</td></tr></tbody></table>"), heading, F.lit("<table><tbody><tr><td><table><thead><tr><th>a</th></tr></thead><tbody><tr><td>"), "s_name", F.lit("</td><td> Jo </td><td>02/01/2024</td><td></td></tr><tr><td></td><td></td></tr><tr><td>B</td><td></td><td>?</td><td>31/12/2025</td></tr>"), short, F.lit("</tbody></table></td></tr></tbody></table>"))
-    return X.extract_accredited(table(spark, sf, "supplier").select("s_suppkey", html.alias("html")))
+    html = F.when(k % 4 == 1, F.regexp_replace(html, "</(?:td|tr|th|thead)>", "")).otherwise(html)
+    return X.extract_accredited(table(spark, sf, "supplier").select("s_suppkey", html.alias("html"))).drop("error")
 
 
 @query("x6_extract_search_results", "SELECT s_suppkey, s_suppkey % 2 = 0 AS has_next, CAST(s_suppkey AS VARCHAR) || '-7' AS id, s_name || ' & co' AS name FROM supplier")
 def x6(spark, sf):
     more = F.when(F.col("s_suppkey") % 2 == 0, '<a href="?page=2"> Suivant </a>').otherwise("")
     html = F.concat(F.lit('<article class="ecl-content-item x"><a class="ecl-link" href="/d?id='), "s_suppkey", F.lit('-7&amp;lang=fr"><span class="ecl-link__label">'), "s_name", F.lit(' &amp; co</span></a></article><article class="ecl-content-item">no link</article>'), more)
-    return X.extract_search_results(table(spark, sf, "supplier").select("s_suppkey", html.alias("html")))
+    html = F.when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("<ul>"), F.repeat(F.lit("<li><p>open"), 2000), F.lit("</ul>"), html)).otherwise(html)
+    return X.extract_search_results(table(spark, sf, "supplier").select("s_suppkey", html.alias("html"))).drop("error")
 
 
 @query("x7_extract_embedded_json", "SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN '2023=' || s_nationkey || ',2024=7' WHEN s_suppkey % 4 = 1 THEN '' END AS by_year, CASE WHEN s_suppkey % 4 = 2 THEN 'bad JSON' END AS error FROM supplier")
