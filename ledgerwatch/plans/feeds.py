@@ -310,15 +310,16 @@ X1_SQL = """SELECT *, employees + provider_total + CASE WHEN c_custkey % 5 = 0 T
 
 @query("x1_parse_forms", X1_SQL)
 def x1(spark, sf):
-    """Forms with both answers, two, one or no provider, plain and no-break spaces in amounts, and with or without the last section."""
+    """Forms with both answers, two, one or no provider, plain and no-break spaces in amounts, with or without the last section, and
+    with a provider named before and behind the section of providers."""
     k = F.col("c_custkey")
     answer = lambda no: F.when(no, "Non").otherwise("Oui")
     missions = "Montant total annuel des achats de missions ou prestations de la société ou association\n"
     second = F.when(k % 7 > 1, F.concat(F.lit(f"{missions}7\nDénomination sociale de la société prestataire\n"), "c_mktsegment", F.lit("\n"))).otherwise("")
-    given = F.when(k % 5 != 0, "Avez-vous versé des avantages en nature ou en espèces en année 2025 ?\nOui\nMontant total annuel\n90\n").otherwise("")
+    given = F.when(k % 5 != 0, "Avez-vous versé des avantages en nature ou en espèces en année 2025 ?\nOui\nDénomination sociale de la société prestataire\nElse\nMontant total annuel\n90\n").otherwise("")
     parts = [
         F.lit("Dénomination sociale\n"), F.col("c_name"), F.lit("\nAvez-vous effectué des dépenses de rémunération des personnels employés en année 2025 ?\n"), answer(k % 3 == 0),
-        F.lit("\nMontant total annuel brut\n"), k.cast("string"), F.when(k % 2 == 0, " 000").otherwise("\u202f000"), F.lit("\nNombre de personnels rémunérées\n4\n7. Dépenses d'achats\n"),
+        F.lit("\nDénomination sociale de la société prestataire\nElse\nMontant total annuel brut\n"), k.cast("string"), F.when(k % 2 == 0, " 000").otherwise("\u202f000"), F.lit("\nNombre de personnels rémunérées\n4\n7. Dépenses d'achats\n"),
         F.lit("Avez-vous effectué des dépenses d'achats de prestations auprès des sociétés de conseil en année 2025 ?\n"), answer(k % 7 == 0), F.lit(f"\n{missions}"),
         F.when(k % 2 == 0, "12 500").otherwise("12\u00a0500"), F.lit("\nDénomination sociale de la société prestataire\nFirm A\n"), second,
         F.lit("8. Avantages en nature\n"), given, F.lit("9. Je confirme"),
@@ -333,11 +334,12 @@ X2_SQL = """SELECT CAST(s_suppkey AS VARCHAR) AS file, s_name AS org_name, s_sup
 
 @query("x2_parse_layout_forms", X2_SQL)
 def x2(spark, sf):
-    """Forms of two, one or no provider; the providers of every fourth stand on a second page."""
+    """Forms of two, one or no provider; the providers of every fourth stand on a second page. A line's words come from right to left,
+    others above and below the first of them, further apart than a word may be from the first."""
     rows = [(1, "Dénomination", 10.0), (1, "sociale", 60.0), (1, None, 100.0), (2, "Montant", 10.0), (2, "total", 50.0), (2, "annuel", 80.0), (2, "€", 120.0), (2, "EMP", 135.0)]
     rows += [(3, "Dénomination", 10.0), (3, "sociale", 70.0), (3, "de", 110.0), (3, "la", 125.0), (3, "société", 135.0), (3, "prestataire", 170.0), (3, "Firm", 250.0), (3, "A", 275.0), (3, "Firm", 350.0), (3, "B", 375.0)]
     rows += [(4, "association", 10.0), (4, "NAT", 250.0), (4, "5,30", 350.0)]
-    words = spark.createDataFrame([(n, line, t, x, x + 20.0, line * 12.0 + (n % 3) * 0.7) for n, (line, t, x) in enumerate(rows)], "ord int, n int, w string, x0 double, x1 double, top double")
+    words = spark.createDataFrame([(-n, line, t, x, x + 20.0, line * 12.0 + (0.0 if n in (2, 7, 15, 17, 19, 20) else (2.0, -2.0)[n % 2])) for n, (line, t, x) in enumerate(rows)], "ord int, n int, w string, x0 double, x1 double, top double")
     k, later = F.col("s_suppkey"), F.col("n") > 2
     text = F.when(F.col("w").isNull(), F.col("s_name")).when(F.col("w") == "EMP", (k * 100).cast("string")).when(F.col("w") == "NAT", F.col("s_nationkey").cast("string")).otherwise(F.col("w"))
     pages = table(spark, sf, "supplier").crossJoin(F.broadcast(words)).filter(~later | (k % 3 == 2) | ((k % 3 == 1) & (F.col("x0") < 300)))

@@ -1,6 +1,7 @@
 """Edge rows of the register operators, on hand-made fixtures with invented names."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,30 @@ def test_layout_lines_and_gaps(spark):
     assert sorted(r.text for r in cut) == ["a b", "c"]
 
 
+def test_lines_are_found_in_word_order(spark):
+    """A line's top is that of its first word: 12, 10, 14 are one line, 10, 12, 14 are two; on random pages by the rule itself."""
+    rng = random.Random(4)
+    pages = {("f", 1): [12.0, 10.0, 14.0], ("f", 2): [10.0, 12.0, 14.0]} | {("g", p): [rng.randrange(40) / 2 for _ in range(rng.randrange(1, 25))] for p in range(40)}
+    words = [(f, p, i, "w", 0.0, 1.0, top) for (f, p), tops in pages.items() for i, top in enumerate(tops)]
+    rng.shuffle(words)
+    got = {(r.file, r.page, r.ord): r.line for r in T.group_lines(spark.createDataFrame(words, schemas.WORD).repartition(5)).collect()}
+    for (f, p), tops in pages.items():
+        lines = []
+        for i, top in enumerate(tops):
+            line = next((x for x in lines if abs(x - top) <= 2.5), None)
+            if line is None:
+                lines.append(line := top)
+            assert got[f, p, i] == line
+    assert {got["f", 1, i] for i in range(3)} == {12.0} and {got["f", 2, i] for i in range(3)} == {10.0, 14.0}
+
+
+def test_provider_names_of_the_section_alone(spark):
+    name = "Dénomination sociale de la Société prestataire\n"
+    text = f"Dénomination sociale\nOrg\n{name}Before\nAvez-vous effectué des dÉpenses d'achats de prestations auprès en année 2024 ?\nOui\nMontant total annuel des achats de missions ou prestations x association\n5\n{name.replace('é', chr(0xE9))}Été SA\n8. Avantages en nature\n{name}After"
+    r = T.parse_forms(spark.createDataFrame([(text,), (text.replace("Oui", "Non"),)], "text string")).select("providers").collect()
+    assert [[tuple(p) for p in x.providers] for x in r] == [[("Été SA", 5)], []]
+
+
 def test_history_keeps_actors_without_years(spark):
     ex = spark.createDataFrame([(1, 2020, 5, 1), (1, 2020, 7, 2)], "representants_id bigint, annee_fin int, montant_depense_inf bigint, _ord int")
     got = {r.representants_id: r.by_year for r in E.budget_history(spark.createDataFrame([(1,), (2,)], "representants_id bigint"), ex).collect()}
