@@ -27,8 +27,9 @@ ACCREDITED = f"register_id string, {PERSON}, at bigint"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State of this kind needs that provider, as a setting of the session."""
+    """State of this kind needs that provider, as a setting of the session. A store of each partition would reserve 4 MB of disk, and many are small."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
 def appended(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
