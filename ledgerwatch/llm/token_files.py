@@ -35,6 +35,8 @@ SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids bin
 MOST_CACHED, ROWS = 400_000, 2_000
 #: A run of ASCII marks but the apostrophe, or a line feed: pretokens of their own between letters.
 MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
+#: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
+MIXED = re.compile(r" [^\S ]")
 
 
 @lru_cache(2)
@@ -47,14 +49,14 @@ def tokenizer(path: str | None = None):
 
 
 def units(text: str) -> list[str]:
-    """The text cut before each single space that a non-space follows; the tokenizer's own cuts contain all of these."""
+    """The text cut before each single space that anything but white space follows; the tokenizer's own cuts contain all of these."""
     pieces = text.split(" ")
     out = [pieces[0]]
     for p in pieces[1:]:
-        if p:
+        if p and not p[0].isspace():
             out.append(" " + p)
         else:
-            out[-1] += " "
+            out[-1] += " " + p
     return out
 
 
@@ -113,7 +115,7 @@ class Encoder:
                 memory.clear()
         if len(self.after_space) > MOST_CACHED:
             self.after_space, self.older = {}, self.after_space  # what is used again comes back from there
-        plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " ")]
+        plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " " or MIXED.search(t))]
         out = [b""] * len(texts)
         pieces = Pieces([texts[k] for k in plain])
         self.learn(self.missing(pieces.distinct))

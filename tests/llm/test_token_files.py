@@ -32,6 +32,23 @@ def test_units_encode_as_the_whole(text):
     assert np.frombuffer(tf.Encoder()([text])[0], tf.U4).tolist() == tf.tokenizer().encode(text, add_special_tokens=False).ids
 
 
+WHITE = [chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x180E, 0xFEFF)]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.text(st.sampled_from([*WHITE, *" " * 12, *"aé1!'", "\u0301"]), max_size=8), min_size=1, max_size=20))
+def test_any_white_space(texts):
+    for got, e in zip(tf.Encoder()(texts), tf.tokenizer().encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(got, tf.U4).tolist() == e.ids
+
+
+def test_spaces_of_two_kinds():
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice([" ", "\xa0", "a"], int(rng.integers(1, 12)))) for _ in range(60_000)]
+    wrong = [t for t, got, e in zip(texts, tf.Encoder()(texts), tf.tokenizer().encode_batch(texts, add_special_tokens=False), strict=True) if np.frombuffer(got, tf.U4).tolist() != e.ids]
+    assert not wrong
+
+
 def test_documents():
     texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist() + [" a", "a b. c, d!", " ", "", "Ünï çøđé. ⅷ x² ªb", "it's 5pm. U.S. e.g., a.b"]
     encoder = tf.Encoder()
