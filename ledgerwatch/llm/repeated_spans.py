@@ -341,7 +341,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs; length is over 24 and up to 250."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of docs; length is over 24 and up to 139."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
 

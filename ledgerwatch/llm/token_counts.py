@@ -51,13 +51,37 @@ MOST_CHARACTERS, MOST_STATES, MOST_PAIRS, MOST_COUNTED = 1_000_000, 300_000, 300
 
 @lru_cache(1)
 def classes() -> np.ndarray:
-    """LETTER, NUMBER, SPACE or OTHER for each code point."""
+    """LETTER, NUMBER, SPACE or OTHER for each code point.
+
+    Of those that Python's tables don't know the library says it: a letter makes one pretoken with an `a` before it, a number is one
+    of its own beside another one, anything else joins a sign before it.
+    """
     kinds = {"L": LETTER, "N": NUMBER}
     out = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], np.uint8)
+    newer = [c for c in range(0x40000) if unicodedata.category(chr(c)) == "Cn"]
+    tests = "".join(f"a{chr(c)}\n,{chr(c)}\n" for c in newer)
+    whole = {tests[a:z] for _, (a, z) in tokenizer().pre_tokenizer.pre_tokenize_str(tests)}
+    out[newer] = [LETTER if f"a{chr(c)}" in whole else OTHER if f",{chr(c)}" in whole else NUMBER for c in newer]
     out[BLANKS] = SPACE
     return out
 
 
+@lru_cache(2)
+def tokenizer(path: str | None = None):
+    """The library's reading of the file, for its tables of characters."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+
+
+@lru_cache(1)
+def lowering():
+    from tokenizers import normalizers
+
+    return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
 def marks(points: np.ndarray) -> np.ndarray:
     """Whether a pretoken starts at each code point."""
     kind = classes()[points]
@@ -128,6 +152,20 @@ class Merges:
         self.to: dict[int, tuple[int, int]] = {}
         self.finals: dict[int, int] = {}
 
+    def restart(self, state: int) -> int:
+        """Forgets all states but those that the next ones after this one can look back to, and gives its new number."""
+        chain = [state]
+        while chain[-1] and len(chain) <= self.longest:
+            chain.append(self.before[chain[-1]])
+        kept = [(self.text[k], self.last[k], self.tokens[k]) for k in reversed(chain) if k]
+        self.start()
+        for text, last, tokens in kept:
+            self.before.append(len(self.text) - 1)
+            self.text.append(text)
+            self.last.append(last)
+            self.tokens.append(tokens)
+        return len(self.text) - 1
+
     def stands(self, a: str, b: str) -> bool:
         """Whether the merges leave tokens a and b side by side.
 
@@ -171,6 +209,8 @@ class Merges:
             self.start()
         state, emitted = 0, 0
         for b in data[:-1]:
+            if len(self.text) > MOST_STATES:
+                state = self.restart(state)
             at = state << 8 | b
             if (step := self.to.get(at)) is None:
                 letter = self.letters[b]
@@ -200,9 +240,7 @@ class Counter:
         if "<|" in text:
             parts = self.merges.special.split(text)
             special, text = len(parts) - 1, "\n".join(parts)
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower(), special
+        return text.lower() if text.isascii() else lowering().normalize_str(text), special
 
     def buffer(self, texts: list[str]) -> np.ndarray:
         """Counts of texts that are prepared, in one buffer."""

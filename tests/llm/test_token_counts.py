@@ -30,6 +30,23 @@ def test_equals_the_library_on_any_text(texts):
     assert COUNT(texts) == library(texts)
 
 
+def test_newer_characters():
+    """Letters and signs that Unicode got after Python's tables."""
+    newer = [chr(c) for c in (0x1C89, 0x1C8A, 0xA7CB, 0xA7DA, 0xA7DC, 0x10D50, 0x10D70, 0x10D40, 0x11DE0, 0x13808, 0x1385C, 0x13988, 0x16D40, 0x1CCF0, 0x1E5F1, 0x2FFFF)]
+    texts = [f.format(c) for c in newer for f in ("{0}", "a{0}", "İ {0}b", "{0}{0}1", ".{0}.", "5{0} x{0}'s", "Σ{0}")]
+    assert COUNT(texts) == library(texts)
+
+
+def test_the_states_of_a_long_pretoken_are_bounded(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcdeéthing"), n)) for n in (5_000, 40_000)]
+    want = library(texts)
+    monkeypatch.setattr(tc, "MOST_STATES", 700)
+    own = tc.Counter()
+    assert own(texts) == want
+    assert len(own.merges.text) <= 702
+
+
 @pytest.mark.parametrize("path", sorted(glob.glob("/root/testdata/sf0.01/documents.parquet")))
 def test_equals_the_library_on_documents(path):
     texts = pq.read_table(path).column("text").to_pylist()
