@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keywords import FEW, contains_any, matched_words
 from .text import fold
 
 
-def contains_any(text: Column, words: list[str]) -> Column:
-    """Whether any of the words is a substring; an empty list matches nothing."""
-    return reduce(or_, (F.contains(text, F.lit(w)) for w in words), F.lit(False))
-
-
 def joined_text(cols: list[str]) -> Column:
     return F.lower(F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols)))
 
@@ -24,11 +17,13 @@ def keyword_filter(df: DataFrame, cols: list[str], keywords: list[str], matched:
     """Rows of which the joined columns hold a keyword, as a substring in any case; `matched` names a column for the keywords found."""
     text = joined_text(cols)
     out = df.filter(contains_any(text, keywords))
-    return out.withColumn(matched, F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(text, k))) if matched else out
+    return out.withColumn(matched, matched_words(text, keywords)) if matched else out
 
 
 def keyword_filter_folded(df: DataFrame, col: str, keywords: list[str]) -> DataFrame:
-    """The same after accents have been removed; a null text doesn't match. One pattern of all words, so that a text is folded once."""
+    """The same after accents have been removed; a null text doesn't match. A text is folded once, for a pattern of all words or the automaton."""
+    if len(keywords) > FEW:
+        return df.filter(contains_any(fold(F.col(col)), keywords))
     quoted = ["\\Q" + k.replace("\\E", "\\E\\\\E\\Q") + "\\E" for k in keywords]
     return df.filter(F.rlike(fold(F.col(col)), F.lit("|".join(quoted))) if keywords else F.lit(False))
 

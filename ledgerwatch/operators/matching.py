@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerwatch.functions.keywords import actors_in
 from ledgerwatch.functions.text import fold, norm_name
 
 from .windows import first_per_key
@@ -48,49 +49,55 @@ def haystack(*cols: Column) -> Column:
     return F.concat_ws(" ", *(F.nullif(c, F.lit("")) for c in cols))
 
 
-def match_by_keywords(actors: DataFrame, records: DataFrame, texts: list[str], year: str = "source_year", order: str = "_ord", normalize=None, most_actors: int = 2_000, gram: int = 3) -> DataFrame:
+def match_by_keywords(actors: DataFrame, records: DataFrame, texts: list[str], year: str = "source_year", order: str = "_ord", normalize=None) -> DataFrame:
     """The first record of each (actor, year) whose texts hold one of the actor's keywords, with the number of such records.
 
-    actors: actor, keywords (array). `order` tells the records apart. Up to `most_actors` actors go to all tasks and meet each record
-    once, folded. Beyond that, keywords meet records by their first `gram` characters, and shorter ones are the few that meet all.
+    actors: actor, keywords (array). `order` tells the records apart. All keywords are one automaton, which reads each record's folded
+    text once; what meets and is counted are the records' numbers, and only first records are fetched.
     """
     clean = normalize or (lambda c: fold(c, ascii_only=True))
-    hay = records.withColumn("_hay", clean(haystack(*map(F.col, texts))))
-    if len(actors.select("actor").take(most_actors + 1)) <= most_actors:
-        hits = hay.join(F.broadcast(actors.select("actor", F.col("keywords").alias("_kws"))), F.exists("_kws", lambda k: F.contains(F.col("_hay"), k))).drop("_hay", "_kws")
-    else:
-        words = actors.select("actor", F.explode("keywords").alias("_kw")).distinct()
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_hay") - gram + 1, F.lit(1))), lambda k: F.substring("_hay", k, F.lit(gram))))
-        held = F.contains(F.col("_hay"), F.col("_kw"))
-        long = hay.withColumn("_gram", F.explode(grams)).join(words.filter(F.length("_kw") >= gram).withColumn("_gram", F.substring("_kw", 1, gram)), "_gram").filter(held).drop("_gram")
-        short = hay.join(words.filter(F.length("_kw") < gram), held)
-        hits = long.unionByName(short).drop("_hay", "_kw").dropDuplicates(["actor", year, order])
-    row = F.struct(*(c for c in hits.columns if c not in ("actor", year)))
-    found = hits.groupBy("actor", year).agg(F.min_by(row, order).alias("_row"), F.count("*").alias("n_matches"))
-    return found.select("actor", year, "_row.*", "n_matches")
-
-
-def provider_relations(actors: DataFrame, relations: DataFrame, actor_id: str = "identifiant_national", client_id: str = "identifiant_national_client", digits: int = 9) -> DataFrame:
+    hits = actors_in(actors, records.select(F.col(year).alias("_y"), F.col(order).alias("_o"), clean(haystack(*map(F.col, texts))).alias("_hay")))
+    first = hits.groupBy("actor", "_y").agg(F.min("_o").alias("_o"), F.count("*").alias("n_matches"))
+    rest = [c for c in records.columns if c not in ("actor", year)]
+    found = first.join(records.select(year, *rest), (F.col("_o") == F.col(order)) & F.col("_y").eqNullSafe(F.col(year)))
+    return found.select("actor", year, *rest, "n_matches")
+
+
+HEAVY = 1_000_000
+
+
+def provider_relations(actors: DataFrame, relations: DataFrame, actor_id: str = "identifiant_national", client_id: str = "identifiant_national_client", digits: int = 9, heavy: int = HEAVY) -> DataFrame:
     """Relations whose client id starts with the first characters of the actor's id.
 
     A client id stands under its prefix of each length that some actor's has (up to `digits` lengths), and prefixes meet by equality.
+    A prefix with more than `heavy` relations is dealt out in shares of that many, and its actors stand in each share; all others
+    meet as they are.
     """
     a = actors.withColumn("_p", F.substring(actor_id, 1, digits)).filter("_p <> ''")
     lengths = a.agg(F.collect_set(F.length("_p")).alias("_lengths"))  # one row
     r = relations.filter(F.col(client_id) != "").crossJoin(F.broadcast(lengths)).withColumn("_n", F.explode("_lengths"))
     r = r.withColumn("_p", F.substring(client_id, F.lit(1), F.col("_n"))).filter(F.length("_p") == F.col("_n")).drop("_n", "_lengths")
-    return a.join(r, "_p").drop("_p")
+    counts = r.groupBy("_p").agg(F.count("*").alias("_c")).filter(F.col("_c") > heavy)
+    shares = F.broadcast(counts.select("_p", F.ceil(F.col("_c") / heavy).alias("_shares")))  # at most one row for each `heavy` relations
+    dealt = r.join(shares, "_p", "left").withColumn("_share", F.when(F.col("_shares").isNotNull(), F.pmod(F.monotonically_increasing_id(), "_shares")).otherwise(F.lit(0))).drop("_shares")
+    every = a.join(shares, "_p", "left").withColumn("_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
+    return every.join(dealt, ["_p", "_share"]).drop("_p", "_share")
 
 
 def resolve_names(queries: DataFrame, results: DataFrame, kept: int = 10) -> DataFrame:
     """Candidates of each searched name: exact names first, then by rank until `kept` in all; never fewer than the exact ones.
 
-    queries: query; results: query, rank, name, and more columns.
+    queries: query; results: query, rank, name, and more columns. Exact names and the others are numbered by themselves, so that
+    of the others each task sends on `kept` of a query at most, and no task sorts all results of one.
     """
-    exact = F.lower(F.trim("name")) == F.lower(F.trim("query"))
-    by = W.partitionBy("query").orderBy(F.col("exact").desc(), "rank")
-    ranked = results.join(queries.select("query").distinct(), "query").withColumn("exact", F.coalesce(exact, F.lit(False))).withColumn("position", F.row_number().over(by))
-    return ranked.filter(F.col("exact") | (F.col("position") <= kept))
+    same = F.coalesce(F.lower(F.trim("name")) == F.lower(F.trim("query")), F.lit(False))
+    asked = results.join(queries.select("query").distinct(), "query", "left_semi").withColumn("exact", same)
+    by = W.partitionBy("query").orderBy("rank")
+    exact = asked.filter("exact").withColumn("position", F.row_number().over(by))
+    rest = asked.filter("not exact").withColumn("position", F.row_number().over(by)).filter(F.col("position") <= kept)
+    before = exact.groupBy("query").agg(F.count("*").cast("int").alias("_before"))
+    rest = rest.join(before, "query", "left").withColumn("position", F.col("position") + F.coalesce("_before", F.lit(0))).filter(F.col("position") <= kept).drop("_before")
+    return exact.unionByName(rest)
 
 
 def attach_filing(actors: DataFrame, filings: DataFrame, folder: str = "folder", order: str = "_ord") -> DataFrame:

@@ -41,7 +41,7 @@ def names_overlap(a: Column, b: Column) -> Column:
 
 
 def reconcile_names(left: Column, right: Column) -> Column:
-    """(left_only, right_only, mismatch) of two arrays of names, in their order and with repeats."""
+    """(left_only, right_only, mismatch) of two arrays of names, in their order and with repeats; for long lists see `unmatched_names`."""
     empty = F.array().cast("array<string>")
     with_norm = lambda names: F.transform(F.coalesce(names, empty), lambda n: F.struct(n.alias("name"), norm_name(n).alias("norm")))
     a, b = with_norm(left), with_norm(right)
@@ -50,6 +50,35 @@ def reconcile_names(left: Column, right: Column) -> Column:
     return F.struct(first.alias("left_only"), second.alias("right_only"), ((F.size(first) > 0) | (F.size(second) > 0)).alias("mismatch"))
 
 
+def distinct_grams(name: Column, size: int) -> Column:
+    starts = F.sequence(F.lit(1), F.length(name) - size + 1)
+    return F.when(F.length(name) >= size, F.array_distinct(F.transform(starts, lambda k: F.substring(name, k, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def unmatched_names(left: DataFrame, right: DataFrame, keys: list[str], gram: int = 3) -> DataFrame:
+    """The rows of both lists whose name overlaps none of the other list of the same keys, with a column `side` (left or right).
+
+    left, right: keys, name, and more columns that both have. For lists too long to meet in one row: a name that another one holds
+    stands there with all its grams, so it is looked for under the rarest of them among the names of its keys; names shorter than a
+    gram under themselves. Different names are compared once, however often they stand in the lists.
+    """
+    both = left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right"))).withColumn("_norm", norm_name(F.col("name")))
+    names = both.filter("_norm <> ''").select(*keys, "side", "_norm").distinct()
+    matched = []
+    for size in range(1, gram + 1):
+        shorter = F.length("_norm") == size if size < gram else F.length("_norm") >= size
+        held = names.select(*keys, F.col("side").alias("_in"), F.col("_norm").alias("_long"), F.explode(distinct_grams(F.col("_norm"), size)).alias("_gram"))
+        counts = held.groupBy(*keys, "_gram").agg(F.count("*").alias("_n"))
+        probes = names.filter(shorter).select(*keys, "side", "_norm", F.explode(distinct_grams(F.col("_norm"), size)).alias("_gram"))
+        rarest = probes.join(counts, [*keys, "_gram"]).groupBy(*keys, "side", "_norm").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+        pairs = rarest.join(held, [*keys, "_gram"]).filter((F.col("side") != F.col("_in")) & F.contains("_long", F.col("_norm")))
+        matched += [pairs.select(*keys, "side", "_norm"), pairs.select(*keys, F.col("_in").alias("side"), F.col("_long").alias("_norm"))]
+    every = matched[0]
+    for more in matched[1:]:
+        every = every.unionByName(more)
+    return both.join(every.distinct(), [*keys, "side", "_norm"], "left_anti").drop("_norm")
+
+
 def summary_totals(actors: DataFrame, years: list[int], low: str = "budget_low", high: str = "budget_high", people: str = "n_people", filed: str = "total_declare", providers: str = "providers", history: str = "by_year") -> DataFrame:
     """One row: sums of the brackets that aren't (0, 0), of people and filings, number of distinct provider names, and by year the sum, null without a value."""
     real = ~((F.col(low) == 0) & (F.col(high) == 0))

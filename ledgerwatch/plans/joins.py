@@ -169,13 +169,13 @@ def j11(spark, sf):
     return R.reconcile_headcount(people, filings)
 
 
-@query(
-    "j12_reconcile_names",
-    """WITH n AS (SELECT p_size, list(p_name ORDER BY p_partkey) FILTER (WHERE p_partkey % 2 = 0) AS a, list(split_part(p_name, ' ', 2) ORDER BY p_partkey) FILTER (WHERE p_partkey % 7 = 1) AS b FROM part GROUP BY 1),
+J12_SQL = """WITH n AS (SELECT p_size, list(p_name ORDER BY p_partkey) FILTER (WHERE p_partkey % 2 = 0) AS a, list(split_part(p_name, ' ', 2) ORDER BY p_partkey) FILTER (WHERE p_partkey % 7 = 1) AS b FROM part GROUP BY 1),
  m AS (SELECT p_size, coalesce(a, []) AS a, coalesce(b, []) AS b FROM n),
  r AS (SELECT p_size, list_filter(a, lambda x: len(list_filter(b, lambda y: contains(x, y) OR contains(y, x))) = 0) AS l, list_filter(b, lambda y: len(list_filter(a, lambda x: contains(x, y) OR contains(y, x))) = 0) AS rr FROM m)
- SELECT p_size, array_to_string(l, ',') AS left_only, array_to_string(rr, ',') AS right_only, len(l) > 0 OR len(rr) > 0 AS mismatch FROM r""",
-)
+ SELECT p_size, array_to_string(l, ',') AS left_only, array_to_string(rr, ',') AS right_only, len(l) > 0 OR len(rr) > 0 AS mismatch FROM r"""
+
+
+@query("j12_reconcile_names", J12_SQL)
 def j12(spark, sf):
     listed = lambda c, v: F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("p_partkey", v.alias("v"))))), lambda x: x["v"])
     rows = table(spark, sf, "part").groupBy("p_size").agg(listed(F.col("p_partkey") % 2 == 0, F.upper("p_name")).alias("a"), listed(F.col("p_partkey") % 7 == 1, F.split_part("p_name", F.lit(" "), F.lit(2))).alias("b"))
@@ -183,6 +183,19 @@ def j12(spark, sf):
     return out.select("p_size", F.lower(F.array_join("r.left_only", ",")).alias("left_only"), F.array_join("r.right_only", ",").alias("right_only"), "r.mismatch")
 
 
+@query("j12_unmatched_names", J12_SQL)
+def j12_long(spark, sf):
+    """The same by joins of names instead of arrays."""
+    part, key = table(spark, sf, "part"), F.col("p_partkey")
+    left = part.filter(key % 2 == 0).select("p_size", "p_partkey", F.upper("p_name").alias("name"))
+    right = part.filter(key % 7 == 1).select("p_size", "p_partkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("name"))
+    rows = R.unmatched_names(left, right, ["p_size"])
+    listed = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("p_partkey", "name")))), lambda x: x["name"]), ",")
+    found = rows.groupBy("p_size").agg(F.lower(listed("left")).alias("left_only"), listed("right").alias("right_only"))
+    out = part.select("p_size").distinct().join(found, "p_size", "left")
+    return out.select("p_size", F.coalesce("left_only", F.lit("")).alias("left_only"), F.coalesce("right_only", F.lit("")).alias("right_only"), F.col("left_only").isNotNull().alias("mismatch"))
+
+
 LIVE_SQL = "live AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 0 WHEN s_suppkey % 3 = 1 THEN CAST(s_acctbal AS BIGINT) END AS b, CAST(s_nationkey AS INT) AS people, CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey % 4 AS INT) END AS ep FROM supplier)"
 
 

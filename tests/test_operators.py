@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerwatch.functions import keywords as K
 from ledgerwatch.functions import predicates as P
 from ledgerwatch.functions import schemas
 from ledgerwatch.functions import text as X
@@ -218,12 +219,88 @@ def test_sources(spark, tmp_path):
     assert S.read_pages(spark, str(tmp_path / "w.json")).first().text.startswith("{")
 
 
-def test_keywords_match_alike_for_few_and_many_actors(spark):
-    actors = spark.createDataFrame([("a", ["vape", "é"]), ("b", ["x"]), ("c", []), ("d", ["nicotine pouch"])], "actor string, keywords array<string>")
-    rows = [(1, 2020, "Vape shop", None), (2, 2020, "vapes x", "vape"), (3, 2021, None, "Nicotine"), (4, 2021, "a nicotine", "pouch"), (5, 2021, "x", ""), (6, 2022, None, None)]
+def test_keywords_of_actors(spark):
+    actors = spark.createDataFrame([("a", ["vape", "é", None]), ("b", ["x"]), ("c", []), ("d", ["nicotine pouch"]), ("e", None)], "actor string, keywords array<string>")
+    rows = [(1, 2020, "Vape shop", None), (2, 2020, "vapes x", "vape"), (3, 2021, None, "Nicotine"), (4, 2021, "a nicotine", "pouch"), (5, 2021, "x", ""), (6, 2022, None, None), (7, None, "vape", None)]
     records = spark.createDataFrame(rows, "_ord int, source_year int, one string, two string")
-    few, many = (sorted((r.actor, r.source_year, r._ord, r.n_matches) for r in M.match_by_keywords(actors, records, ["one", "two"], most_actors=n).collect()) for n in (10, 0))
-    assert few == many == [("a", 2020, 1, 2), ("b", 2020, 2, 1), ("b", 2021, 5, 1), ("d", 2021, 4, 1)]
+    got = sorted(((r.actor, r.source_year or 0, r._ord, r.one, r.n_matches) for r in M.match_by_keywords(actors, records, ["one", "two"]).collect()))
+    assert got == [("a", 0, 7, "vape", 1), ("a", 2020, 1, "Vape shop", 2), ("b", 2020, 2, "vapes x", 1), ("b", 2021, 5, "x", 1), ("d", 2021, 4, "a nicotine", 1)]
+
+
+def test_a_hundred_thousand_keywords(spark, monkeypatch):
+    """As the nested loop, in one block of keywords and in several."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    keywords = {f"a{k}": [word(rng.randint(5, 9)) for _ in range(5)] for k in range(20_000)}
+    texts = [word(60) for _ in range(150)] + [" ".join(rng.choice(list(keywords.values()))) for _ in range(50)] + ["", None]
+    want = sorted((a, k) for k, t in enumerate(texts) for a, own in keywords.items() if t and any(w in t for w in own))
+    actors = spark.createDataFrame(list(keywords.items()), "actor string, keywords array<string>")
+    hay = spark.createDataFrame(list(enumerate(texts)), "k int, _hay string")
+    for most in (K.MOST_CHARACTERS, 200_000):
+        assert sorted((r.actor, r.k) for r in K.actors_in(actors, hay, most).collect()) == want and len(want) > 200
+
+
+def test_long_lists_of_words(spark):
+    """The automaton's predicates give what the built-in ones give."""
+    df = spark.createDataFrame([(1, "Vape Shop"), (2, "none"), (3, None), (4, "nicotiné")], "k int, t string")
+    many = [f"w{k}" for k in range(K.FEW)]
+    for words in (["vape", "shop"], ["nicotine"], [""]):
+        for few, long in ((words, words + many),):
+            assert [tuple(r) for r in P.keyword_filter(df, ["t"], long, "m").collect()] == [tuple(r) for r in P.keyword_filter(df, ["t"], few, "m").collect()]
+            assert [r.k for r in P.keyword_filter_folded(df, "t", long).collect()] == [r.k for r in P.keyword_filter_folded(df, "t", few).collect()]
+            assert [r.k for r in P.exclude_names(df, "t", long).collect()] == [r.k for r in P.exclude_names(df, "t", few).collect()]
+
+
+def test_one_client_with_most_relations_is_dealt_out(spark):
+    actors = spark.createDataFrame([(1, "123456789" + "00011"), (2, "123456789" + "00022"), (3, "987654321x"), (4, "55"), (5, "")], "k int, identifiant_national string")
+    rel = spark.range(2000).selectExpr("id AS r", "CASE WHEN id % 3 = 0 THEN '12345678900099' WHEN id % 5 = 0 THEN '987654321' WHEN id % 7 = 0 THEN '5599' ELSE cast(id AS string) END AS identifiant_national_client").repartition(4)
+    plain, dealt = (M.provider_relations(actors, rel, heavy=n) for n in (10_000, 50))
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect())) and dealt.filter("k < 3").count() == 2 * 667
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = M.provider_relations(actors, rel, heavy=50).filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 2 and M.provider_relations(actors, rel, heavy=10_000).filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_top_names_are_cut_before_they_meet(spark):
+    queries = spark.createDataFrame([("A b",), ("none",), (None,)], "query string")
+    rows = [("A b", k, f"n{k}", k * 2) for k in range(40)] + [("A b", 100 + k, " a B ", -k) for k in range(3)] + [("other", 1, "other", 0)] + [("none", 5, None, 1)]
+    results = spark.createDataFrame(rows, "query string, rank int, name string, more int").repartition(4)
+    got = M.resolve_names(queries, results)
+    assert sorted((r.query, r.position, r.rank, r.exact) for r in got.collect()) == sorted([("A b", k + 1, 100 + k, True) for k in range(3)] + [("A b", k + 4, k, False) for k in range(7)] + [("none", 1, 5, False)])
+    assert M.resolve_names(queries, results.filter("rank >= 100"), 2).count() == 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_long_lists_of_names(spark):
+    rng = random.Random(5)
+    name = lambda: " ".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 3)))
+    left, right = ([(k % 3, i, rng.choice([name(), name().upper(), "", None])) for i, k in enumerate(range(200))] for _ in range(2))
+    kinds = "key int, i int, name string"
+    got = R.unmatched_names(spark.createDataFrame(left, kinds), spark.createDataFrame(right, kinds), ["key"])
+    arrays = lambda rows, key: F.array(*(F.lit(n) for k, _, n in rows if k == key))
+    for key in range(3):
+        r = spark.range(1).select(R.reconcile_names(arrays(left, key), arrays(right, key)).alias("r")).first().r
+        for side, want in (("left", r.left_only), ("right", r.right_only)):
+            assert [x.name for x in got.filter(f"key = {key} and side = '{side}'").orderBy("i").collect()] == want
+
+
+def test_ten_thousand_names_by_as_many(spark):
+    rng = random.Random(6)
+    names = lambda n: [(1, i, f"{rng.randrange(3000)} firm {rng.choice('abc')} {'x' * rng.randrange(3)}") for i in range(n)]
+    left, right = names(10_000), [(1, i, n[2:] if i % 2 else n + " group") for _, i, n in names(10_000)]
+    kinds = "key int, i int, name string"
+    got = {(r.side, r.i) for r in R.unmatched_names(spark.createDataFrame(left, kinds), spark.createDataFrame(right, kinds), ["key"]).collect()}
+    a, b = ([" ".join(n.split()) for _, _, n in rows] for rows in (left, right))
+    hold = lambda xs, ys: {i for i, x in enumerate(xs) if not any(x in y or y in x for y in ys)}
+    some = range(0, 10_000, 97)
+    assert {i for s, i in got if s == "left" and i % 97 == 0} == {some[k] for k in hold([a[i] for i in some], set(b))}
+    assert {i for s, i in got if s == "right" and i % 97 == 0} == {some[k] for k in hold([b[i] for i in some], set(a))}
 
 
 def test_meeting_lists_without_header_or_date(spark):
