@@ -28,13 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Pieces, byte_letters, collector_resting, documents, id_and_text, shared_dir
+from .common import Pieces, collector_resting, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, ROWS = 400_000, 2_000
-#: A run of ASCII marks but the apostrophe, or a line feed: pretokens of their own between letters.
-MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
+MOST_CACHED, ROWS, TOGETHER = 400_000, 2_000, 2_000
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
 
@@ -63,19 +61,15 @@ def units(text: str) -> list[str]:
 class Encoder:
     """Encodes texts with the library; units that were seen before come from a bounded memory.
 
-    A unit of a space, then letters, marks and single line feeds is cut into its pretokens, which go to the library's merge model
-    directly; all others take its whole way.
+    New units go to the library many at a time, side by side as in a text, and what comes back is cut by the bytes of its tokens.
     """
 
     def __init__(self, path: str | None = None):
-        self.tok, self.seen, self.words, self.after_space, self.older = tokenizer(path), {}, {}, {}, {}
-        self.letter, self.merge = dict(enumerate(byte_letters())), self.tok.model.tokenize
-
-    def word(self, text: str) -> bytes:
-        """The ids of one pretoken."""
-        if (known := self.words.get(text)) is None:
-            known = self.words[text] = array("I", [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.letter))]).tobytes()
-        return known
+        self.tok, self.seen, self.after_space, self.older = tokenizer(path), {}, {}, {}
+        vocabulary = self.tok.get_vocab()
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.size[number] = len(token)  # a letter for each byte
 
     def missing(self, pieces: list[str]) -> list[str]:
         """The pieces that aren't known; those known of old are taken over."""
@@ -90,19 +84,14 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes a space and each piece."""
-        rest = []
-        for p in pieces:
-            if p.isalpha():
-                self.after_space[p] = self.word(" " + p)
-                continue
-            parts = MARKS.split(p)  # what isn't marks is at the even places
-            if "'" in p or "\n\n" in p or p[0] == "\n" or not all(q.isalpha() for q in parts[::2] if q):
-                rest.append(p)
-            else:
-                parts = [q for q in parts if q]
-                self.after_space[p] = b"".join(map(self.word, (" " + parts[0], *parts[1:])))
-        for p, e in zip(rest, self.tok.encode_batch_fast([" " + p for p in rest], add_special_tokens=False), strict=True):
-            self.after_space[p] = array("I", e.ids).tobytes()
+        groups = [pieces[low : low + TOGETHER] for low in range(0, len(pieces), TOGETHER)]
+        texts = ["".join([" " + p for p in g]) for g in groups]
+        for group, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, U4)
+            ends = np.cumsum([len(p.encode()) + 1 for p in group])
+            cut = (np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * 4
+            blob = ids.tobytes()
+            self.after_space.update(zip(group, [blob[a:z] for a, z in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)], strict=True))
 
     def unit(self, text: str) -> bytes:
         if (known := self.seen.get(text)) is None:
@@ -110,9 +99,8 @@ class Encoder:
         return known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.seen, self.words):
-            if len(memory) > MOST_CACHED:
-                memory.clear()
+        if len(self.seen) > MOST_CACHED:
+            self.seen.clear()
         if len(self.after_space) > MOST_CACHED:
             self.after_space, self.older = {}, self.after_space  # what is used again comes back from there
         plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " " or MIXED.search(t))]
