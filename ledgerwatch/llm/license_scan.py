@@ -2,14 +2,15 @@
 
 Texts are cut into lower-cased words. Every rolling k-gram of words is hashed and joined to the positions of the same
 hashes in the template texts (a fixed parameter of about a thousand words, so broadcast): whole public notices with k of 4, their
-opening sentences and base phrases with k of 2. A hit at text word i and template word j votes for the diagonal i - j of that template. Votes are chained in the order of text and template: each hit goes on
-from the best chain that ends before it in both and at most `most_shift` diagonals away, whatever other hits stand in between. So a
-dropped or added word costs the grams that it breaks and no more (of k at most), and a span counts if it
-still has `least_share` of the template's grams; every vote is verified by comparing the words themselves, not just their hashes.
-
-Base phrases are templates that must match whole: all places count. Longer templates add labels and spans; of two chains of a
-template that overlap the one with more votes stands, at a tie the first.
-score is the largest share of a template's grams found in one span, 0 without a label.
+opening sentences and base phrases with k of 2. A hit at text word i and template word j votes for the diagonal i - j of that template,
+and is verified by comparing the words themselves, not just their hashes. Votes are aggregated by diagonal, where one place of a
+template has at most its own number of grams. A dropped or added word moves the rest of a notice to the next diagonal, so a window
+over the diagonals merges each one with its neighbours, `most_shift` on either side or a twentieth of the template's words; the merged place
+counts if the votes hold `least_share` of the template's grams, each counted once. Both steps are linear in the hits of a text.
+
+Base phrases are templates that must match whole, on one diagonal: all places count. Longer templates add labels and spans; of two
+places of a template that overlap the one with more votes stands, at a tie the first.
+score is the largest share of a template's grams found in one place, 0 without a label.
 Votes are a written table, so that row numbers don't change if an executor is lost.
 Null and empty texts have no words. Rows are kept apart even if ids repeat or are null; an empty table gives no rows, and extra
 columns don't matter. Texts are read whole, however long.
@@ -17,9 +18,11 @@ columns don't matter. Texts are read whole, however long.
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, id_and_text
@@ -41,49 +44,40 @@ TEMPLATES = (
     ("cc-by", "licensed under the creative commons attribution"),
     ("reserved", "all rights reserved"),
 )
-SHORT_GRAM, LONG_GRAM = 2, 4
-SPANS = "array<struct<first:int,last:int,n:int>>"
+SHORT_GRAM, LONG_GRAM, UNIT = 2, 4, 1_000_000
 
 
 def split(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, UPPER.lower())))
 
 
-def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES, notices=NOTICES) -> DataFrame:
-    """(gram, t, label, base, grams, k, j, tw): the k-grams of each template and where they stand."""
+def template_grams(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES, notices=NOTICES, least_share: float = 0.75, most_shift: int = 3) -> DataFrame:
+    """(gram, t, label, base, grams, k, shift, least, j, tw): the k-grams of each template and where they stand, by how many diagonals its
+    places may be spread, and the fewest grams of a place."""
     rows = []
     every = [(x, y, True, SHORT_GRAM) for x, y in phrases] + [(x, y, False, SHORT_GRAM) for x, y in templates] + [(x, y, False, LONG_GRAM) for x, y in notices]
     for t, (label, text, base, k) in enumerate(every):
         words = split(text)
-        rows += [(t, label, base, len(words) - k + 1, k, j, words[j : j + k]) for j in range(len(words) - k + 1)]
-    grams = spark.createDataFrame(rows, "t int, label string, base boolean, grams int, k int, j int, tw array<string>")
+        n = len(words) - k + 1
+        shift = 0 if base else min(max(most_shift, len(words) // 20), (len(words) - 1) // 2)  # two copies side by side stay two
+        rows += [(t, label, base, n, k, shift, n if base else math.ceil(n * least_share), j, words[j : j + k]) for j in range(n)]
+    grams = spark.createDataFrame(rows, "t int, label string, base boolean, grams int, k int, shift int, least int, j int, tw array<string>")
     return grams.withColumn("gram", F.xxhash64("tw"))
 
 
-def chains(hits: Column, grams: Column, k: Column, least_share: float, most_shift: int) -> Column:
-    """The spans (first, last, n) of the chains of hits (i, j) that have enough of the template's grams; of chains that overlap the best."""
-    chain = "array<struct<i:int,j:int,n:int,first:int>>"
-    start = F.struct(F.array().cast(chain).alias("open"), F.array().cast(SPANS).alias("done"))
-
-    def step(state: Column, hit: Column) -> Column:
-        i, j = hit["i"], hit["j"]
-        # j grows and diagonals are near, so no chain goes on over more words than the template and the shift have
-        near = F.filter(state["open"], lambda c: c["i"] + grams + k + most_shift > i)
-        before = F.filter(near, lambda c: (c["i"] < i) & (c["j"] < j) & (F.abs(i - j - c["i"] + c["j"]) <= most_shift))
-        best = F.array_max(F.transform(before, lambda c: F.struct(c["n"].alias("n"), c["first"].alias("first"))))
-        n, first = F.coalesce(best["n"] + 1, F.lit(1)), F.coalesce(best["first"], i)
-        return F.transform(F.array(F.struct(near.alias("near"), n.alias("n"), first.alias("first"))), lambda x: F.struct(
-            F.concat(x["near"], F.array(F.struct(i.alias("i"), j.alias("j"), x["n"].alias("n"), x["first"].alias("first")))).cast(chain).alias("open"),
-            placed(state["done"], F.struct(x["first"].alias("first"), (i + k - 1).alias("last"), x["n"].alias("n"))).alias("done"),
-        ))[0]
-
-    def placed(done: Column, span: Column) -> Column:
-        top = F.element_at(done, -1)
-        apart = (F.size(done) == 0) | (top["last"] < span["first"])
-        one = F.array(span).cast(SPANS)
-        return F.when(span["n"] / grams < least_share, done).when(apart, F.concat(done, one)).when(span["n"] > top["n"], F.concat(F.slice(done, 1, F.size(done) - 1), one)).otherwise(done)
-
-    return F.aggregate(F.array_sort(hits), start, step, lambda state: state["done"])
+def places(votes: DataFrame) -> DataFrame:
+    """(row, label, base, first, last, share) of the places of templates. votes: row, t, label, base, grams, k, shift, least, i, j."""
+    own = ["row", "t", "label", "base", "grams", "k", "shift", "least"]
+    diagonals = votes.groupBy(*own, (F.col("i") - F.col("j")).alias("diagonal")).agg(F.collect_list("j").alias("js"), F.min("i").alias("first"), F.max("i").alias("end"))
+    # windows of one width in units of a template's own: within `shift` diagonals, and overlapping by a word
+    scaled = lambda unit: F.floor(F.col("diagonal").cast("long") * UNIT / unit).cast("long")
+    near = W.partitionBy("row", "t").orderBy(scaled(F.col("shift") + 0.5)).rangeBetween(-UNIT, UNIT)
+    merged = diagonals.select(*own, "diagonal", F.size(F.array_distinct(F.flatten(F.collect_list("js").over(near)))).alias("n"), F.min("first").over(near).alias("first"), F.max("end").over(near).alias("end"))
+    enough = merged.filter(F.col("n") >= F.col("least"))
+    overlapping = W.partitionBy("row", "t").orderBy(scaled(F.col("grams") + F.col("k") - 1)).rangeBetween(2 - UNIT, UNIT - 2)
+    rank = F.struct("n", -F.col("first"), -F.col("end"))
+    best = enough.withColumn("best", F.max(rank).over(overlapping)).filter(F.col("base") | (F.col("best") == rank))
+    return best.select("row", "t", "label", "base", "first", (F.col("end") + F.col("k") - 1).alias("last"), (F.col("n") / F.col("grams")).alias("share")).distinct()
 
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, notices=NOTICES, least_share: float = 0.75, most_shift: int = 3) -> DataFrame:
@@ -96,22 +90,16 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ph
     gram = lambda k: F.array(*(F.col(f"run.w{x}") for x in range(k)))
     # a gram that hangs over the end has nulls, which no template has
     grams = runs.select("row", "doc_id", "n_words", "i", F.explode(F.array(gram(SHORT_GRAM), gram(LONG_GRAM))).alias("words")).withColumn("gram", F.xxhash64("words"))
-    seen = grams.join(F.broadcast(template_grams(spark, phrases, templates, notices)), "gram", "left")
-    same = F.coalesce(F.col("words") == F.col("tw"), F.lit(False))
-    seen = seen.filter(same | F.coalesce(F.col("i") == 0, F.lit(True)))
-    diagonal = F.when(F.col("base"), F.col("i") - F.col("j"))  # a base phrase has no chain but its own diagonal
-    votes = seen.select("row", "doc_id", "n_words", F.when(same, F.struct("t", "label", "base", "grams", "k", diagonal.alias("diagonal"))).alias("v"), "i", F.when(same & ~F.col("base"), F.struct("i", "j")).alias("hit"))
-    votes = Scratch(spark).write(votes)
-    by_template = votes.groupBy("row", "doc_id", "n_words", "v").agg(F.count("*").alias("n"), F.min("i").alias("first"), F.max("i").alias("end"), F.collect_list("hit").alias("hits"))
-    by_template = by_template.select("row", "doc_id", "n_words", "v.*", "n", "first", "end", "hits")
-    enough = F.size(F.array_distinct(F.transform("hits", lambda h: h["j"]))) / F.col("grams") >= least_share
-    whole = F.array(F.struct("first", (F.col("end") + F.col("k") - 1).alias("last"), "n"))
-    none = F.array().cast(SPANS)
-    kept = F.when(F.col("base"), F.when(F.col("n") == F.col("grams"), whole.cast(SPANS)).otherwise(none)).when(enough, chains(F.col("hits"), F.col("grams"), F.col("k"), least_share, most_shift)).otherwise(none)
-    spans = by_template.withColumn("span", F.explode_outer(kept))
-    merged = spans.select("row", "doc_id", "n_words", "label", "base", "span.first", "span.last", (F.col("span.n") / F.col("grams")).alias("share"))
-    base, found = F.col("base") & F.col("share").isNotNull(), F.col("share").isNotNull()
-    out = merged.groupBy("row", "doc_id", "n_words").agg(
+    known = template_grams(spark, phrases, templates, notices, least_share, most_shift)
+    seen = grams.join(F.broadcast(known), "gram", "left").withColumn("same", F.coalesce(F.col("words") == F.col("tw"), F.lit(False)))
+    seen = seen.filter(F.col("same") | F.coalesce(F.col("i") == 0, F.lit(True)))  # each row keeps its first gram
+    votes = Scratch(spark).write(seen.select("row", "doc_id", "n_words", "same", "t", "label", "base", "grams", "k", "shift", "least", "i", "j"))
+    found = places(votes.filter("same"))
+    every = votes.filter("i IS NULL OR i = 0").select("row", "doc_id", "n_words").unionByName(found, allowMissingColumns=True)
+    base, found = F.col("base"), F.col("share").isNotNull()
+    out = every.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("n_words").alias("n_words"),
         F.count_if(base).alias("n_base"),
         F.min(F.when(base, F.col("first"))).cast("long").alias("first_word"),
         F.max(F.when(base, F.col("first"))).cast("long").alias("last_word"),

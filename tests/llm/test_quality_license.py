@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -130,3 +132,57 @@ def test_license_spans_of_copies(spark):
     rows = {r.doc_id: r for r in license_scan.licenses(docs).collect()}
     assert rows[0].spans == ",".join(f"bsd:{a}:{a + n - 1}" for a in (0, n, 2 * n + 1)) and rows[0].score == 1
     assert rows[1].labels == "" and rows[1].score == 0
+
+
+def brute_places(text):
+    """Places of templates by counting, for each diagonal, the template grams found on it and its neighbours."""
+    words, out = license_scan.split(text), []
+    every = [(x, y, True, 2) for x, y in license_scan.PHRASES] + [(x, y, False, 2) for x, y in license_scan.TEMPLATES] + [(x, y, False, 4) for x, y in NOTICES]
+    for label, phrase, base, k in every:
+        tw = license_scan.split(phrase)
+        n = len(tw) - k + 1
+        shift = 0 if base else min(max(3, len(tw) // 20), (len(tw) - 1) // 2)
+        hits = {(i, j) for j in range(n) for i in range(len(words) - k + 1) if words[i : i + k] == tw[j : j + k]}
+        found = []
+        for d in sorted({i - j for i, j in hits}):
+            near = [(i, j) for i, j in hits if abs(i - j - d) <= shift]
+            if (count := len({j for _, j in near})) >= (n if base else 0.75 * n):
+                found.append((count, -min(near)[0], -max(near)[0], d))
+        for own in found:
+            if base or own[:3] == max(x[:3] for x in found if abs(x[3] - own[3]) < len(tw)):
+                out.append((-own[1], -own[2] + k - 1, label, own[0] / n))
+    return sorted(set(out))
+
+
+def test_places_equal_brute_force(spark):
+    rng = random.Random(8)
+    sources = [license_scan.split(x) for _, x in (*license_scan.PHRASES, *license_scan.TEMPLATES, *NOTICES)]
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            part = list(rng.choice(sources))
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(part) + 1)
+                part[at : at + rng.randint(0, 2)] = ["zzz"] * rng.randint(0, 2)
+            words += part * rng.choice([1, 1, 2]) + ["x"] * rng.randint(0, 3)
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in license_scan.licenses(docs).collect()}
+    for k, t in enumerate(texts):
+        places = brute_places(t)
+        assert rows[k].spans == ",".join(f"{label}:{a}:{z}" for a, z, label in sorted({p[:3] for p in places})), t
+        assert rows[k].score == max((p[3] for p in places), default=0.0)
+
+
+def test_very_many_hits_in_one_text(spark):
+    """A hundred thousand repeats take time in proportion."""
+    took = []
+    for n in (25_000, 100_000):
+        docs = spark.createDataFrame([(0, "All rights reserved. " * n)], "doc_id long, text string").cache()
+        docs.count()
+        began = time.perf_counter()
+        r = license_scan.licenses(docs).first()
+        took.append(time.perf_counter() - began)
+        assert (r.n_words, r.labels, r.score, r.spans.count(",")) == (3 * n, "reserved", 1, n - 1)
+    assert took[1] < 8 * max(took[0], 1)
