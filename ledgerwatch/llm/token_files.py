@@ -32,7 +32,7 @@ from .common import Pieces, collector_resting, documents, id_and_text, shared_di
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, ROWS, TOGETHER = 400_000, 2_000, 2_000
+MOST_CACHED, ROWS, TOGETHER = 600_000, 2_000, 2_000
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
 
@@ -71,27 +71,31 @@ class Encoder:
         for token, number in vocabulary.items():
             self.size[number] = len(token)  # a letter for each byte
 
-    def missing(self, pieces: list[str]) -> list[str]:
-        """The pieces that aren't known; those known of old are taken over."""
-        out, known, old = [], self.after_space, self.older.get
-        for p in pieces:
-            if p and p not in known:
-                if (ids := old(p)) is None:
-                    out.append(p)
-                else:
-                    known[p] = ids
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of a space and each piece; those known of old are taken over, new ones learned."""
+        known, old = self.after_space, self.older.get
+        out, new = list(map(known.get, pieces)), []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            p = pieces[k]
+            if not p:
+                out[k] = b""
+            elif (ids := old(p)) is None:
+                new.append(k)
+            else:
+                out[k] = known[p] = ids
+        for low in range(0, len(new), TOGETHER):
+            group = new[low : low + TOGETHER]
+            for k, ids in zip(group, self.learned([pieces[k] for k in group]), strict=True):
+                out[k] = known[pieces[k]] = ids
         return out
 
-    def learn(self, pieces: list[str]) -> None:
+    def learned(self, pieces: list[str]) -> list[bytes]:
         """Encodes a space and each piece."""
-        groups = [pieces[low : low + TOGETHER] for low in range(0, len(pieces), TOGETHER)]
-        texts = ["".join([" " + p for p in g]) for g in groups]
-        for group, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, U4)
-            ends = np.cumsum([len(p.encode()) + 1 for p in group])
-            cut = (np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * 4
-            blob = ids.tobytes()
-            self.after_space.update(zip(group, [blob[a:z] for a, z in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)], strict=True))
+        ids = np.array(self.tok.encode_batch_fast(["".join([" " + p for p in pieces])], add_special_tokens=False)[0].ids, U4)
+        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        cut = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * 4).tolist()
+        blob = ids.tobytes()
+        return [blob[a:z] for a, z in zip([0, *cut[:-1]], cut, strict=True)]
 
     def unit(self, text: str) -> bytes:
         if (known := self.seen.get(text)) is None:
@@ -106,9 +110,7 @@ class Encoder:
         plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " " or MIXED.search(t))]
         out = [b""] * len(texts)
         pieces = Pieces([texts[k] for k in plain])
-        self.learn(self.missing(pieces.distinct))
-        get = self.after_space.get
-        for k, rest in zip(plain, pieces.joined([get(p, b"") for p in pieces.distinct], skip_first=True), strict=True):
+        for k, rest in zip(plain, pieces.joined(self.of_pieces(pieces.distinct), skip_first=True), strict=True):
             first = texts[k].partition(" ")[0]
             out[k] = self.unit(first) + rest.tobytes() if first else rest.tobytes()
         for k in set(range(len(texts))).difference(plain):
@@ -138,10 +140,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     open_ = ~last
     rules = [np.zeros((0, 2), np.uint64)]
     factor, made = 1, 0
-    number, holder = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.uint64)
+    number, holder = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.uint64)
     while len(at := np.flatnonzero(open_)):
         factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)  # a new hash each round
-        bits = min(max(len(at).bit_length(), 10), 20)
+        bits = min(max(len(at).bit_length(), 10), 18)
         pair = symbols[at] << np.uint64(32) | symbols[at + 1]
         slot = ((pair * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
         holder[slot] = pair  # one pair of each slot is counted
