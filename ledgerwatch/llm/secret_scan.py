@@ -4,8 +4,9 @@ Base kinds, leftmost and non-overlapping per kind, failing matches dropped witho
 sign and a value of 8 characters or more), access (AKIA and 16 characters or more in all), hex (32 digits or more).
 Added kind, token: a run of 20 characters or more that the vocabulary of a public byte-level tokenizer cuts into unusually
 short tokens. Words and names of any language that the vocabulary knows take few tokens; random strings take many.
-Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128 digits), UUIDs, runs without a letter and plain names are left out: runs of
-letters whose parts between signs are each a word by their case (small, capital or with a capital first), random or not.
+Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128 digits), UUIDs, runs without a letter and runs of parts of at most three
+characters between signs are left out; for all others, of one case or of several, the ratio decides. Of random letters of one small
+case it finds nine of ten at 20 characters and more of longer ones.
 A null or empty text has no spans. Rows are independent: repeated rows give repeated results, a null id stays null.
 """
 
@@ -30,7 +31,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = "|".join(f"[0-9a-fA-F]{{{n}}}" for n in (32, 40, 56, 64, 96, 128))
-KNOWN = re.compile(rf"{DIGEST}|[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}|[_+/=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_+/=-]+|\Z))*|[0-9_+/=-]+")
+KNOWN = re.compile(rf"{DIGEST}|[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}|[0-9_+/=-]+|(?:[A-Za-z0-9]{{0,3}}[_+/=-])+[A-Za-z0-9]{{0,3}}")
+
+#: Letters whose parts between signs are words by their case. A letter of them tells less, and rare words of small languages take
+#: many tokens, so the ratio must be lower by this share.
+WORDS, STRICTER = re.compile(r"[_+/=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_+/=-]+|\Z))*"), 0.925
 
 
 @lru_cache(2)
@@ -53,7 +58,8 @@ def find(text: str, encoding, most_ratio: float) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     for m in RUN.finditer(text):
-        if not KNOWN.fullmatch(m[0]) and len(m[0]) <= most_ratio * len(encoding.encode_ordinary(m[0])):
+        most = most_ratio * STRICTER if WORDS.fullmatch(m[0]) else most_ratio
+        if not KNOWN.fullmatch(m[0]) and len(m[0]) <= most * len(encoding.encode_ordinary(m[0])):
             out.append(("token", m.start(), m.end()))
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))

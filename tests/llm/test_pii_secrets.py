@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -72,6 +73,17 @@ def test_token_efficiency():
     assert not kinds("123e4567-e89b-12d3-a456-426614174000 " + "D41D8CD98F00B204E9800998ECF8427E")
 
 
+def test_the_ratio_decides_runs_of_one_case():
+    """Random letters of one case are found, words and names of any length are not."""
+    encoding, rng = secret_scan.vocabulary(), random.Random(1)
+    found = lambda text: any(k == "token" for k, _, _ in secret_scan.find(text, encoding, 2.0))
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz-", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        for n in (20, 32, 40):
+            assert sum(found("".join(rng.choice(letters) for _ in range(n))) for _ in range(300)) >= 255, (letters, n)
+    names = ["spark_sql_shuffle_partitions", "Donaudampfschifffahrtsgesellschaft", "src/main/java/org/example/service", "internationalization-localization", "MAXIMUM_NUMBER_OF_CONNECTIONS", "getElementsByClassNameAndIndex", "anticonstitutionnellement", "chpfheitschverheiten", "queelleaiierelletion", "a" * 40, "=" * 40, "2024-01-02-03-04-05-06"]
+    assert not [n for n in names if found(n)]
+
+
 def test_odd_hexadecimal_and_letters_alone_are_tokens():
     encoding = secret_scan.vocabulary()
     kinds = lambda t: [k for k, _, _ in secret_scan.find(t, encoding, 2.0)]
