@@ -12,7 +12,7 @@ from contextlib import contextmanager, suppress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -79,9 +79,24 @@ class Scratch:
         return out
 
 
-def sized(ids: DataFrame, most_sent: int = 2_000_000) -> DataFrame:
-    """A written table of ids as the small side of a join: sent to all tasks if it has at most `most_sent` rows (some 50 MB), else merged."""
-    return F.broadcast(ids) if ids.count() <= most_sent else ids.hint("merge")
+BITS, PAGE = 1 << 29, 1 << 15
+
+
+def _bit(ids: Column) -> Column:
+    return F.pmod(F.xxhash64(ids), F.lit(BITS))
+
+
+def perhaps(rows: DataFrame, ids_col: str, ids: DataFrame) -> DataFrame:
+    """(row, hit): the rows as structs, and whether their id may be among ids (one column); if not, it isn't for certain.
+
+    A Bloom filter of fixed size: 64 MB of bits at most, in pages of 4 kB, however many ids there are. So what is joined by the ids
+    themselves later is few rows as long as the ids are few, by the same plan at every size.
+    """
+    pages = ids.select(_bit(F.col(ids.columns[0])).alias("b")).groupBy(F.floor(F.col("b") / PAGE).alias("page")).agg(F.bitmap_construct_agg(F.pmod(F.col("b"), F.lit(PAGE))).alias("bits"))
+    place = F.pmod(F.col("b"), F.lit(PAGE)).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hashed = rows.select(F.struct("*").alias("row"), _bit(F.col(ids_col)).alias("b")).withColumn("page", F.floor(F.col("b") / PAGE))
+    return hashed.join(F.broadcast(pages), "page", "left").select("row", F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False)).alias("hit"))
 
 
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, give_back, id_and_text, mixed, shingle_set, sized, word_hashes
+from .common import Scratch, documents, give_back, id_and_text, mixed, perhaps, shingle_set, word_hashes
 from .components import components
 
 BAND = 3
@@ -142,8 +142,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     """(doc_id, n_shingles, component_id, kept) for each row of docs: n-word shingles, linked at `percent` of Jaccard similarity."""
     spark = docs.sparkSession
     slices, scratch = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8), Scratch(spark)
-    # sides that grow with the input are merged, so that the plan is the same at every size; but texts stay where they are as long
-    # as the ids of those that are needed can be sent to them
+    # sides that grow with the input are merged, so that the plan is the same at every size
     texts, m = id_and_text(docs, id_col, text_col), bands_for(percent)
     signed = scratch.write(signatures(texts, n, m))
     whole = signed.filter("n_shingles > 0 and doc_id is not null")
@@ -165,7 +164,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     blocks = homes.join(chunks, "home").select("rep", "home", "n_shingles", F.xxhash64("home", F.pmod(F.xxhash64("rep"), "chunks")).alias("block"))
     blocks = scratch.write(blocks)
     members = scratch.write(blocks.select(F.col("rep").alias("doc_id")).union(blocks.select("home")).distinct())
-    sets = scratch.write(with_sets(texts.join(sized(members), "doc_id").select("doc_id", "text"), n), "none")
+    needed = perhaps(texts, "doc_id", members).filter("hit").select("row.*").join(members.hint("merge"), "doc_id")  # few texts are moved if few are needed
+    sets = scratch.write(with_sets(needed.select("doc_id", "text"), n), "none")
 
     alone = blocks.select(F.col("block").alias("g"), "rep").union(blocks.select("block", "home")).distinct()
     links = scratch.write(verified(alone.join(sets.hint("merge"), "rep").withColumn("label", F.col("rep")), percent, slices))
@@ -204,8 +204,10 @@ def visits(near: DataFrame, labelled: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs whose document is the smallest of its component; a row with a null id stays, repeated rows of a kept id stay."""
     found = near_duplicates(docs, n, percent)
-    gone = Scratch(docs.sparkSession).write(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_")).distinct())
-    return docs.join(sized(gone), docs["doc_id"] == F.col("_gone_"), "left_anti")
+    gone = Scratch(docs.sparkSession).write(found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct())
+    marked = perhaps(docs, "doc_id", gone)
+    met = marked.filter("hit").join(gone.hint("merge"), F.col("row.doc_id") == F.col("gone"), "left_anti")
+    return marked.filter("not hit").unionByName(met).select("row.*")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

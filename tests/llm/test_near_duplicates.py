@@ -3,9 +3,10 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerwatch.llm import common
 from ledgerwatch.llm import near_duplicates as nd
-from ledgerwatch.llm.common import sized
 from ledgerwatch.llm.components import components
 
 
@@ -72,11 +73,23 @@ def test_an_id_with_two_texts_ties_both(spark):
     assert sorted(got) == [(7, 7), (7, 7), (8, 7), (9, 7), (10, 7)]
 
 
-def test_many_ids_are_merged(spark, monkeypatch):
-    docs = spark.createDataFrame(corpus(4, 60), "doc_id long, text string")
-    few = sorted(r.doc_id for r in nd.deduplicated(docs).collect())
-    monkeypatch.setattr(nd, "sized", lambda ids: sized(ids, 0))
-    assert sorted(r.doc_id for r in nd.deduplicated(docs).collect()) == few
+def test_the_filter_of_ids_has_no_false_negatives(spark, monkeypatch):
+    rows = spark.range(-3000, 3000).selectExpr("CASE WHEN id <> 5 THEN id END AS doc_id", "'x' AS row", "id AS b", "1 AS hit", "'y' AS page", "id AS gone")
+    ids = spark.range(-3000, 3000, 7).selectExpr("id AS some")
+    for bits, most in ((common.BITS, 880), (1 << 16, 2000), (1 << 10, 6000)):
+        monkeypatch.setattr(common, "BITS", bits)
+        got = common.perhaps(rows, "doc_id", ids).filter("hit").select("row.*").collect()
+        assert {r.doc_id for r in got} >= {r.some for r in ids.collect()} - {5} and len(got) <= most
+    assert not common.perhaps(rows, "doc_id", ids.limit(0)).filter("hit").count()
+
+
+def test_the_plan_is_the_same_at_every_size(spark, monkeypatch):
+    """A filter that lets everything pass changes how much is moved, not what stays."""
+    docs = spark.createDataFrame(corpus(4, 60), "doc_id long, text string").withColumns({"gone": F.lit(1), "b": F.lit("x"), "hit": F.lit(True)})
+    few = sorted(map(tuple, nd.deduplicated(docs).collect()))
+    assert nd.deduplicated(docs).columns == docs.columns
+    monkeypatch.setattr(common, "BITS", 1)
+    assert sorted(map(tuple, nd.deduplicated(docs).collect())) == few
 
 
 def test_a_very_long_text_and_a_tie_at_the_threshold(spark):
