@@ -18,7 +18,6 @@ from ledgerwatch.operators.registry import GROUPS
 
 from .incremental import STORE, labelled
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PERSON = "surname string, first_name string, start_date date"
 PERSONS = f"array<struct<{PERSON.replace(' ', ':').replace(',:', ',')}>>"
 SNAPSHOT = f"register_id string, at bigint, ok boolean, persons {PERSONS}"
@@ -26,10 +25,20 @@ STORED = [field.split()[0] for field in STORE.split(", ")]
 ACCREDITED = f"register_id string, {PERSON}, at bigint"
 
 
+#: Session settings for state of this kind: stores that are closed with their task, share a bound of memory for each executor, and
+#: don't reserve disk, as there is one for each partition and many are small.
+SETTINGS = {
+    "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "unloadOnCommit": "true",
+    "rocksdb.boundedMemoryUsage": "true",
+    "rocksdb.maxMemoryUsageMB": "256",
+    "rocksdb.allowFAllocate": "false",
+}
+
+
 def use_rocksdb(spark: SparkSession) -> None:
-    """State of this kind needs that provider, as a setting of the session. A store of each partition would reserve 4 MB of disk, and many are small."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    for name, value in SETTINGS.items():
+        spark.conf.set(f"spark.sql.streaming.stateStore.{name}", value)
 
 
 def appended(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
