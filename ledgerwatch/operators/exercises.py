@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .windows import rank_rows
+
 
 def activity_counts(matched: DataFrame, exercises: DataFrame, info: DataFrame, years: list[int], owner: str = "representants_id", year: str = "annee_fin", declared: str = "nombre_activites") -> DataFrame:
     """Matched rows and declared activities of each representative and year, for those with a match in one of the years.
@@ -21,8 +23,10 @@ def activity_counts(matched: DataFrame, exercises: DataFrame, info: DataFrame, y
     return out.withColumn("specialised", same).join(info, owner)
 
 
-def sort_by_activity(df: DataFrame, years: list[int], order: str) -> DataFrame:
-    return df.orderBy(sum((F.col(f"matched_{y}") for y in years), F.lit(0)).desc(), order)
+def sort_by_activity(df: DataFrame, years: list[int], order: str, position: str | None = None) -> DataFrame:
+    """Most matched activities of the years first; `position` names a column for each row's place."""
+    keys = [sum((F.col(f"matched_{y}") for y in years), F.lit(0)).desc(), F.col(order).asc()]
+    return rank_rows(df, keys, name=position) if position else df.orderBy(*keys)
 
 
 def yearly_totals(df: DataFrame, year: str, amount: str) -> DataFrame:

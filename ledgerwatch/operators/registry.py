@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .windows import rank_rows
+
 GROUPS = {"detail": True, "meetings": False, "snapshot": False}
 
 
@@ -64,9 +66,10 @@ def quarantine(df: DataFrame, checks: dict[str, str], readable: str | None = Non
     return marked.filter(ok).drop("issues"), marked.filter((F.size("issues") > 0) | ~ok)
 
 
-def sort_by_budget(df: DataFrame, high: str = "budget_high", order: str = "_ord") -> DataFrame:
-    """Highest first, unknown last."""
-    return df.orderBy(F.col(high).desc_nulls_last(), order)
+def sort_by_budget(df: DataFrame, high: str = "budget_high", order: str = "_ord", position: str | None = None) -> DataFrame:
+    """Highest first, unknown last; `position` names a column for each row's place."""
+    keys = [F.col(high).desc_nulls_last(), F.col(order).asc()]
+    return rank_rows(df, keys, name=position) if position else df.orderBy(*keys)
 
 
 def recent_accreditations(orgs: DataFrame, n: int, name: str = "name") -> DataFrame:

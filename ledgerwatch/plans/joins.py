@@ -48,7 +48,7 @@ def a2(spark, sf):
 
 @query("l4_sort_by_activity", FLAGSHIP_SQL.replace("SELECT representants_id, matched_1996, matched_1997, declared_1996", "SELECT row_number() OVER (ORDER BY matched_1996 + matched_1997 DESC, representants_id) AS position, representants_id, matched_1996, matched_1997, declared_1996"))
 def l4(spark, sf):
-    return O.rank_rows(activity_discovery(spark, sf), [(F.col("matched_1996") + F.col("matched_1997")).desc(), F.col("representants_id").asc()], name="position")
+    return E.sort_by_activity(activity_discovery(spark, sf), [1996, 1997], "representants_id", "position")
 
 
 @query("j1_outside_watchlist", f"WITH {MEETING_SQL}, {WATCH_SQL} SELECT _ord, attendees FROM meeting WHERE nullif(attendees, 'org3') IS NULL OR attendees NOT IN (SELECT id FROM watch WHERE id <> '')")
@@ -362,4 +362,4 @@ def w4(spark, sf):
 @query("l3_sort_by_budget", "SELECT CAST(row_number() OVER (ORDER BY CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END DESC NULLS LAST, c_custkey) AS INT) AS position, c_custkey FROM customer")
 def l3(spark, sf):
     rows = table(spark, sf, "customer").withColumn("high", F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")))
-    return O.rank_rows(rows, [F.col("high").desc_nulls_last(), F.col("c_custkey").asc()], name="position").select("position", "c_custkey")
+    return G.sort_by_budget(rows, "high", "c_custkey", "position").select("position", "c_custkey")

@@ -70,5 +70,5 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_yearly(df: DataFrame, path: str, year: str = "source_year", kind: str = "parquet") -> None:
-    """One folder for each year; only the years in df are replaced. Rows of a year are dealt out, so a large one has many files."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).format(kind).save(path)
+    """One folder for each year; only the years in df are replaced. Rows meet by year, and a large year is split, so that files are neither many nor huge."""
+    df.hint("rebalance", F.col(year)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).format(kind).save(path)
