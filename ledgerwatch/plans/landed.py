@@ -97,10 +97,11 @@ def s7(spark, sf):
 
 @query("t4_upsert_live", LIVE_SQL)
 def t4(spark, sf):
-    """The same updates, landed as files and read as a stream of several micro-batches; the live table is the stream's state."""
+    """The same updates, landed as files and read as a stream of three micro-batches; the live table is the stream's state."""
     current, update = live(spark, sf)
     path = new_folder(spark)
-    update.repartition(3, "k").write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(update.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    parts = max(3, len(update.inputFiles()))
+    update.repartition(parts).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(update.schema).option("maxFilesPerTrigger", -(-parts // 3)).parquet(f"{path}/in")
     Y.appended(Y.upsert_live(stream, current, "k", LIVE_GROUPS), f"{path}/changes", f"{path}/checkpoint")
     return Y.state_table(spark, f"{path}/checkpoint", "live").select("k", "people", "meetings", "snapshot", "detail_error")
