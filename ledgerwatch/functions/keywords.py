@@ -10,7 +10,6 @@ from collections.abc import Iterator
 from functools import lru_cache, reduce
 from operator import or_
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +24,8 @@ class Automaton:
     """Numbers of the keywords that a text holds. The empty keyword is in every text; null keywords are in none."""
 
     def __init__(self, words: tuple[str | None, ...]):
+        import ahocorasick
+
         self.trie, self.always = ahocorasick.Automaton(), []
         numbers: dict[str, list[int]] = {}
         for k, w in enumerate(words):
