@@ -33,6 +33,8 @@ from .common import Pieces, collector_resting, documents, id_and_text, shared_di
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
 MOST_CACHED, ROWS, TOGETHER = 600_000, 2_000, 2_000
+#: Signs that are a pretoken of their own at the end of a word.
+MARKS = ".,!?;:"
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
 
@@ -74,25 +76,39 @@ class Encoder:
     def of_pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of a space and each piece; those known of old are taken over, new ones learned."""
         known, old = self.after_space, self.older.get
-        out, new = list(map(known.get, pieces)), []
+        out, new, marked = list(map(known.get, pieces)), {}, []
         for k in [k for k, ids in enumerate(out) if ids is None]:
             p = pieces[k]
             if not p:
                 out[k] = b""
-            elif (ids := old(p)) is None:
-                new.append(k)
-            else:
+            elif (ids := old(p)) is not None:
                 out[k] = known[p] = ids
-        for low in range(0, len(new), TOGETHER):
-            group = new[low : low + TOGETHER]
-            for k, ids in zip(group, self.learned([pieces[k] for k in group]), strict=True):
-                out[k] = known[pieces[k]] = ids
+            elif p[-1] in MARKS and (word := p[:-1]).isalpha():  # two pretokens
+                marked.append(k)
+                if word not in known:
+                    if (ids := old(word)) is None:
+                        new.setdefault(word, -1)
+                    else:
+                        known[word] = ids
+            else:
+                new[p] = k
+        every = list(new)
+        for low in range(0, len(every), TOGETHER):
+            group = every[low : low + TOGETHER]
+            known.update(zip(group, self.learned(group), strict=True))
+        for p, k in new.items():
+            out[k] = known[p] if k >= 0 else out[k]
+        for k in marked:
+            p = pieces[k]
+            out[k] = known[p] = known[p[:-1]] + self.unit(p[-1])
         return out
 
     def learned(self, pieces: list[str]) -> list[bytes]:
-        """Encodes a space and each piece."""
-        ids = np.array(self.tok.encode_batch_fast(["".join([" " + p for p in pieces])], add_special_tokens=False)[0].ids, U4)
-        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        """Encodes a space and each piece; pieces have no spaces."""
+        text = " " + " ".join(pieces)
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, U4)
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
         cut = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * 4).tolist()
         blob = ids.tobytes()
         return [blob[a:z] for a, z in zip([0, *cut[:-1]], cut, strict=True)]
