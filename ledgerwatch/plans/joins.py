@@ -208,7 +208,7 @@ def j13(spark, sf):
     low = F.floor("c_acctbal").cast("bigint")
     seed = table(spark, sf, "customer").select("c_custkey", key.alias("register_id"), low.alias("budget_low"), low.alias("budget_high"), F.lit(-1).alias("people_involved"), none.cast("int").alias("nb_intermediaries"))
     k = F.col("s_suppkey")
-    own = F.when(k % 3 == 0, F.lit(0).cast("bigint")).when(k % 3 == 1, F.round("s_acctbal").cast("bigint"))
+    own = F.when(k % 3 == 0, F.lit(0).cast("bigint")).when(k % 3 == 1, F.rint("s_acctbal").cast("bigint"))  # a half goes to the even number, as in SQL's cast
     live = table(spark, sf, "supplier").select(k.alias("register_id"), own.alias("budget_low"), own.alias("budget_high"), F.col("s_nationkey").cast("int").alias("people_involved"), none.cast("int").alias("nb_intermediaries"), F.when(k % 2 == 0, F.array("s_name", "s_name")).alias("intermediaries"), F.when(k % 2 == 0, (F.col("s_nationkey") % 4).cast("int")).alias("ep_meetings"))
     return G.merge_entities(seed, live).select("c_custkey", "budget_low", F.col("people_involved").alias("people"), "ep_meetings", F.size("intermediaries").alias("n_intermediaries"), "has_register_id")
 
