@@ -41,13 +41,19 @@ def names_overlap(a: Column, b: Column) -> Column:
 
 
 def reconcile_names(left: Column, right: Column) -> Column:
-    """(left_only, right_only, mismatch) of two arrays of names, in their order and with repeats; for long lists see `unmatched_names`."""
+    """(left_only, right_only, mismatch) of two arrays of names, in their order and with repeats; for long lists see `reconcile_lists`.
+
+    Different names are compared once. A lambda evaluates all that it holds for each element, so what is made once is bound by `let`.
+    """
     empty = F.array().cast("array<string>")
+    let = lambda f, **made: F.get(F.transform(F.array(F.struct(*(c.alias(n) for n, c in made.items()))), f), F.lit(0))
     with_norm = lambda names: F.transform(F.coalesce(names, empty), lambda n: F.struct(n.alias("name"), norm_name(n).alias("norm")))
-    a, b = with_norm(left), with_norm(right)
-    only = lambda x, y: F.transform(F.filter(x, lambda p: ~F.exists(y, lambda q: names_overlap(p["norm"], q["norm"]))), lambda p: p["name"])
-    first, second = only(a, b), only(b, a)
-    return F.struct(first.alias("left_only"), second.alias("right_only"), ((F.size(first) > 0) | (F.size(second) > 0)).alias("mismatch"))
+    norms = lambda x: F.array_distinct(F.transform(x, lambda p: p["norm"]))
+    alone = lambda x, y: F.filter(x, lambda p: ~F.exists(y, lambda q: names_overlap(p, q)))
+    only = lambda x, found: F.transform(F.filter(x, lambda p: F.array_contains(found, p["norm"])), lambda p: p["name"])
+    compared = lambda s: let(lambda t: F.struct(only(s["a"], t["a"]).alias("left_only"), only(s["b"], t["b"]).alias("right_only")), a=alone(s["x"], s["y"]), b=alone(s["y"], s["x"]))
+    out = let(lambda s: let(compared, a=s["a"], b=s["b"], x=norms(s["a"]), y=norms(s["b"])), a=with_norm(left), b=with_norm(right))
+    return let(lambda s: F.struct(s["r"]["left_only"].alias("left_only"), s["r"]["right_only"].alias("right_only"), ((F.size(s["r"]["left_only"]) > 0) | (F.size(s["r"]["right_only"]) > 0)).alias("mismatch")), r=out)
 
 
 def distinct_grams(name: Column, size: int) -> Column:
@@ -62,8 +68,9 @@ def unmatched_names(left: DataFrame, right: DataFrame, keys: list[str], gram: in
     stands there with all its grams, so it is looked for under the rarest of them among the names of its keys; names shorter than a
     gram under themselves. Different names are compared once, however often they stand in the lists.
     """
-    both = left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right"))).withColumn("_norm", norm_name(F.col("name")))
-    names = both.filter("_norm <> ''").select(*keys, "side", "_norm").distinct()
+    both = left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right")))
+    written = both.select(*keys, "side", "name").distinct().withColumn("_norm", norm_name(F.col("name"))).filter("_norm <> ''")
+    names = written.select(*keys, "side", "_norm").distinct()
     matched = []
     for size in range(1, gram + 1):
         shorter = F.length("_norm") == size if size < gram else F.length("_norm") >= size
@@ -76,7 +83,22 @@ def unmatched_names(left: DataFrame, right: DataFrame, keys: list[str], gram: in
     every = matched[0]
     for more in matched[1:]:
         every = every.unionByName(more)
-    return both.join(every.distinct(), [*keys, "side", "_norm"], "left_anti").drop("_norm")
+    found = written.join(every.distinct(), [*keys, "side", "_norm"], "left_semi").drop("_norm")
+    return both.join(found, [*keys, "side", "name"], "left_anti")
+
+
+def reconcile_lists(left: DataFrame, right: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """(keys, left_only, right_only, mismatch) of two lists of names as rows, in their order and with repeats; null keys are equal.
+
+    left, right: keys, `order`, name. Names meet by joins (`unmatched_names`), and only those that are left over meet in one row.
+    """
+    of = lambda df: df.select(F.struct(*keys).alias("_keys"), order, "name")
+    rows = unmatched_names(of(left), of(right), ["_keys"])
+    own = lambda side: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct(order, "name")))), lambda x: x["name"]).alias(f"{side}_only")
+    found = rows.groupBy("_keys").agg(own("left"), own("right"))
+    every = of(left).select("_keys").union(of(right).select("_keys")).distinct().join(found, "_keys", "left")
+    listed = [F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("left_only", "right_only")]
+    return every.select("_keys.*", *listed, F.col("left_only").isNotNull().alias("mismatch"))
 
 
 def summary_totals(actors: DataFrame, years: list[int], low: str = "budget_low", high: str = "budget_high", people: str = "n_people", filed: str = "total_declare", providers: str = "providers", history: str = "by_year") -> DataFrame:

@@ -177,19 +177,25 @@ J12_SQL = """WITH n AS (SELECT p_size, list(p_name ORDER BY p_partkey) FILTER (W
 
 @query("j12_reconcile_names", J12_SQL)
 def j12(spark, sf):
-    listed = lambda c, v: F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("p_partkey", v.alias("v"))))), lambda x: x["v"])
-    rows = table(spark, sf, "part").groupBy("p_size").agg(listed(F.col("p_partkey") % 2 == 0, F.upper("p_name")).alias("a"), listed(F.col("p_partkey") % 7 == 1, F.split_part("p_name", F.lit(" "), F.lit(2))).alias("b"))
-    out = rows.select("p_size", R.reconcile_names(F.col("a"), F.col("b")).alias("r"))
-    return out.select("p_size", F.lower(F.array_join("r.left_only", ",")).alias("left_only"), F.array_join("r.right_only", ",").alias("right_only"), "r.mismatch")
+    """Both lists as rows; a size with no name in either has two empty lists."""
+    left, right = name_lists(spark, sf)
+    out = R.reconcile_lists(left, right, ["p_size"], "p_partkey")
+    every = table(spark, sf, "part").select(F.col("p_size").alias("_size")).distinct().join(out, F.col("_size").eqNullSafe(F.col("p_size")), "left")
+    text = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
+    return every.select(F.col("_size").alias("p_size"), F.lower(text("left_only")).alias("left_only"), text("right_only").alias("right_only"), F.coalesce("mismatch", F.lit(False)).alias("mismatch"))
 
 
-@query("j12_unmatched_names", J12_SQL)
-def j12_long(spark, sf):
-    """The same by joins of names instead of arrays."""
+def name_lists(spark, sf):
     part, key = table(spark, sf, "part"), F.col("p_partkey")
     left = part.filter(key % 2 == 0).select("p_size", "p_partkey", F.upper("p_name").alias("name"))
-    right = part.filter(key % 7 == 1).select("p_size", "p_partkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("name"))
-    rows = R.unmatched_names(left, right, ["p_size"])
+    return left, part.filter(key % 7 == 1).select("p_size", "p_partkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("name"))
+
+
+@query("j12_unmatched_names", J12_SQL)
+def j12_long(spark, sf):
+    """The rows left over, put together by the query."""
+    part = table(spark, sf, "part")
+    rows = R.unmatched_names(*name_lists(spark, sf), ["p_size"])
     listed = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("p_partkey", "name")))), lambda x: x["name"]), ",")
     found = rows.groupBy("p_size").agg(F.lower(listed("left")).alias("left_only"), listed("right").alias("right_only"))
     out = part.select("p_size").distinct().join(found, "p_size", "left")

@@ -1,11 +1,16 @@
 """What shows on larger tables only: values that the small ones don't have, and how the work is dealt out."""
 
 import os
+import random
+import re
+import unicodedata
 
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
+from ledgerwatch.operators import reconcile as R
 from ledgerwatch.plans import registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -35,3 +40,30 @@ def test_budgets_of_half_a_unit(spark, tmp_path):
     keys = pa.array([3 * k + 1 for k in range(len(halves))], pa.int64())
     supplier = pa.table({"s_suppkey": keys, "s_name": pa.array(["s"] * len(keys)), "s_nationkey": pa.array([1] * len(keys), pa.int32()), "s_acctbal": pa.array(halves)})
     held_against_sql(spark, "j13_merge_entities", tmp_path, supplier=supplier, customer=read("customer"))
+
+
+def listed(spark, rows):
+    return spark.createDataFrame(rows, "k int, n int, name string")
+
+
+def test_lists_of_names_meet_by_joins(spark):
+    """The same as over arrays, with repeats, names without letters, null names and null keys; and the query compares no arrays."""
+    r = random.Random(3)
+    word = lambda: r.choice([None, "", "--", "é", "ab", "Abé", "lab", "xab y", "q", "Zoé & co", "zoe", "nobody", "a"])
+    left, right = ([(r.choice([None, 1, 2, 3]), n, word()) for n in range(40)] for _ in range(2))
+    left.append((4, 0, "alone"))
+    got = {x.k: (x.left_only, x.right_only, x.mismatch) for x in R.reconcile_lists(listed(spark, left), listed(spark, right), ["k"], "n").collect()}
+    arrays = [(k, [x[2] for x in left if x[0] == k], [x[2] for x in right if x[0] == k]) for k in (None, 1, 2, 3, 4)]
+    want = spark.createDataFrame(arrays, "k int, a array<string>, b array<string>").select("k", R.reconcile_names(F.col("a"), F.col("b")).alias("r")).collect()
+    assert got == {x.k: (x.r.left_only, x.r.right_only, x.r.mismatch) for x in want}
+    norm = lambda s: " ".join(re.sub("[^a-z0-9]+", " ", "".join(c for c in unicodedata.normalize("NFD", s or "").lower() if c.isascii())).split())
+    alone = lambda x, y: [a for a in x if not any(norm(a) and norm(b) and (norm(a) in norm(b) or norm(b) in norm(a)) for b in y)]
+    assert {k: v[:2] for k, v in got.items()} == {k: (alone(a, b), alone(b, a)) for k, a, b in arrays}
+    assert "exists(" not in registry.QUERIES["j12_reconcile_names"](spark, SF)._jdf.queryExecution().toString()
+
+
+def test_sizes_without_names_or_without_a_size(spark, tmp_path):
+    sizes = pa.array([None, None, 7, 8, 8, 9], pa.int32())
+    part = pa.table({"p_partkey": pa.array([8, 15, 3, 1, 2, 4], pa.int64()), "p_name": ["hot bolt", "a bolt", "x y", "a ring", "big ring", "cold nut"], "p_size": sizes})
+    rows = held_against_sql(spark, "j12_reconcile_names", tmp_path, part=part)
+    assert (7, "", "", False) in rows and (None, "", "", False) in rows
