@@ -14,7 +14,7 @@ from ledgerwatch.sources.scratch import new_folder
 from ledgerwatch.streaming import incremental as I
 from ledgerwatch.streaming import stateful as Y
 
-from .roles import MEETING_SQL, meetings, query, table
+from .roles import MEETING_SQL, dealt, meetings, query, table
 
 NAMES_SQL = "list_filter(list_transform(string_split(attendees, '|'), lambda x: trim(x)), lambda x: x <> '')"
 EXCLUDED = ["ORG5"]
@@ -324,7 +324,7 @@ def x1(spark, sf):
         F.when(k % 2 == 0, "12 500").otherwise("12\u00a0500"), F.lit("\nDénomination sociale de la société prestataire\nFirm A\n"), second,
         F.lit("8. Avantages en nature\n"), given, F.lit("9. Je confirme"),
     ]
-    out = X.parse_forms(table(spark, sf, "customer").select("c_custkey", F.concat(*parts).alias("text")))
+    out = X.parse_forms(dealt(table(spark, sf, "customer"), "c_custkey").select("c_custkey", F.concat(*parts).alias("text")))
     return out.select("c_custkey", "org_name", "employees", "n_employees", F.array_join(F.transform("providers", lambda p: F.concat_ws("=", p["name"], p["amount"])), ",").alias("providers"), "provider_total", "total")
 
 
@@ -342,7 +342,7 @@ def x2(spark, sf):
     words = spark.createDataFrame([(-n, line, t, x, x + 20.0, line * 12.0 + (0.0 if n in (2, 7, 15, 17, 19, 20) else (2.0, -2.0)[n % 2])) for n, (line, t, x) in enumerate(rows)], "ord int, n int, w string, x0 double, x1 double, top double")
     k, later = F.col("s_suppkey"), F.col("n") > 2
     text = F.when(F.col("w").isNull(), F.col("s_name")).when(F.col("w") == "EMP", (k * 100).cast("string")).when(F.col("w") == "NAT", F.col("s_nationkey").cast("string")).otherwise(F.col("w"))
-    pages = table(spark, sf, "supplier").crossJoin(F.broadcast(words)).filter(~later | (k % 3 == 2) | ((k % 3 == 1) & (F.col("x0") < 300)))
+    pages = dealt(table(spark, sf, "supplier"), "s_suppkey").crossJoin(F.broadcast(words)).filter(~later | (k % 3 == 2) | ((k % 3 == 1) & (F.col("x0") < 300)))
     pages = pages.select(k.cast("string").alias("file"), F.when(later & (k % 4 == 0), 2).otherwise(1).alias("page"), "ord", text.alias("text"), "x0", "x1", "top")
     out = X.parse_layout_forms(pages)
     return out.select("file", "org_name", "employees", F.array_join(F.transform("providers", lambda p: F.concat_ws("=", p["name"], p["amount"])), ",").alias("providers"), "provider_total", "total")
@@ -359,7 +359,7 @@ def x3(spark, sf):
     head = F.when(k % 2 == 0, "Head\n1 no\nSubject(s)\n").otherwise("")
     more = F.when(k % 3 == 0, "4\nCab 01/02/2025 Paris\n").otherwise("")
     text = F.concat(head, F.lit("1 Ann Example,\nDG-\nX 05/03/2024 Brussels\n7 topics\n2 "), "s_name", F.lit(" 30/11/2023 Online\n3 nobody\n"), more, F.lit("References\n5 x 01/01/2020 y"))
-    return X.parse_meeting_lists(table(spark, sf, "supplier").select("s_suppkey", text.alias("text")), "s_suppkey")
+    return X.parse_meeting_lists(dealt(table(spark, sf, "supplier"), "s_suppkey").select("s_suppkey", text.alias("text")), "s_suppkey")
 
 
 ROW = '<tr class="ecl-table__row"><td><strong>%s:</strong></td><td>%s</td></tr>'
@@ -377,7 +377,7 @@ def x4(spark, sf):
         *row("Objectifs et mandat", F.lit("Aims &amp; ends")), *row("Date d'enregistrement", F.lit("01/02/2020 10:00")), *row("Organisations dont elle est membre", F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise("N/A")), F.lit("</tbody></table>"),
     )
     html = F.when(k % 4 == 1, F.regexp_replace(html, "</(?:td|tr|tbody)>", "")).otherwise(html)  # nobody closes these
-    out = X.extract_register_fields(table(spark, sf, "customer").select("c_custkey", html.alias("html")))
+    out = X.extract_register_fields(dealt(table(spark, sf, "customer"), "c_custkey").select("c_custkey", html.alias("html")))
     return out.select("c_custkey", "people_involved", F.col("nb_intermediaries").cast("int").alias("nb_intermediaries"), "budget_low", "budget_high", "objectives", "registration_date", "memberships")
 
 
@@ -389,7 +389,7 @@ def x5(spark, sf):
     short = F.when(k % 3 == 1, "<tr><td>C</td><td>D</td></tr><tr><td>alone</td></tr>").otherwise("")
     html = F.concat(F.lit("<table><thead></thead><tbody><tr><td>no</td><td>no</td></tr></tbody></table>"), heading, F.lit("<table><tbody><tr><td><table><thead><tr><th>a</th></tr></thead><tbody><tr><td>"), "s_name", F.lit("</td><td> Jo </td><td>02/01/2024</td><td></td></tr><tr><td></td><td></td></tr><tr><td>B</td><td></td><td>?</td><td>31/12/2025</td></tr>"), short, F.lit("</tbody></table></td></tr></tbody></table>"))
     html = F.when(k % 4 == 1, F.regexp_replace(html, "</(?:td|tr|th|thead)>", "")).otherwise(html)
-    return X.extract_accredited(table(spark, sf, "supplier").select("s_suppkey", html.alias("html"))).drop("error")
+    return X.extract_accredited(dealt(table(spark, sf, "supplier"), "s_suppkey").select("s_suppkey", html.alias("html"))).drop("error")
 
 
 @query("x6_extract_search_results", "SELECT s_suppkey, s_suppkey % 2 = 0 AS has_next, CAST(s_suppkey AS VARCHAR) || '-7' AS id, s_name || ' & co' AS name FROM supplier")
@@ -397,7 +397,7 @@ def x6(spark, sf):
     more = F.when(F.col("s_suppkey") % 2 == 0, '<a href="?page=2"> Suivant </a>').otherwise("")
     html = F.concat(F.lit('<article class="ecl-content-item x"><a class="ecl-link" href="/d?id='), "s_suppkey", F.lit('-7&amp;lang=fr"><span class="ecl-link__label">'), "s_name", F.lit(' &amp; co</span></a></article><article class="ecl-content-item">no link</article>'), more)
     html = F.when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("<ul>"), F.repeat(F.lit("<li><p>open"), 2000), F.lit("</ul>"), html)).otherwise(html)
-    return X.extract_search_results(table(spark, sf, "supplier").select("s_suppkey", html.alias("html"))).drop("error")
+    return X.extract_search_results(dealt(table(spark, sf, "supplier"), "s_suppkey").select("s_suppkey", html.alias("html"))).drop("error")
 
 
 @query("x7_extract_embedded_json", "SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN '2023=' || s_nationkey || ',2024=7' WHEN s_suppkey % 4 = 1 THEN '' END AS by_year, CASE WHEN s_suppkey % 4 = 2 THEN 'bad JSON' END AS error FROM supplier")
@@ -405,7 +405,7 @@ def x7(spark, sf):
     k = F.col("s_suppkey") % 4
     inner = F.when(k == 0, F.concat(F.lit("{&quot;2023&quot;: "), "s_nationkey", F.lit(", &quot;2024&quot;: 7}"))).when(k == 1, " [] ").when(k == 2, "{bad")
     html = F.when(inner.isNotNull(), F.concat(F.lit('<p>x</p><div id="graph_info" hidden>'), inner, F.lit("</div>"))).otherwise("<p>none</p>")
-    out = X.extract_embedded_json(table(spark, sf, "supplier").select("s_suppkey", html.alias("html")))
+    out = X.extract_embedded_json(dealt(table(spark, sf, "supplier"), "s_suppkey").select("s_suppkey", html.alias("html")))
     text = F.array_join(F.transform(F.array_sort(F.map_entries("by_year")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("int"))), ",")
     return out.select("s_suppkey", text.alias("by_year"), "error")
 

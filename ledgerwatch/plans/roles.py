@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Short rows that stand for long texts or many words, dealt out before these are made of them: their files are small, so that one
+    task would read them all and do all the work. A landed page is as long as its file says, and needs no such deal."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 EXERCISE_SQL = """exercise AS (SELECT o_orderkey AS exercices_id, o_custkey AS representants_id, CAST(year(o_orderdate) AS INT) AS annee_fin,
  CAST(day(o_orderdate) % 4 AS INT) AS nombre_activites, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey % 7 AS DOUBLE) END AS nombre_salaries,
  CASE WHEN day(o_orderdate) % 5 = 0 THEN 0 WHEN o_orderstatus = 'O' AND day(o_orderdate) % 7 = 0 THEN NULL ELSE CAST(floor(o_totalprice / 10000) AS BIGINT) * 10000 END AS montant_depense_inf,

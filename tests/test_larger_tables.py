@@ -4,13 +4,16 @@ import os
 import random
 import re
 import unicodedata
+from html.parser import HTMLParser
 
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import reconcile as R
+from ledgerwatch.operators.html import Tree
 from ledgerwatch.plans import registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -67,3 +70,24 @@ def test_sizes_without_names_or_without_a_size(spark, tmp_path):
     part = pa.table({"p_partkey": pa.array([8, 15, 3, 1, 2, 4], pa.int64()), "p_name": ["hot bolt", "a bolt", "x y", "a ring", "big ring", "cold nut"], "p_size": sizes})
     rows = held_against_sql(spark, "j12_reconcile_names", tmp_path, part=part)
     assert (7, "", "", False) in rows and (None, "", "", False) in rows
+
+
+@pytest.mark.parametrize("name", ["x1_parse_forms", "x3_parse_meeting_lists", "x4_extract_register_fields", "x5_extract_accredited", "x6_extract_search_results", "x7_extract_embedded_json"])
+def test_rows_of_one_file_are_parsed_by_several_tasks(spark, name):
+    """Tables of one small file stand for long texts."""
+    assert registry.QUERIES[name](spark, SF).select(F.spark_partition_id().alias("task")).distinct().count() > 1
+
+
+class Slow(Tree):
+    """Without the short ways for plain tags."""
+
+    parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+
+def test_short_ways_for_plain_tags_give_the_same_trees():
+    flat = lambda n: (n.tag, n.attrs, [k if isinstance(k, str) else flat(k) for k in n.kids])
+    r, tags = random.Random(1), "p li ul td tr table a div script style title textarea option br body plaintext".split()
+    bits = ["a &amp; b", " ", "<", "</", "</>", "<!-- c -->", "<!doctype html>", "&", "<p", "<P>", "</P>", "<p/>", "</p >", "<a href='x>y'>", "<1>", "<script>if (a<b) '</p>'", "</script>"]
+    for _ in range(5000):
+        page = "".join(r.choice(bits) if r.random() < 0.4 else f"<{r.choice(['', '/'])}{r.choice(tags)}>" for _ in range(r.randint(0, 20)))
+        assert flat(Tree(page).root) == flat(Slow(page).root), page
