@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.sources.scratch import checkpointed
 
 
+SHARES = 4
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | list[str], last: bool = False) -> DataFrame:
     """The first (or last) row of each key. An aggregate of the smallest row, so that partial results meet, not whole groups."""
     by = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -30,7 +33,11 @@ def dedupe_feed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def split_columns(words: DataFrame, line: list[str], gap: float = 20.0) -> DataFrame:
-    """Words of each line joined to columns; a gap wider than `gap` begins a new one."""
+    """Words of each line joined to columns; a gap wider than `gap` begins a new one.
+
+    A task sorts its words and holds its columns at the same time, so lines are dealt to `SHARES` times as many tasks as other keys are.
+    """
+    words = words.repartition(SHARES * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), *line)
     by = W.partitionBy(*line).orderBy("x0", "ord")
     wide = F.coalesce(F.col("x0") - F.lag("x1").over(by) > gap, F.lit(False))
     numbered = words.withColumn("column", F.sum(wide.cast("int")).over(by.rowsBetween(W.unboundedPreceding, 0)))

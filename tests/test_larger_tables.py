@@ -103,3 +103,8 @@ def test_layout_forms_look_for_all_labels_at_once(spark):
     assert got == {"a": (None, 12, 0, 12), "b": (None, 9, 0, 9)}
     plan = registry.QUERIES["x2_parse_layout_forms"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2
+
+
+def test_words_of_lines_are_dealt_out_once_and_to_more_tasks(spark):
+    plan = registry.QUERIES["w4_split_columns"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
