@@ -18,7 +18,7 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,13 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Pieces, collector_resting, documents, id_and_text, shared_dir
+from .common import Pieces, byte_letters, collector_resting, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, ROWS, TOGETHER = 600_000, 2_000, 2_000
+MOST_CACHED, ROWS, CHARACTERS, TOGETHER = 600_000, 6_000, 20_000_000, 2_000
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
+#: A word of letters, as all versions of Unicode have them, and what follows, if anything, from an ASCII sign on: the tokenizer cuts between
+#: the two, and what it makes of the second doesn't depend on the first.
+WORD_AND_REST = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([\x00-@\[-`{-\x7F].*)?", re.S)
+STAND_IN = "a"
 
 
 @lru_cache(2)
@@ -46,6 +50,17 @@ def tokenizer(path: str | None = None):
     return Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@lru_cache(2)
+def words_tokenizer(path: str | None = None):
+    """The same model over words that are cut at spaces and already written in the vocabulary's letters for bytes."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+    out = Tokenizer(tokenizer(path).model)
+    out.pre_tokenizer = CharDelimiterSplit(" ")
+    return out
+
+
 def units(text: str) -> list[str]:
     """The text cut before each single space that anything but white space follows; the tokenizer's own cuts contain all of these."""
     pieces = text.split(" ")
@@ -66,36 +81,71 @@ class Encoder:
 
     def __init__(self, path: str | None = None):
         self.tok, self.seen, self.after_space, self.older = tokenizer(path), {}, {}, {}
+        self.of_words = words_tokenizer(path)
+        letters = byte_letters()
+        self.letters = {b: letters[b] for b in range(256)} | {0x20: " " + letters[0x20]}
         vocabulary = self.tok.get_vocab()
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.size[number] = len(token)  # a letter for each byte
 
     def of_pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of a space and each piece; those known of old are taken over, new ones learned."""
+        """The ids of a space and each piece; those known of old are taken over, new ones learned.
+
+        Most new pieces are a word, or a word and a rest: these two are learned apart, the rest behind a word that stands in.
+        """
         known, old = self.after_space, self.older.get
-        out, new = list(map(known.get, pieces)), []
+        out, words, parts, others = list(map(known.get, pieces)), [], [], []
         for k in [k for k, ids in enumerate(out) if ids is None]:
             p = pieces[k]
             if not p:
                 out[k] = b""
-            elif (ids := old(p)) is None:
-                new.append(k)
-            else:
+            elif (ids := old(p)) is not None:
                 out[k] = known[p] = ids
+            elif (m := WORD_AND_REST.fullmatch(p)) is None:
+                others.append(k)
+            elif m[2] is None:
+                words.append(k)
+            else:
+                parts.append((k, m[1], STAND_IN + m[2]))
+        self.learn(dict.fromkeys([*(pieces[k] for k in words), *(word for _, word, _ in parts)]), self.learned_words)
+        self.learn(dict.fromkeys([STAND_IN, *(pieces[k] for k in others), *(rest for _, _, rest in parts)]), self.learned)
+        for k in [*words, *others]:
+            out[k] = known[pieces[k]]
+        skip = len(known[STAND_IN])
+        for k, word, rest in parts:
+            out[k] = known[pieces[k]] = known[word] + known[rest][skip:]
+        return out
+
+    def learn(self, pieces: Iterable[str], learned: Callable[[list[str]], list[bytes]]) -> None:
+        """Makes the pieces known that aren't."""
+        known, old, new = self.after_space, self.older.get, []
+        for p in pieces:
+            if p not in known:
+                if (ids := old(p)) is None:
+                    new.append(p)
+                else:
+                    known[p] = ids
         for low in range(0, len(new), TOGETHER):
             group = new[low : low + TOGETHER]
-            for k, ids in zip(group, self.learned([pieces[k] for k in group]), strict=True):
-                out[k] = known[pieces[k]] = ids
-        return out
+            known.update(zip(group, learned(group), strict=True))
 
     def learned(self, pieces: list[str]) -> list[bytes]:
         """Encodes a space and each piece."""
-        ids = np.array(self.tok.encode_batch_fast(["".join([" " + p for p in pieces])], add_special_tokens=False)[0].ids, U4)
-        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
-        cut = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * 4).tolist()
+        return self.cut(self.tok, "".join([" " + p for p in pieces]), [len(p.encode()) + 1 for p in pieces])
+
+    def learned_words(self, words: list[str]) -> list[bytes]:
+        """Encodes a space and each word, which the tokenizer doesn't cut further; so it needn't look for where to."""
+        data = " ".join(words).encode()
+        spaces = np.flatnonzero(np.frombuffer(data + b" ", np.uint8) == 0x20)
+        return self.cut(self.of_words, self.letters[0x20][1:] + data.decode("latin-1").translate(self.letters), np.diff(spaces, prepend=-1))
+
+    def cut(self, tok, text: str, sizes) -> list[bytes]:
+        """The ids of the text, cut behind as many bytes as each size says."""
+        ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, U4)
+        ends = ((np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes)) + 1) * 4).tolist()
         blob = ids.tobytes()
-        return [blob[a:z] for a, z in zip([0, *cut[:-1]], cut, strict=True)]
+        return [blob[a:z] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
 
     def unit(self, text: str) -> bytes:
         if (known := self.seen.get(text)) is None:
@@ -119,6 +169,18 @@ class Encoder:
         return out
 
 
+def groups(texts: list[str], rows: int, characters: int) -> Iterator[tuple[int, int]]:
+    """Bounds of neighbouring texts, each group of so many rows at most, and of so many characters but for its last text."""
+    low = size = 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if k + 1 - low == rows or size >= characters:
+            yield low, k + 1
+            low, size = k + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
+
+
 @lru_cache(1)
 def shared_encoder(path: str | None = None) -> Encoder:
     """One for each worker process, so that its memory outlasts a task."""
@@ -245,10 +307,10 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(texts), ROWS):
+            for low, high in groups(texts, ROWS, CHARACTERS):
                 with collector_resting():
-                    found = encoder(texts[low : low + ROWS])
-                for i, x in zip(ids[low : low + ROWS], found, strict=True):
+                    found = encoder(texts[low:high])
+                for i, x in zip(ids[low:high], found, strict=True):
                     held.append(x + end)
                     docs_held.append(i)
                     size += len(held[-1]) // 4

@@ -86,3 +86,34 @@ def test_long_passages_become_few_symbols():
     rules, lengths, symbols, _ = tf.compress(ids, ends, 50_257)
     assert np.array_equal(tf.expand(symbols, rules, lengths, 50_257), ids)
     assert lengths.max() > 64 and len(symbols) < len(ids) / 64
+
+
+def test_words_and_what_follows_them():
+    """Words of letters with and without accents, in front of signs, digits, contractions, white space, marks and letters of other scripts."""
+    rng = np.random.default_rng(4)
+    letters, rest = [*"abthnwISZ", *"\u00c0\u00d6\u00d7\u00d8\u00f6\u00f7\u00f8\u0120\u01c5\u024f\u0250\u00aa\u00b5\u0301\u03b1\u4e2d"], ["", "", ".", ",\n", "'s", "'ll x", "\nNt", "12", "***", "\t", "\n\n", "-ab", "\x7f", "\u2019s", "\xa0", "!\u0301"]
+    texts = [" ".join("".join(rng.choice(letters, int(rng.integers(1, 7)))) + str(rng.choice(rest)) for _ in range(int(rng.integers(1, 12)))) for _ in range(20_000)]
+    encoder = tf.Encoder()
+    for low in (0, 10_000):
+        part = texts[low : low + 10_000]
+        for t, got, e in zip(part, encoder(part), tf.tokenizer().encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(got, tf.U4).tolist() == e.ids, t
+
+
+def test_the_library_gets_each_word_once(monkeypatch):
+    """Signs behind a word make no new word of it."""
+    count, cut = [], tf.Encoder.cut if hasattr(tf.Encoder, "cut") else None
+    assert cut, "pieces were learned whole"
+    monkeypatch.setattr(tf.Encoder, "cut", lambda self, tok, text, sizes: count.append(len(sizes)) or cut(self, tok, text, sizes))
+    words = ["".join(np.random.default_rng(k).choice([*"abcdefgh"], 9)) for k in range(500)]
+    texts = [" ".join(["x", *(w + sign for w in words)]) for sign in ("", ".", ",", "!\nA", "'s")]
+    encoder = tf.Encoder()
+    assert [np.frombuffer(x, tf.U4).tolist() for x in encoder(texts)] == [e.ids for e in tf.tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert sum(count) < 600
+    encoder(texts)
+    assert sum(count) < 600
+
+
+def test_groups_are_bounded_by_rows_and_characters():
+    assert list(tf.groups(["ab"] * 5, 2, 100)) == [(0, 2), (2, 4), (4, 5)] and list(tf.groups(["ab", "abcdef", "", "abc", "a"], 9, 4)) == [(0, 2), (2, 5)]
+    assert list(tf.groups([], 2, 2)) == [] and list(tf.groups(["", ""], 2, 5)) == [(0, 2)]
