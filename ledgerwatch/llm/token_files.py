@@ -18,27 +18,30 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Pieces, byte_letters, collector_resting, documents, id_and_text, shared_dir
+from .common import byte_letters, collector_resting, documents, id_and_text, shared_dir
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, ROWS, CHARACTERS, TOGETHER = 600_000, 6_000, 20_000_000, 2_000
+MOST_CACHED, MOST_BYTES, MOST_SEEN, ROWS, CHARACTERS, TOGETHER = 1_500_000, 200_000_000, 600_000, 6_000, 20_000_000, 2_000
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
-#: A word of letters, as all versions of Unicode have them, and what follows, if anything, from an ASCII sign on: the tokenizer cuts between
-#: the two, and what it makes of the second doesn't depend on the first.
-WORD_AND_REST = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([\x00-@\[-`{-\x7F].*)?", re.S)
-STAND_IN = "a"
+SPACE, LINE_FEED, STAND_IN = 0x20, 0x0A, b" a"
+ASCII_LETTER, SIGN, VISIBLE, LATIN_LEAD = np.zeros((4, 256), bool)
+ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+SIGN[:0x80] = ~ASCII_LETTER[:0x80]
+VISIBLE[0x21:0x7F] = True
+LATIN_LEAD[0xC3:0xCA] = True
 
 
 @lru_cache(2)
@@ -73,79 +76,146 @@ def units(text: str) -> list[str]:
     return out
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a letter of A-Z, a-z or U+00C0 to U+024F but for the two signs there; all versions of Unicode have these as letters."""
+    out = ASCII_LETTER[data]
+    lead = np.flatnonzero(LATIN_LEAD[data[:-1]])
+    a, b = data[lead], data[lead + 1]
+    lead = lead[~((a == 0xC3) & ((b == 0x97) | (b == 0xB7)) | (a == 0xC9) & (b > 0x8F))]
+    out[lead] = out[lead + 1] = True
+    return out
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where units of these texts begin: at each text, space, ASCII sign behind a letter, and ASCII letter behind a lone line feed.
+
+    The tokenizer cuts at all of these, and what it makes of a unit doesn't depend on the others, in texts without a space that white space or
+    the text's end follows.
+    """
+    out = SIGN[data]
+    out[1:] &= letters(data)[:-1]
+    out |= data == SPACE
+    feed = np.flatnonzero(data[1:-1] == LINE_FEED) + 1
+    out[feed[VISIBLE[data[feed - 1]] & ASCII_LETTER[data[feed + 1]]] + 1] = True
+    out[starts] = True
+    return np.flatnonzero(out)
+
+
+def strings(data, offsets: np.ndarray) -> pa.Array:
+    """Neighbouring strings of bytes, of which the last ends at the last offset."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64, copy=False)), pa.py_buffer(data)])
+
+
+def content(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the strings, and their offsets, from 0 on."""
+    _, offsets, data = a.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[a.offset : a.offset + len(a) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 class Encoder:
     """Encodes texts with the library; units that were seen before come from a bounded memory.
 
-    New units go to the library many at a time, side by side as in a text, and what comes back is cut by the bytes of its tokens.
+    Texts are cut into units by their bytes and looked up many at a time. New units go to the library many at a time, side by side as in a
+    text, and what comes back is cut by the bytes of its tokens.
     """
 
     def __init__(self, path: str | None = None):
-        self.tok, self.seen, self.after_space, self.older = tokenizer(path), {}, {}, {}
+        self.tok, self.seen = tokenizer(path), {}
+        self.known, self.ids = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
+        self.used, self.turn = np.zeros(0, np.int64), 0  # when each known unit was used last
         self.of_words = words_tokenizer(path)
-        letters = byte_letters()
-        self.letters = {b: letters[b] for b in range(256)} | {0x20: " " + letters[0x20]}
+        byte = byte_letters()
+        self.plain_letters = dict(enumerate(byte)) | {SPACE: " "}
+        self.letters = self.plain_letters | {SPACE: " " + byte[SPACE]}
         vocabulary = self.tok.get_vocab()
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.size[number] = len(token)  # a letter for each byte
 
-    def of_pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of a space and each piece; those known of old are taken over, new ones learned.
-
-        Most new pieces are a word, or a word and a rest: these two are learned apart, the rest behind a word that stands in.
-        """
-        known, old = self.after_space, self.older.get
-        out, words, parts, others = list(map(known.get, pieces)), [], [], []
-        for k in [k for k, ids in enumerate(out) if ids is None]:
-            p = pieces[k]
-            if not p:
-                out[k] = b""
-            elif (ids := old(p)) is not None:
-                out[k] = known[p] = ids
-            elif (m := WORD_AND_REST.fullmatch(p)) is None:
-                others.append(k)
-            elif m[2] is None:
-                words.append(k)
-            else:
-                parts.append((k, m[1], STAND_IN + m[2]))
-        self.learn(dict.fromkeys([*(pieces[k] for k in words), *(word for _, word, _ in parts)]), self.learned_words)
-        self.learn(dict.fromkeys([STAND_IN, *(pieces[k] for k in others), *(rest for _, _, rest in parts)]), self.learned)
-        for k in [*words, *others]:
-            out[k] = known[pieces[k]]
-        skip = len(known[STAND_IN])
-        for k, word, rest in parts:
-            out[k] = known[pieces[k]] = known[word] + known[rest][skip:]
-        return out
-
-    def learn(self, pieces: Iterable[str], learned: Callable[[list[str]], list[bytes]]) -> None:
-        """Makes the pieces known that aren't."""
-        known, old, new = self.after_space, self.older.get, []
-        for p in pieces:
-            if p not in known:
-                if (ids := old(p)) is None:
-                    new.append(p)
-                else:
-                    known[p] = ids
-        for low in range(0, len(new), TOGETHER):
-            group = new[low : low + TOGETHER]
-            known.update(zip(group, learned(group), strict=True))
-
-    def learned(self, pieces: list[str]) -> list[bytes]:
-        """Encodes a space and each piece."""
-        return self.cut(self.tok, "".join([" " + p for p in pieces]), [len(p.encode()) + 1 for p in pieces])
-
-    def learned_words(self, words: list[str]) -> list[bytes]:
-        """Encodes a space and each word, which the tokenizer doesn't cut further; so it needn't look for where to."""
-        data = " ".join(words).encode()
-        spaces = np.flatnonzero(np.frombuffer(data + b" ", np.uint8) == 0x20)
-        return self.cut(self.of_words, self.letters[0x20][1:] + data.decode("latin-1").translate(self.letters), np.diff(spaces, prepend=-1))
-
-    def cut(self, tok, text: str, sizes) -> list[bytes]:
+    def learned(self, new: pa.Array) -> tuple[pa.Array, list[pa.Array]]:
+        """The new units, in another order, and their ids."""
+        data, offsets = content(new)
+        first = offsets[:-1]
+        head, strange = data[first], ~letters(data)
+        spaced = head == SPACE
+        strange[first[spaced]] = False
+        strange = np.logical_or.reduceat(strange, first)
+        order, found = [], []
+        for which, encode in (
+            (spaced & ~strange, self.spaced_words),
+            (~spaced & ~strange, self.words),
+            (spaced & strange, self.side_by_side),
+            (~spaced & strange & SIGN[head], self.behind_a_word),
+            (~spaced & strange & ~SIGN[head], self.each),
+        ):
+            at = np.flatnonzero(which)
+            for low in range(0, len(at), TOGETHER):
+                order.append(at[low : low + TOGETHER])
+                found.append(encode(new.take(pa.array(order[-1]))))
+        return new.take(pa.array(np.concatenate(order))), found
+
+    def spaced_words(self, units: pa.Array) -> pa.Array:
+        """Spaces and words, which the tokenizer doesn't cut further; so it needn't look for where to."""
+        data, offsets = content(units)
+        return self.cut(self.of_words, data.tobytes().decode("latin-1").translate(self.letters)[1:], np.diff(offsets))
+
+    def words(self, units: pa.Array) -> pa.Array:
+        """Words without a space, likewise."""
+        return self.cut(self.of_words, b" ".join(units.to_pylist()).decode("latin-1").translate(self.plain_letters), np.diff(content(units)[1]))
+
+    def side_by_side(self, units: pa.Array) -> pa.Array:
+        """Anything behind a space."""
+        data, offsets = content(units)
+        return self.cut(self.tok, data.tobytes().decode(), np.diff(offsets))
+
+    def behind_a_word(self, units: pa.Array) -> pa.Array:
+        """What a sign begins: behind a word that stands in, whose ids are left out."""
+        text = STAND_IN + STAND_IN.join(units.to_pylist())
+        sizes = np.full(2 * len(units), len(STAND_IN))
+        sizes[1::2] = np.diff(content(units)[1])
+        return self.cut(self.tok, text.decode(), sizes).take(pa.array(np.arange(1, len(sizes), 2)))
+
+    def each(self, units: pa.Array) -> pa.Array:
+        """The rest one by one."""
+        found = self.tok.encode_batch_fast([x.decode() for x in units.to_pylist()], add_special_tokens=False)
+        return pa.array([np.array(e.ids, U4).tobytes() for e in found], pa.large_binary())
+
+    def cut(self, tok, text: str, sizes) -> pa.Array:
         """The ids of the text, cut behind as many bytes as each size says."""
         ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, U4)
-        ends = ((np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes)) + 1) * 4).tolist()
-        blob = ids.tobytes()
-        return [blob[a:z] for a, z in zip([0, *ends[:-1]], ends, strict=True)]
+        ends = (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes)) + 1) * U4.itemsize
+        return strings(ids.tobytes(), np.concatenate([[0], ends]))
+
+    def numbers(self, units: pa.Array) -> np.ndarray:
+        """The number of each unit among those known, which new ones are added to."""
+        self.turn += 1
+        if len(self.known) > MOST_CACHED or self.known.nbytes + self.ids.nbytes > MOST_BYTES:  # what wasn't used of late goes
+            keep = self.used > self.turn - 4
+            self.known, self.ids, self.used = self.known.filter(pa.array(keep)), self.ids.filter(pa.array(keep)), self.used[keep]
+        found = pc.index_in(units, value_set=self.known)
+        missing = found.is_null().to_numpy(zero_copy_only=False)
+        out = found.fill_null(0).to_numpy(zero_copy_only=False)
+        if missing.any():
+            rest = units.filter(pa.array(missing))
+            new, ids = self.learned(rest.unique())
+            out = out.copy()
+            out[missing] = pc.index_in(rest, value_set=new).to_numpy(zero_copy_only=False) + len(self.known)
+            self.known, self.ids = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.ids, *ids])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        self.used[out] = self.turn
+        return out
+
+    def of_texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of texts without a space that white space or the text's end follows."""
+        size = np.array([len(x) for x in texts], np.int64)
+        starts, data = np.cumsum(size) - size, b"".join(texts)
+        first = cuts(np.frombuffer(data, np.uint8), starts[size > 0])
+        numbers = self.numbers(strings(data, np.append(first, len(data))))
+        every, offsets = content(self.ids.take(pa.array(numbers)))
+        ends = offsets[np.append(np.searchsorted(first, starts), len(first))].tolist()
+        return (every[a:z].tobytes() for a, z in zip(ends, ends[1:], strict=False))
 
     def unit(self, text: str) -> bytes:
         if (known := self.seen.get(text)) is None:
@@ -153,16 +223,12 @@ class Encoder:
         return known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > MOST_CACHED:
+        if len(self.seen) > MOST_SEEN:
             self.seen.clear()
-        if len(self.after_space) > MOST_CACHED:
-            self.after_space, self.older = {}, self.after_space  # what is used again comes back from there
         plain = [k for k, t in enumerate(texts) if not ("<|" in t or "  " in t or t[-1:] == " " or MIXED.search(t))]
         out = [b""] * len(texts)
-        pieces = Pieces([texts[k] for k in plain])
-        for k, rest in zip(plain, pieces.joined(self.of_pieces(pieces.distinct), skip_first=True), strict=True):
-            first = texts[k].partition(" ")[0]
-            out[k] = self.unit(first) + rest.tobytes() if first else rest.tobytes()
+        for k, ids in zip(plain, self.of_texts([texts[k].encode() for k in plain]), strict=True):
+            out[k] = ids
         for k in set(range(len(texts))).difference(plain):
             t = texts[k]
             out[k] = array("I", self.tok.encode(t, add_special_tokens=False).ids).tobytes() if "<|" in t else b"".join(map(self.unit, units(t)))

@@ -117,3 +117,36 @@ def test_the_library_gets_each_word_once(monkeypatch):
 def test_groups_are_bounded_by_rows_and_characters():
     assert list(tf.groups(["ab"] * 5, 2, 100)) == [(0, 2), (2, 4), (4, 5)] and list(tf.groups(["ab", "abcdef", "", "abc", "a"], 9, 4)) == [(0, 2), (2, 5)]
     assert list(tf.groups([], 2, 2)) == [] and list(tf.groups(["", ""], 2, 5)) == [(0, 2)]
+
+
+def same_as_the_library(encoder, texts):
+    for t, got, e in zip(texts, encoder(texts), tf.tokenizer().encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(got, tf.U4).tolist() == e.ids, t
+
+
+def test_the_library_gets_a_word_behind_a_line_feed_once(monkeypatch):
+    """Each line's first word and the sign before the line feed are units of their own."""
+    count, cut = [], tf.Encoder.cut
+    monkeypatch.setattr(tf.Encoder, "cut", lambda self, tok, text, sizes: count.append(len(sizes)) or cut(self, tok, text, sizes))
+    words = ["".join(np.random.default_rng(k).choice([*"abcdefgh"], 9)) for k in range(500)]
+    encoder = tf.Encoder()
+    same_as_the_library(encoder, [" ".join(["x", *(f"y{sign}\n{w}" for w in words)]) for sign in (".", ",", "!", "?")])
+    assert sum(count) < 600
+
+
+def test_units_at_any_place():
+    """Signs, line feeds, digits and letters of all kinds in any order, also where texts begin and end."""
+    rng = np.random.default_rng(5)
+    kinds = [*" " * 6, *"aZ\n\n\r\t'.<|0", "'s", "'ll", "\u00e9", "\u00d7", "\u00f7", "\u024f", "\u0250", "\u0301", "\u4e2d", "\U0001f600", "\x00", "\x1c", "\x7f", "\x85", "\xa0"]
+    encoder = tf.Encoder()
+    for _ in range(4):
+        same_as_the_library(encoder, ["".join(rng.choice(kinds, int(rng.integers(0, 14)))) for _ in range(15_000)])
+
+
+def test_forgotten_units_are_learned_again(monkeypatch):
+    monkeypatch.setattr(tf, "MOST_CACHED", 40)
+    rng, encoder = np.random.default_rng(6), tf.Encoder()
+    words = ["".join(rng.choice([*"abcdefgh"], 6)) for _ in range(300)]
+    for _ in range(30):
+        same_as_the_library(encoder, [" ".join(rng.choice(words, 10)) + "." for _ in range(2)])
+    assert len(encoder.known) == len(encoder.ids) == len(encoder.used) < 130
