@@ -33,7 +33,7 @@ from .common import byte_letters, collector_resting, documents, id_and_text, sha
 
 U4 = np.dtype("<u4")
 SHARD_SCHEMA = "part long, shard long, base long, doc_ids array<long>, n_ids binary, n_symbols binary, rules binary, rule_lengths binary, symbols binary, total long"
-MOST_CACHED, MOST_BYTES, MOST_SEEN, ROWS, CHARACTERS, TOGETHER = 1_500_000, 200_000_000, 600_000, 6_000, 20_000_000, 2_000
+MOST_CACHED, MOST_BYTES, MOST_SEEN, ROWS, CHARACTERS, TOGETHER, TOGETHER_BYTES = 1_500_000, 200_000_000, 600_000, 6_000, 20_000_000, 2_000, 500_000
 #: A space and white space of another kind: they may be parts of one pretoken, so there is no cut before them.
 MIXED = re.compile(r" [^\S ]")
 SPACE, LINE_FEED, STAND_IN = 0x20, 0x0A, b" a"
@@ -137,7 +137,7 @@ class Encoder:
     def learned(self, new: pa.Array) -> tuple[pa.Array, list[pa.Array]]:
         """The new units, in another order, and their ids."""
         data, offsets = content(new)
-        first = offsets[:-1]
+        first, size = offsets[:-1], np.diff(offsets)
         head, strange = data[first], ~letters(data)
         spaced = head == SPACE
         strange[first[spaced]] = False
@@ -151,9 +151,10 @@ class Encoder:
             (~spaced & strange & ~SIGN[head], self.each),
         ):
             at = np.flatnonzero(which)
-            for low in range(0, len(at), TOGETHER):
-                order.append(at[low : low + TOGETHER])
-                found.append(encode(new.take(pa.array(order[-1]))))
+            group = np.arange(len(at)) // TOGETHER + np.cumsum(size[at]) // TOGETHER_BYTES
+            for part in np.split(at, np.flatnonzero(np.diff(group)) + 1) if len(at) else ():
+                order.append(part)
+                found.append(encode(new.take(pa.array(part))))
         return new.take(pa.array(np.concatenate(order))), found
 
     def spaced_words(self, units: pa.Array) -> pa.Array:

@@ -150,3 +150,13 @@ def test_forgotten_units_are_learned_again(monkeypatch):
     for _ in range(30):
         same_as_the_library(encoder, [" ".join(rng.choice(words, 10)) + "." for _ in range(2)])
     assert len(encoder.known) == len(encoder.ids) == len(encoder.used) < 130
+
+
+def test_long_units_go_to_the_library_in_small_groups(monkeypatch):
+    """What the library holds at once is bounded by bytes too, as a text without spaces is one unit."""
+    monkeypatch.setattr(tf, "TOGETHER_BYTES", 3_000)
+    most, each = [], tf.Encoder.each
+    monkeypatch.setattr(tf.Encoder, "each", lambda self, units: most.append(sum(map(len, units.to_pylist()))) or each(self, units))
+    rng = np.random.default_rng(7)
+    same_as_the_library(tf.Encoder(), ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 300))) + ". a" for _ in range(50)])
+    assert len(most) > 10 and max(most) < 4_000
